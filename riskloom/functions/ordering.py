@@ -52,7 +52,7 @@ def running_totals(
 def row_numbers(df: DataFrame, key: str, name: str = "row_number", buckets: int = BUCKETS) -> DataFrame:
     """Global 1-based position in order of a unique ``key``."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_totals(ones, [], key, ["_one"], buckets).withColumnRenamed("cum__one", name).drop("_one")
+    return running_totals(ones, [], key, ["_one"], buckets, stored=True).withColumnRenamed("cum__one", name).drop("_one")
 
 
 def take_smallest(df: DataFrame, n: int, value: str, key: str, seed=0, largest: bool = False) -> DataFrame:
