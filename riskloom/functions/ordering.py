@@ -10,6 +10,8 @@ from riskloom.functions.hashing import draw_hash, hash_cutoffs
 from riskloom.runtime import attach_small, materialize
 
 BUCKETS = 64
+# Groups up to this many grouped rows are ordered by one task each; larger ones are cut into ranges.
+ONE_TASK_ROWS = 50_000
 
 
 def _bounds(df: DataFrame, groups: list[str], key: str, buckets: int) -> DataFrame:
@@ -37,6 +39,10 @@ def running_totals(
     own = groups or ["_all"]
     if not groups:
         base = base.withColumn("_all", F.lit(0))
+    sizes = base.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if sizes <= ONE_TASK_ROWS:
+        plain = Window.partitionBy(*own).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+        return base.withColumns({f"cum_{c}": F.sum(c).over(plain) for c in sums}).drop("_all")
     cut = attach_small(base, _bounds(base, own, key, buckets), own)
     cut = cut.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(key)))).drop("_bounds")
     before = Window.partitionBy(*own).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

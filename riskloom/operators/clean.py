@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.config import CleanSpec
 from riskloom.functions.ordering import long_form, row_numbers
@@ -36,8 +37,16 @@ def clean_text(df: DataFrame, columns: Sequence[str], spec: CleanSpec) -> DataFr
     return df.withColumns({c: junk_to_null(strip(F.col(c)), spec.junk) for c in columns if c in df.columns})
 
 
+def as_number(df: DataFrame, column: str) -> Column:
+    """The column as double, null where it is no number; text parsing only where the column is text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return nan_to_null(F.col(column).cast("double"))
+    return to_num(F.col(column))
+
+
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: to_num(F.col(c)) for c in columns if c in df.columns})
+    return df.withColumns({c: as_number(df, c) for c in columns if c in df.columns})
 
 
 def cap_outliers(df: DataFrame, caps: dict[str, float]) -> DataFrame:
@@ -96,12 +105,12 @@ def null_rare(
 
 def valid_target(df: DataFrame, target: str) -> DataFrame:
     """Keep the rows whose target is a number equal to 0 or 1."""
-    return df.withColumn(target, to_num(F.col(target))).where(F.col(target).isin(0.0, 1.0))
+    return df.withColumn(target, as_number(df, target)).where(F.col(target).isin(0.0, 1.0))
 
 
 def dropped_by_target(df: DataFrame, target: str) -> DataFrame:
     """How many rows the target rule keeps and drops, without a second pass over the data."""
-    ok = F.coalesce(to_num(F.col(target)).isin(0.0, 1.0), F.lit(False))
+    ok = F.coalesce(as_number(df, target).isin(0.0, 1.0), F.lit(False))
     return df.agg(
         F.count(F.lit(1)).alias("rows_before"),
         F.count(F.when(ok, 1)).alias("rows_kept"),
@@ -165,8 +174,6 @@ def to_integers_strict(df: DataFrame) -> DataFrame:
 
 def columns_by_type(df: DataFrame, numeric: bool = True) -> list[str]:
     """Names of the numeric (or of the other) columns, from the schema alone."""
-    from pyspark.sql import types as T
-
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) == numeric]
 
 
