@@ -74,6 +74,14 @@ def flag(text: Column) -> Column:
     return F.coalesce(F.lower(F.trim(text)).isin("true", "1", "yes", "y"), F.lit(False))
 
 
+def rekey(pairs: Column, name) -> Column:
+    """Map with renamed keys; of several keys that end up equal the last one counts."""
+    entries = F.transform(F.map_entries(pairs), lambda e: F.struct(name(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    last = F.transform(names, lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"])
+    return F.map_from_arrays(names, last)
+
+
 def _with_prefix(params: Column, prefix: str) -> Column:
     return F.map_filter(params, lambda k, _: F.startswith(k, F.lit(prefix)))
 
@@ -81,7 +89,7 @@ def _with_prefix(params: Column, prefix: str) -> Column:
 def chosen_params(params: Column) -> Column:
     """``best::`` entries without their prefix, else ``model__`` entries, else everything."""
     best, model = _with_prefix(params, "best::"), _with_prefix(params, "model__")
-    bare = F.transform_keys(best, lambda k, _: F.substr(k, F.lit(len("best::") + 1)))
+    bare = rekey(best, lambda k: F.substr(k, F.lit(len("best::") + 1)))
     return F.when(F.size(best) > 0, bare).when(F.size(model) > 0, model).otherwise(params)
 
 
@@ -102,9 +110,7 @@ def metric_by_keyword(metrics: Column, keyword: str) -> Column:
 
     Within equals the alphabetically first name wins.
     """
-    lower = F.map_from_entries(
-        F.transform(F.map_entries(metrics), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    )
+    lower = rekey(metrics, F.lower)
     listed = [lower[m] for m in METRIC_PREFERENCE if keyword in m]
     pattern = METRIC_PATTERNS.get(keyword, keyword)
     named = F.filter(
@@ -199,7 +205,7 @@ def clean_params(params: Column) -> Column:
             k = F.regexp_replace(k, "^" + p, "")
         return k
 
-    return F.transform_keys(kept, lambda k, _: bare(k))
+    return rekey(kept, bare)
 
 
 def typed_value(text: Column) -> Column:
