@@ -37,6 +37,7 @@ CHI_NAME = "chi-square p_value"
 Z_NAME = "Z-test p_value"
 
 INLINE_VALUES = 500
+MAX_FOLDED = 1_000
 
 
 # ---- injection -------------------------------------------------------------------------------------
@@ -205,7 +206,7 @@ def proportion_z(counts: DataFrame) -> DataFrame:
     return smallest.select("column", F.when(spread > 0, (p1 - p2) / spread).otherwise(0.0).alias("statistic"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_value(test: pd.Series, statistic: pd.Series, dof: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
     """One probability per report row (a row is a whole column of data)."""
 
@@ -276,10 +277,38 @@ def drift_report(
         F.coalesce(F.col("drift_score") < threshold, F.lit(False)).alias("drift_detected"),
     )
     if with_density:
-        report = report.join(side_densities(counts), "column", "left")
+        report = report.join(side_densities(counts), "column", "left").join(category_shapes(counts), "column", "left")
+        for side in ("current", "reference"):
+            report = report.withColumn(side, F.coalesce(side, f"_{side}")).drop(f"_{side}")
     return report
 
 
+def category_counts(counts: DataFrame) -> DataFrame:
+    """(column, value, n_ref, n_cur) of the categorical columns, in long form for any number of values."""
+    return counts.where(F.col("txt").isNotNull()).select("column", F.col("txt").alias("value"), "n_ref", "n_cur")
+
+
+def category_shapes(counts: DataFrame) -> DataFrame:
+    """Counts of categorical columns folded into one struct per side, in value order.
+
+    Only columns with few values are folded; ``category_counts`` holds the counts of all of them.
+    """
+    long = category_counts(counts)
+    sizes = long.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
+    few = attach_small(long, sizes, ["column"]).where(F.col("n_values") <= MAX_FOLDED)
+    cells = F.array_sort(F.collect_list(F.struct("value", "n_ref", "n_cur")))
+    folded = few.groupBy("column").agg(cells.alias("cells"))
+
+    def side(n: str) -> Column:
+        return F.struct(
+            F.lit(None).cast("array<double>").alias("x"),
+            F.transform("cells", lambda c: c[n].cast("double")).alias("y"),
+            F.transform("cells", lambda c: c["value"]).alias("labels"),
+        )
+
+    return folded.select("column", side("n_cur").alias("_current"), side("n_ref").alias("_reference"))
+
+
 def side_densities(counts: DataFrame, bins: int = 10) -> DataFrame:
     """Per column a struct (x, y) for each side: bin limits and densities of numeric columns."""
     one_side = counts.select("column", "num", F.lit("reference").alias("side"), F.col("n_ref").alias("n")).unionByName(
@@ -301,7 +330,7 @@ def side_densities(counts: DataFrame, bins: int = 10) -> DataFrame:
     wide = binned.groupBy("column", "side", "lo", "hi", "width", "total").agg(*sums)
     x = F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: F.col("lo") + i * F.col("width"))
     y = F.array(*[F.col(f"b{b}") / (F.col("total") * F.col("width")) for b in range(bins)])
-    shaped = wide.select("column", "side", F.struct(x.alias("x"), y.alias("y")).alias("d"))
+    shaped = wide.select("column", "side", F.struct(x.alias("x"), y.alias("y"), F.lit(None).cast("array<string>").alias("labels")).alias("d"))
     return shaped.groupBy("column").pivot("side", ["current", "reference"]).agg(F.first("d"))
 
 
