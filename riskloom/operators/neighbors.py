@@ -187,13 +187,15 @@ def knn_vote(
     p: int = 2,
     id_col: str = "id",
     vec_col: str = "vec",
+    skip_self: bool = False,
     block_rows: int = 2048,
 ) -> DataFrame:
     """Probability of class 1 per test row from its k nearest training rows.
 
     ``weights='distance'`` weighs a vote by 1/distance; a neighbour at distance 0 outvotes all others.
     """
-    near = nearest_neighbors(test, train, k, id_col, vec_col, "l1" if p == 1 else "l2", block_rows=block_rows)
+    metric = "l1" if p == 1 else "l2"
+    near = nearest_neighbors(test, train, k, id_col, vec_col, metric, skip_self=skip_self, block_rows=block_rows)
     labels = train.select(F.col(id_col).alias("neighbor_id"), F.col(label).cast("double").alias("y"))
     votes = near.join(labels, "neighbor_id")
     if weights == "uniform":

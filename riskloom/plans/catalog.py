@@ -5,7 +5,10 @@ from riskloom.plans import (  # noqa: F401
     catalog_drift,
     catalog_features,
     catalog_metrics,
+    catalog_models,
     catalog_profile,
+    catalog_runs,
     catalog_sampling,
+    catalog_sources,
 )
 from riskloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -73,13 +73,13 @@ def _yj_sql(x: str, lam: float) -> str:
 @query(
     "power_transform_fixed",
     "WITH e AS (SELECT event_id, (value - 50) / 100e0 AS x FROM events) SELECT event_id, "
-    + ", ".join(f"round({_yj_sql('x', lam)}, 8) AS t{i}" for i, lam in enumerate((0.0, 0.5, 2.0, -1.5)))
+    + ", ".join(f"round({_yj_sql('x', lam)}, 10) AS t{i}" for i, lam in enumerate((0.0, 0.5, 2.0, -1.5)))
     + " FROM e",
 )
 def power_transform_fixed(spark, d):
     x = (F.col("value") - 50) / 100.0
     df = data.read(spark, d, "events")
-    return df.select("event_id", *[F.round(fe.yeo_johnson(x, lam), 8).alias(f"t{i}") for i, lam in enumerate((0.0, 0.5, 2.0, -1.5))])
+    return df.select("event_id", *[F.round(fe.yeo_johnson(x, lam), 10).alias(f"t{i}") for i, lam in enumerate((0.0, 0.5, 2.0, -1.5))])
 
 
 @query("power_transform_fitted")

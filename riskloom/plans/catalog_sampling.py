@@ -55,23 +55,22 @@ def farthest_neighbors(spark, d):
 
 @query(
     "knn_vote",
-    f"{P}, n AS ({knn_sql('p', 'p', 7, id_type='BIGINT')}) SELECT query_id AS id, round(avg(y), 6) AS y_prob FROM n JOIN p ON neighbor_id = p.id GROUP BY query_id",
+    f"{P}, n AS ({knn_sql('p', 'p', 7, id_type='BIGINT')}) SELECT query_id AS id, round(avg(y), 6) AS y_prob, (avg(y) > 0.5)::INT AS y_pred FROM n JOIN p ON neighbor_id = p.id GROUP BY query_id",
 )
 def knn_vote(spark, d):
     df = data.points(spark, d)
-    near = neighbors.nearest_neighbors(df, df, 7, skip_self=True)
-    votes = near.join(df.select(F.col("id").alias("neighbor_id"), "y"), "neighbor_id")
-    return votes.groupBy(F.col("query_id").alias("id")).agg(F.round(F.avg("y"), 6).alias("y_prob"))
+    out = neighbors.knn_vote(df, df, "y", 7, skip_self=True)
+    return out.select("id", F.round("y_prob", 6).alias("y_prob"), "y_pred")
 
 
 @query(
     "knn_weighted_vote",
-    f"""{P}, n AS ({knn_sql('(SELECT * FROM p WHERE id % 2 = 1)', '(SELECT * FROM p WHERE id % 2 = 0)', 9, id_type='BIGINT')})
+    f"""{P}, n AS ({knn_sql('p', 'p', 9, distance=L1, id_type='BIGINT')})
     SELECT query_id AS id, round(sum(y / distance) / sum(1 / distance), 6) AS y_prob FROM n JOIN p ON neighbor_id = p.id GROUP BY query_id""",
 )
 def knn_weighted_vote(spark, d):
     df = data.points(spark, d)
-    out = neighbors.knn_vote(df.where("id % 2 = 0"), df.where("id % 2 = 1"), "y", 9, "distance")
+    out = neighbors.knn_vote(df, df, "y", 9, "distance", p=1, skip_self=True)
     return out.select("id", F.round("y_prob", 6).alias("y_prob"))
 
 
