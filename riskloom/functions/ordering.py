@@ -92,10 +92,9 @@ def take_smallest(df: DataFrame, n: int, value: str, key: str, seed=0, largest:
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
     """Exact linearly interpolated quantiles of numeric columns, nulls skipped.
 
-    A sketch brackets each wanted rank, one pass counts the rows below each bracket, and only the values
-    inside the brackets are grouped and ordered. A bracket that misses its rank is widened to everything.
+    A sketch brackets each wanted rank in a first pass; a second pass groups only the values inside the
+    brackets. A bracket that misses its rank is widened to everything.
     """
-    spark = df.sparkSession
     slack = 0.005
     lo_hi = [p for q in probs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
     src = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -114,42 +113,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
             lo, hi = sketch[f"s_{i}"][2 * j], sketch[f"s_{i}"][2 * j + 1]
             todo.append((c, q, q * (n - 1), lo, hi))
     while todo:
-        below = src.agg(
-            *[F.sum((F.col(c) < F.lit(lo)).cast("bigint")).alias(f"b{k}") for k, (c, _, _, lo, _) in enumerate(todo)]
-        )
-        inside = F.array(
-            *[
-                F.struct(
-                    F.lit(k).alias("k"),
-                    F.when((F.col(c) >= F.lit(lo)) & (F.col(c) <= F.lit(hi)), F.col(c)).alias("v"),
-                )
-                for k, (c, _, _, lo, hi) in enumerate(todo)
-            ]
-        )
-        grouped = (
-            src.select(F.explode(F.filter(inside, lambda s: s["v"].isNotNull())).alias("s"))
-            .groupBy("s.k", "s.v")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        base = below.first()
-        ranked = running_totals(grouped, ["k"], "v", ["n"])
-        wanted = spark.createDataFrame(
-            [
-                (k, side, int(pos) + side - (base[f"b{k}"] or 0))
-                for k, (_, _, pos, _, _) in enumerate(todo)
-                for side in (0, 1)
-            ],
-            "k int, side int, at bigint",
-        )
-        hits = (
-            ranked.join(F.broadcast(wanted), "k")
-            .where((F.col("at") < F.col("cum_n")) & (F.col("at") >= F.col("cum_n") - F.col("n")))
-            .select("k", "side", "v")
-            .collect()
-        )
-        got = {(r["k"], r["side"]): r["v"] for r in hits}
+        got = _bracketed(src, columns, todo)
         missed = []
-        for k, (c, q, pos, lo, hi) in enumerate(todo):
+        for k, (c, q, pos, _, _) in enumerate(todo):
             part = pos - int(pos)
             first, second = got.get((k, 0)), got.get((k, 1))
             if first is None or (part > 0 and second is None):
@@ -160,6 +126,44 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
     return out
 
 
+def _bracketed(src: DataFrame, columns: list[str], todo: list) -> dict[tuple[int, int], float]:
+    """Values at ranks floor(pos) and floor(pos) + 1 of each (column, share, pos, low, high) in ``todo``.
+
+    One pass groups the values inside any bracket one by one and all other values by the zone between
+    brackets they fall into, so both the ranks below a bracket and the values in it come out of it.
+    """
+    spark = src.sparkSession
+    parts, targets = [], []
+    for i, c in enumerate(columns):
+        mine = sorted((t[3], t[4], k) for k, t in enumerate(todo) if t[0] == c)
+        if not mine:
+            continue
+        x = F.col(c)
+        inside, zone = F.lit(False), F.lit(0)
+        for place, (lo, hi, k) in enumerate(mine):
+            inside = inside | ((x >= F.lit(lo)) & (x <= F.lit(hi)))
+            zone = zone + (x >= F.lit(lo)).cast("int")
+            targets.append((i, k, place, lo, hi))
+        cells = [F.lit(i).alias("c"), F.when(inside, F.lit(-1)).otherwise(zone).alias("zone"), F.when(inside, x).alias("v")]
+        parts.append(F.struct(*cells))
+    cells = src.select(F.inline(F.array(*parts))).where(F.col("zone").isNotNull())
+    grouped = materialize(cells.groupBy("c", "zone", "v").agg(F.count(F.lit(1)).alias("n")), "brackets")
+    asked = F.broadcast(spark.createDataFrame(targets, "c int, k int, place int, lo double, hi double"))
+    paired = grouped.join(asked, "c")
+    under = F.when(F.col("v").isNull(), F.col("zone") <= F.col("place")).otherwise(F.col("v") < F.col("lo"))
+    below = {r["k"]: r["b"] for r in paired.groupBy("k").agg(F.sum(F.when(under, F.col("n")).otherwise(0)).alias("b")).collect()}
+    held = paired.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).select("k", "v", "n")
+    ranked = running_totals(held, ["k"], "v", ["n"], stored=True)
+    wanted = spark.createDataFrame(
+        [(k, side, int(t[2]) + side - below.get(k, 0)) for k, t in enumerate(todo) for side in (0, 1)],
+        "k int, side int, at bigint",
+    )
+    hits = ranked.join(F.broadcast(wanted), "k").where(
+        (F.col("at") < F.col("cum_n")) & (F.col("at") >= F.col("cum_n") - F.col("n"))
+    )
+    return {(r["k"], r["side"]): r["v"] for r in hits.select("k", "side", "v").collect()}
+
+
 def ordered_index(df: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct non-null values of a column with their 0-based position in sorted order."""
     values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.lit(1).cast("bigint").alias("one"))

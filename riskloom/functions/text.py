@@ -8,15 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Every character that Unicode counts as white space.
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def strip_ends(c: Column) -> Column:
-    """Cut every kind of white space at both ends (``trim`` alone cuts spaces only)."""
+    """Cut every kind of white space at both ends (plain ``trim`` cuts spaces only).
+
+    Texts that begin and end with a visible ASCII character, nearly all of them, skip the character search.
+    """
     text = c.cast("string")
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
+    visible = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(visible, text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def strip_all(c: Column) -> Column:
     """Remove every white-space character."""
-    return F.regexp_replace(c.cast("string"), r"\s+", "")
+    return F.translate(c.cast("string"), WHITESPACE, "")
 
 
 def junk_to_null(c: Column, junk: Iterable[str]) -> Column:
@@ -26,17 +34,20 @@ def junk_to_null(c: Column, junk: Iterable[str]) -> Column:
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
+# What counts as a number in a text; Java's spellings ``1d`` and ``1f`` and ``nan`` do not.
+NUMBER_PATTERN = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"
 
 
 def to_num(c: Column) -> Column:
     """Lenient text-to-double: null for anything that is not a number, and for NaN.
 
-    ``try_cast`` accepts Java's ``1d``/``1f`` spellings, so those are refused first.
+    A failing cast costs an exception inside the JVM, so only texts that spell a number reach it.
     """
-    text = strip_ends(c)
-    number = F.when(~text.rlike(r"[dDfF]$") | F.lower(text).rlike(r"inf$"), text).try_cast("double")
-    return nan_to_null(number)
+    text = c.cast("string")
+    return F.when(text.rlike(NUMBER_PATTERN), text).try_cast("double")
 
 
 def cap_to_null(c: Column, cap: float) -> Column:

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 from riskloom.config import CleanSpec
 from riskloom.functions.ordering import long_form, row_numbers
 from riskloom.functions.text import cap_to_null, invert_binary, junk_to_null, nan_to_null, strip_all, strip_ends, to_num
-from riskloom.runtime import collect_bounded, materialize
+from riskloom.runtime import attach_small, materialize, tune
 
 # Up to this many kept (or rare) values per table are compared as literals inside the scan.
-INLINE_VALUES = 2_000
+INLINE_VALUES = 500
 
 
 def rename_by_position(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -31,10 +31,15 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*columns) if columns else df
 
 
+def text_rule(c: Column, spec: CleanSpec) -> Column:
+    """White-space rule, then junk list, for one text."""
+    strip = strip_all if spec.whitespace == "remove" else strip_ends
+    return junk_to_null(strip(c), spec.junk)
+
+
 def clean_text(df: DataFrame, columns: Sequence[str], spec: CleanSpec) -> DataFrame:
     """White-space rule and junk list on the categorical columns that exist."""
-    strip = strip_all if spec.whitespace == "remove" else strip_ends
-    return df.withColumns({c: junk_to_null(strip(F.col(c)), spec.junk) for c in columns if c in df.columns})
+    return df.withColumns({c: text_rule(F.col(c), spec) for c in columns if c in df.columns})
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -59,34 +64,41 @@ def value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long_form(df, list(columns)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def null_rare(
+def rare_counts(df: DataFrame, columns: Sequence[str], rule=None) -> DataFrame:
+    """(column, value, n) after a text rule, which runs on the distinct raw values instead of on every row."""
+    counts = value_counts_long(df, columns)
+    if rule is None:
+        return counts
+    return counts.withColumn("value", rule(F.col("value"))).groupBy("column", "value").agg(F.sum("n").alias("n"))
+
+
+def keep_frequent(
     df: DataFrame,
     columns: Sequence[str],
+    counts: DataFrame,
     min_count: int,
     count_nulls: bool = False,
     min_share: float | None = None,
 ) -> DataFrame:
-    """Null for categories seen fewer than ``min_count`` times (or in less than ``min_share`` of the rows).
+    """Null for the values of ``columns`` whose entry in ``counts`` is too small.
 
-    All columns are counted together. The shorter of the two value lists (kept or rare) is then tested
-    inside the scan; only if both are long is the count table joined, one column at a time, with AQE free
-    to broadcast it or to split a hot value.
+    The shorter of the two value lists (kept or rare) is tested inside the scan if it is short. Otherwise
+    the kept values are joined, broadcast only if they were counted as few, else with AQE free to split a
+    hot value.
     """
-    columns = [c for c in columns if c in df.columns]
-    if not columns:
-        return df
-    counts = value_counts_long(df, columns)
     if not count_nulls:
         counts = counts.where(F.col("value").isNotNull())
     rare: Column = F.col("n") < F.lit(min_count)
     if min_share is not None:
-        counts = counts.withColumn("n_all", F.lit(df.count()))
-        rare = rare | (F.col("n") < F.lit(min_share) * F.col("n_all"))
+        total = df.count()
+        rare = rare | (F.col("n") < F.lit(min_share * total))
     flagged = materialize(counts.select("column", "value", rare.alias("rare")), "counts").where(F.col("value").isNotNull())
-    for want_rare in (True, False):
-        rows = collect_bounded(flagged.where(F.col("rare") == want_rare), INLINE_VALUES)
-        if rows is None:
-            continue
+    sizes = flagged.agg(F.count(F.when(F.col("rare"), 1)).alias("rare"), F.count(F.when(~F.col("rare"), 1)).alias("kept")).first()
+    if sizes["rare"] == 0:
+        return df
+    want_rare = sizes["rare"] < sizes["kept"]
+    if min(sizes["rare"], sizes["kept"]) <= INLINE_VALUES:
+        rows = flagged.where(F.col("rare") == want_rare).collect()
         out = {}
         for c in columns:
             listed = [r["value"] for r in rows if r["column"] == c]
@@ -98,11 +110,28 @@ def null_rare(
         return df.withColumns(out)
     for c in columns:
         kept = flagged.where((F.col("column") == c) & ~F.col("rare")).select(F.col("value").alias("_kept"))
-        df = df.join(kept, F.col(c).cast("string") == F.col("_kept"), "left")
-        df = df.withColumn(c, F.when(F.col("_kept").isNotNull(), F.col(c))).drop("_kept")
+        df = attach_small(df.withColumn("_kept", F.col(c).cast("string")), kept.withColumn("_hit", F.lit(True)), ["_kept"])
+        df = df.withColumn(c, F.when(F.col("_hit"), F.col(c))).drop("_kept", "_hit")
     return df
 
 
+def null_rare(
+    df: DataFrame,
+    columns: Sequence[str],
+    min_count: int,
+    count_nulls: bool = False,
+    min_share: float | None = None,
+) -> DataFrame:
+    """Null for categories seen fewer than ``min_count`` times (or in less than ``min_share`` of the rows).
+
+    All columns are counted together in one shuffle of their distinct values.
+    """
+    columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return df
+    return keep_frequent(df, columns, rare_counts(df, columns), min_count, count_nulls, min_share)
+
+
 def valid_target(df: DataFrame, target: str) -> DataFrame:
     """Keep the rows whose target is a number equal to 0 or 1."""
     return df.withColumn(target, as_number(df, target)).where(F.col(target).isin(0.0, 1.0))
@@ -138,13 +167,23 @@ def clean_data(df: DataFrame, spec: CleanSpec, keep: Sequence[str] = ()) -> Data
     target filter, target inversion. Everything but the rare-category count is a narrow projection that
     Catalyst folds into the scan. ``keep`` names key columns that lead the raw table and are passed along.
     """
+    tune(df.sparkSession)
     df = rename_by_position(df, list(keep) + list(spec.rename))
     df = drop_columns(df, spec.drop)
-    categorical = [*spec.features.nominal, *spec.features.ordinal]
+    categorical = [c for c in [*spec.features.nominal, *spec.features.ordinal] if c in df.columns]
+    counts = rare_counts(df.select(*categorical), categorical, lambda v: text_rule(v, spec)) if categorical else None
     df = clean_text(df, categorical, spec)
     df = coerce_numeric(df, spec.features.numeric)
-    df = cap_outliers(df, spec.caps)
-    df = null_rare(df, categorical, spec.min_count, spec.count_nulls, spec.min_share)
+    if categorical:
+        # caps change no category, so counting before them gives the counts after them; the few columns that
+        # are both capped and categorical are counted again
+        both = [c for c in categorical if c in spec.caps]
+        df = cap_outliers(df, spec.caps)
+        if both:
+            counts = rare_counts(df, categorical)
+        df = keep_frequent(df, categorical, counts, spec.min_count, spec.count_nulls, spec.min_share)
+    else:
+        df = cap_outliers(df, spec.caps)
     df = valid_target(df, spec.target)
     return invert_target(df, spec.target)
 

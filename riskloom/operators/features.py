@@ -189,7 +189,7 @@ def yeo_johnson(x: Column, lam) -> Column:
     return F.when(x >= 0, up).otherwise(F.when(x < 0, down))
 
 
-def fit_lambdas(df: DataFrame, columns: Sequence[str], points: int = 33, passes: int = 5) -> list[float]:
+def fit_lambdas(df: DataFrame, columns: Sequence[str], points: int = 17, passes: int = 4) -> list[float]:
     """Lambda of largest likelihood per column.
 
     Every pass scores a grid of lambdas for all columns in one aggregation with map-side combine and then
@@ -219,15 +219,26 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], points: int = 33, passes:
             )
             .collect()
         )
-        best: dict[int, tuple[float, float]] = {}
+        scores: list[dict[int, float]] = [{} for _ in columns]
         for r in rows:
             lam = span[r["c"]][0] + r["k"] * steps[r["c"]]
             if r["v"] and math.isfinite(r["v"]) and r["v"] > 0:
-                score = -r["n"] / 2 * math.log(r["v"]) + (lam - 1) * r["g"]
-                best[r["c"]] = max(best.get(r["c"], (-math.inf, 1.0)), (score, lam))
-        middle = [best.get(i, (0.0, 1.0))[1] for i in range(len(columns))]
+                scores[r["c"]][r["k"]] = -r["n"] / 2 * math.log(r["v"]) + (lam - 1) * r["g"]
+        peaks = [_peak(s) for s in scores]
+        middle = [1.0 if p is None else lo + p * w for p, (lo, _), w in zip(peaks, span, steps)]
         span = [(m - w, m + w) for m, w in zip(middle, steps)]
-    return [(lo + hi) / 2 for lo, hi in span]
+    return middle
+
+
+def _peak(scores: dict[int, float]) -> float | None:
+    """Grid position of the maximum, refined by the parabola through it and its two neighbours."""
+    if not scores:
+        return None
+    k = max(scores, key=lambda i: (scores[i], -i))
+    left, right = scores.get(k - 1), scores.get(k + 1)
+    if left is None or right is None or left + right - 2 * scores[k] == 0:
+        return float(k)
+    return k + 0.5 * (left - right) / (left + right - 2 * scores[k])
 
 
 class YeoJohnson(_Columns, Estimator):
