@@ -9,7 +9,10 @@ from pyspark.sql import types as T
 from riskloom.functions.hashing import draw_hash, hash_cutoffs
 from riskloom.runtime import attach_small, materialize
 
+# Ranges per group: at least this many, more for large groups, found in two steps of this width.
 BUCKETS = 64
+MAX_BUCKETS = BUCKETS * BUCKETS
+ROWS_PER_BUCKET = 1_000_000
 # Groups up to this many grouped rows are ordered by one task each; larger ones are cut into ranges.
 ONE_TASK_ROWS = 50_000
 
@@ -21,13 +24,22 @@ def _bounds(df: DataFrame, groups: list[str], key: str, buckets: int) -> DataFra
         sample = df.select(*groups, key).withColumn("_r", F.row_number().over(order)).where(F.col("_r") < 16 * buckets)
         limits = F.array_sort(F.collect_list(key))
         picks = F.array(*[F.try_element_at(limits, F.lit(16 * i)) for i in range(1, buckets)])
-        return sample.groupBy(*groups).agg(F.filter(picks, lambda x: x.isNotNull()).alias("_bounds"))
-    shares = [i / buckets for i in range(1, buckets)]
-    return df.groupBy(*groups).agg(F.array_distinct(F.percentile_approx(key, shares, 2000)).alias("_bounds"))
+        limits = sample.groupBy(*groups).agg(F.filter(picks, lambda x: x.isNotNull()).alias("_bounds"))
+    else:
+        shares = [i / buckets for i in range(1, buckets)]
+        sketch = F.percentile_approx(key, shares, max(2000, 4 * buckets))
+        limits = df.groupBy(*groups).agg(F.array_distinct(sketch).alias("_bounds"))
+    return limits.withColumn("_coarse", F.filter("_bounds", lambda _, i: i % BUCKETS == BUCKETS - 1))
+
+
+def _bucket(key: str):
+    """Number of range limits below the key, found in a coarse and a fine step."""
+    coarse = F.size(F.filter("_coarse", lambda b: b < F.col(key))) * BUCKETS
+    return coarse + F.size(F.filter(F.slice("_bounds", coarse + 1, BUCKETS), lambda b: b < F.col(key)))
 
 
 def running_totals(
-    df: DataFrame, groups: list[str], key: str, sums: list[str], buckets: int = BUCKETS, stored: bool = False
+    df: DataFrame, groups: list[str], key: str, sums: list[str], buckets: int | None = None, stored: bool = False
 ) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` in order of ``key`` within each group.
 
@@ -43,8 +55,9 @@ def running_totals(
     if sizes <= ONE_TASK_ROWS:
         plain = Window.partitionBy(*own).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
         return base.withColumns({f"cum_{c}": F.sum(c).over(plain) for c in sums}).drop("_all")
+    buckets = buckets or min(MAX_BUCKETS, max(BUCKETS, sizes // ROWS_PER_BUCKET))
     cut = attach_small(base, _bounds(base, own, key, buckets), own)
-    cut = cut.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(key)))).drop("_bounds")
+    cut = cut.withColumn("_bucket", _bucket(key)).drop("_bounds", "_coarse")
     before = Window.partitionBy(*own).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*own, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
     offsets = totals.select(*own, "_bucket", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
@@ -55,7 +68,7 @@ def running_totals(
     return out.drop("_bucket", "_all", *[f"_o_{c}" for c in sums])
 
 
-def row_numbers(df: DataFrame, key: str, name: str = "row_number", buckets: int = BUCKETS) -> DataFrame:
+def row_numbers(df: DataFrame, key: str, name: str = "row_number", buckets: int | None = None) -> DataFrame:
     """Global 1-based position in order of a unique ``key``."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
     return running_totals(ones, [], key, ["_one"], buckets, stored=True).withColumnRenamed("cum__one", name).drop("_one")

@@ -193,7 +193,8 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], points: int = 17, passes:
     """Lambda of largest likelihood per column.
 
     Every pass scores a grid of lambdas for all columns in one aggregation with map-side combine and then
-    narrows the grid around the best one, so the number of passes is fixed whatever the data size.
+    narrows the grid around the best one, so the number of passes is fixed whatever the data size. A best
+    lambda at the edge moves the grid instead.
     """
     values = df.select(
         F.inline(
@@ -203,7 +204,8 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], points: int = 17, passes:
         )
     ).where(F.col("x").isNotNull())
     span = [(-10.0, 10.0)] * len(columns)
-    for _ in range(passes):
+    middle, left = [1.0] * len(columns), [passes] * len(columns)
+    for _ in range(passes + 8):
         steps = [(hi - lo) / (points - 1) for lo, hi in span]
         starts = F.element_at(F.array(*[F.lit(lo) for lo, _ in span]), F.col("c") + 1)
         widths = F.element_at(F.array(*[F.lit(w) for w in steps]), F.col("c") + 1)
@@ -224,9 +226,18 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], points: int = 17, passes:
             lam = span[r["c"]][0] + r["k"] * steps[r["c"]]
             if r["v"] and math.isfinite(r["v"]) and r["v"] > 0:
                 scores[r["c"]][r["k"]] = -r["n"] / 2 * math.log(r["v"]) + (lam - 1) * r["g"]
-        peaks = [_peak(s) for s in scores]
-        middle = [1.0 if p is None else lo + p * w for p, (lo, _), w in zip(peaks, span, steps)]
-        span = [(m - w, m + w) for m, w in zip(middle, steps)]
+        for i, (lo, hi) in enumerate(span):
+            at = _peak(scores[i])
+            if left[i] == 0 or at is None:
+                left[i] = 0
+                continue
+            middle[i] = lo + at * steps[i]
+            edge = at in (0.0, float(points - 1))
+            reach = (hi - lo) / 2 if edge else steps[i]
+            left[i] -= 0 if edge else 1
+            span[i] = (middle[i] - reach, middle[i] + reach)
+        if not any(left):
+            break
     return middle
 
 

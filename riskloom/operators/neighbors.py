@@ -68,11 +68,49 @@ def nearest_neighbors(
 
     ``vec_col`` holds ``array<double>``. With ``skip_self`` a row is not its own neighbour. Ties are broken
     by id, so the result does not depend on partitioning.
+
+    Copies of a vector are searched once: of equal corpus rows only the smallest ids can be chosen, and
+    equal query rows share one answer, which is joined back afterwards.
     """
     spark = queries.sparkSession
     kind = queries.schema[id_col].dataType.simpleString()
-    q = queries.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    result = f"query_id {kind}, neighbor_id {kind}, distance double, rank int"
+    need = k + (1 if skip_self else 0)
+    q_all = _keyed(queries, id_col, vec_col)
+    distinct = materialize(q_all.groupBy("h", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "distinct")
+    copies = distinct.agg(F.max("n")).first()[0]
+    if copies is None:
+        return spark.createDataFrame([], result)
+    # Spark cuts to `need` rows per vector and task before the shuffle, however many copies there are
+    same = Window.partitionBy("h", "vec").orderBy("id")
+    c = _keyed(corpus, id_col, vec_col).withColumn("r", F.row_number().over(same)).where(F.col("r") <= need)
+    c = materialize(c.select("id", "vec"), "vectors")
+    found = _search(distinct.select("id", "vec"), c, need, metric, farthest, block_rows, pivots)
+    if copies > 1:
+        answers = found.groupBy("query_id").agg(
+            F.sort_array(F.collect_list(F.struct("rank", "neighbor_id", "distance"))).alias("a")
+        )  # at most `need` entries per query
+        answers = materialize(distinct.join(answers, distinct["id"] == answers["query_id"]).select("h", "vec", "a"), "answers")
+        found = q_all.join(answers, ["h", "vec"]).select(F.col("id").alias("query_id"), F.inline("a"))
+    if skip_self:
+        ahead = F.max(F.when(F.col("neighbor_id") == F.col("query_id"), F.col("rank"))).over(Window.partitionBy("query_id"))
+        found = found.withColumn("own", ahead).where(F.col("neighbor_id") != F.col("query_id"))
+        found = found.withColumn("rank", F.col("rank") - F.coalesce((F.col("rank") > F.col("own")).cast("int"), F.lit(0)))
+    return found.where(F.col("rank") <= k).select("query_id", "neighbor_id", "distance", F.col("rank").cast("int").alias("rank"))
+
+
+def _keyed(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, vec, h): the digest is compared before the vector and keeps sorts cheap."""
+    vec = F.col(vec_col).cast("array<double>")
+    return df.select(F.col(id_col).alias("id"), vec.alias("vec"), F.xxhash64(vec).alias("h"))
+
+
+def _search(
+    q: DataFrame, c: DataFrame, need: int, metric: str, farthest: bool, block_rows: int, pivots: int | None
+) -> DataFrame:
+    """(query_id, neighbor_id, distance, rank) with the ``need`` best corpus rows per query row (id, vec)."""
+    spark = q.sparkSession
+    kind = q.schema["id"].dataType.simpleString()
     result = f"query_id {kind}, neighbor_id {kind}, distance double, rank int"
     n_corpus = c.count()
     if n_corpus == 0:
@@ -80,7 +118,6 @@ def nearest_neighbors(
     m = pivots or min(MAX_PIVOTS, max(1, n_corpus // block_rows))
     picked = c.orderBy(draw_hash("pivot", F.col("id"))).limit(m).collect()
     centers = np.array([r["vec"] for r in picked], dtype=float)
-    need = k + (1 if skip_self else 0)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -155,11 +192,9 @@ def nearest_neighbors(
             c_ids = cs["id"].to_numpy()
             q_ids = qs["id"].to_numpy()
             for row, best, d in _block_top(_stack(qs["vec"]), _stack(cs["vec"]), c_ids, need, metric, farthest):
-                for pos, value in zip(best, d):
-                    if not (skip_self and c_ids[pos] == q_ids[row]):
-                        ids.append(q_ids[row])
-                        near.append(c_ids[pos])
-                        dist.append(float(value))
+                ids.extend([q_ids[row]] * len(best))
+                near.extend(c_ids[best])
+                dist.extend(float(value) for value in d)
         return pd.DataFrame({"query_id": ids, "neighbor_id": near, "distance": dist})
 
     keys = ["cell", "qblock", "cblock"]
@@ -170,7 +205,7 @@ def nearest_neighbors(
     )
     order = F.col("distance").desc() if farthest else F.col("distance").asc()
     best = Window.partitionBy("query_id").orderBy(order, "neighbor_id")
-    return pairs.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
+    return pairs.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= need)
 
 
 def mean_distance(neighbors: DataFrame) -> DataFrame:

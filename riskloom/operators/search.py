@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.config import FeatureSpec
 from riskloom.operators.features import build_preprocessor
 from riskloom.operators.metrics import METRICS, classification_metrics, confusion_matrix, cv_summary, metrics_long
-from riskloom.operators.models import apply_model, fit_model
+from riskloom.operators.models import apply_model, family, fit_model
 from riskloom.operators.sampling import no_sampling, sampler_by_name
 from riskloom.operators.select import best_passing, with_gates
 from riskloom.operators.split import stratified_folds
@@ -95,13 +95,16 @@ def cross_validate(
     by side on the driver's threads. Each scored fold is one folder of the table, so nothing is held on the
     driver and a failed candidate leaves the others untouched.
     """
+    family(exp.model), sampler_by_name(exp.sampler)  # unknown names fail here, before any work
     spark = df.sparkSession
     base = scratch_path(spark, "folds")
+    df = df.select(exp.key, *exp.spec.columns, exp.label)
     keep = ["key", F.col("label").alias("y_true")]
     seed = exp.seed if fold_seed is None else fold_seed
     failures: list[str] = []
     for r in range(repeats):
-        folded = stratified_folds(df, exp.label, exp.key, k, seed + r, "_fold")
+        # stored once, because every fold's fits read it several times
+        folded = materialize(stratified_folds(df, exp.label, exp.key, k, seed + r, "_fold"), "folded")
         for f in range(k):
             train, test = folded.where(F.col("_fold") != f).drop("_fold"), folded.where(F.col("_fold") == f).drop("_fold")
             prep = build_preprocessor(exp.spec, exp.variant).fit(train)
