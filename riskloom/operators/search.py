@@ -91,8 +91,8 @@ def cross_validate(
 ) -> DataFrame:
     """Scored rows of every candidate, repeat, fold and side, as one stored table.
 
-    Preprocessing and resampling are fitted once per fold and shared by all candidates, whose fits run side
-    by side on the driver's threads. Each scored fold is one folder of the table, so nothing is held on the
+    Preprocessing and resampling are fitted once per fold and shared by all candidates; folds run side by
+    side on the driver's threads. Each scored fold is one folder of the table, so nothing is held on the
     driver and a failed candidate leaves the others untouched.
     """
     family(exp.model), sampler_by_name(exp.sampler)  # unknown names fail here, before any work
@@ -102,31 +102,34 @@ def cross_validate(
     keep = ["key", F.col("label").alias("y_true")]
     seed = exp.seed if fold_seed is None else fold_seed
     failures: list[str] = []
+    folded = {}
     for r in range(repeats):
         # stored once, because every fold's fits read it several times
-        folded = materialize(stratified_folds(df, exp.label, exp.key, k, seed + r, "_fold"), "folded")
-        for f in range(k):
-            train, test = folded.where(F.col("_fold") != f).drop("_fold"), folded.where(F.col("_fold") == f).drop("_fold")
-            prep = build_preprocessor(exp.spec, exp.variant).fit(train)
-            sides = {"test": materialize(prepared(prep, test, exp), "test")}
-            train_rows = materialize(prepared(prep, train, exp), "train")
-            if with_train:
-                sides["train"] = train_rows
-            balanced = resample(train_rows, exp)
-            if exp.sampler not in (None, "None", "Passthrough"):
-                balanced = materialize(balanced, "balanced")
-
-            def one(c: int) -> None:
-                try:
-                    model = fit_model(exp.model, candidates[c], balanced, exp.seed)
-                    for side, rows in sides.items():
-                        out = f"{base}/candidate={c}/repeat={r}/fold={f}/side={side}"
-                        apply_model(model, rows, keep).write.parquet(out)
-                except Exception as problem:  # one candidate must not stop the others
-                    failures.append(f"candidate {c}: {type(problem).__name__}: {problem}")
-
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                list(pool.map(one, range(len(candidates))))
+        folded[r] = materialize(stratified_folds(df, exp.label, exp.key, k, seed + r, "_fold"), "folded")
+
+    def one_fold(r: int, f: int) -> None:
+        train = folded[r].where(F.col("_fold") != f).drop("_fold")
+        test = folded[r].where(F.col("_fold") == f).drop("_fold")
+        prep = build_preprocessor(exp.spec, exp.variant).fit(train)
+        sides = {"test": materialize(prepared(prep, test, exp), "test")}
+        train_rows = materialize(prepared(prep, train, exp), "train")
+        if with_train:
+            sides["train"] = train_rows
+        balanced = train_rows
+        if exp.sampler not in (None, "None", "Passthrough"):
+            balanced = materialize(resample(train_rows, exp), "balanced")
+        for c, params in enumerate(candidates):
+            try:
+                model = fit_model(exp.model, params, balanced, exp.seed)
+                for side, rows in sides.items():
+                    out = f"{base}/candidate={c}/repeat={r}/fold={f}/side={side}"
+                    apply_model(model, rows, keep).write.parquet(out)
+            except Exception as problem:  # one candidate must not stop the others
+                failures.append(f"candidate {c}: {type(problem).__name__}: {problem}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for done in [pool.submit(one_fold, r, f) for r in range(repeats) for f in range(k)]:
+            done.result()
     if len(failures) >= len(candidates) * k * repeats:
         raise RuntimeError(f"every candidate failed; first: {failures[0]}")
     schema = "key string, y_true int, y_pred int, y_prob double, candidate int, repeat int, fold int, side string"
@@ -139,8 +142,14 @@ def fold_metrics(scored: DataFrame) -> DataFrame:
 
 
 def cv_results(folds: DataFrame, candidates: Sequence[Mapping], metrics: Sequence[str] = METRICS) -> DataFrame:
-    """One row per candidate with ``mean_``/``std_`` of every metric on both sides, its rank and parameters."""
-    long = metrics_long(folds, ["candidate", "side"], metrics)
+    """One row per candidate with ``mean_``/``std_`` of every metric on both sides, its folds and parameters.
+
+    A candidate that failed in some fold has fewer folds than the others and gets no means.
+    """
+    seen = folds.where("side = 'test'").groupBy("candidate").agg(F.count(F.lit(1)).alias("folds"))
+    full = seen.agg(F.max("folds")).first()[0]
+    whole = seen.where(F.col("folds") == full).select("candidate")
+    long = metrics_long(folds.join(whole, "candidate", "left_semi"), ["candidate", "side"], metrics)
     summary = cv_summary(long, ["candidate", "side"])
     pieces = []
     for side in ("test", "train"):
@@ -153,7 +162,7 @@ def cv_results(folds: DataFrame, candidates: Sequence[Mapping], metrics: Sequenc
     params = spark.createDataFrame(
         [(i, {k: str(v) for k, v in c.items()}) for i, c in enumerate(candidates)], "candidate int, params map<string,string>"
     )
-    return wide.join(params, "candidate")
+    return seen.join(wide, "candidate", "left").join(params, "candidate")
 
 
 @dataclass
@@ -187,9 +196,12 @@ def grid_search(
     """
     candidates = exp.candidates()
     scored = cross_validate(df, exp, candidates, k, repeats, parallelism)
-    results = materialize(with_gates(cv_results(fold_metrics(scored), candidates), **(gates or {})), "cv")
+    folds = materialize(fold_metrics(scored), "foldmetrics")
+    results = materialize(with_gates(cv_results(folds, candidates), **(gates or {})), "cv")
     rows = sorted(results.collect(), key=lambda r: r["candidate"])  # one row per candidate
-    best = max(rows, key=lambda r: (r[f"mean_test_{primary}"] or 0.0, -r["candidate"]))
+    if all(r[f"mean_test_{primary}"] is None for r in rows):
+        raise RuntimeError(f"no candidate has a value of {primary} in every fold")
+    best = max(rows, key=lambda r: (r[f"mean_test_{primary}"] is not None, r[f"mean_test_{primary}"] or 0.0, -r["candidate"]))
     passing = best_passing(results.withColumn("_g", F.lit(0)), "_g").collect()
     chosen = passing[0]["candidate"] if passing else None
     model = fit_final(df, exp, candidates[best["candidate"]]) if refit else None
@@ -204,7 +216,7 @@ def grid_search(
         new_run(
             f"{name}__cand_{r['candidate']}",
             {f"cand::{p}": v for p, v in candidates[r["candidate"]].items()},
-            {**_cell(r, "cv_cand_"), "gate_gap_auc": r["gate_gap_auc"], "gate_gap_f1": r["gate_gap_f1"]},
+            {**_cell(r, "cv_cand_"), "gate_gap_auc": r["gate_gap_auc"], "gate_gap_f1": r["gate_gap_f1"], "folds": r["folds"]},
             {
                 "candidate_index": r["candidate"],
                 "is_best": r["candidate"] == best["candidate"],
@@ -234,7 +246,7 @@ def _cell(row, prefix: str) -> dict[str, float]:
 
 def out_of_fold(df: DataFrame, exp: Experiment, params: Mapping | None = None, k: int = 5, threshold: float | None = None) -> DataFrame:
     """(key, y_true, y_pred, y_prob): every row scored by the model that did not see it."""
-    scored = cross_validate(df, exp, [dict(params or {})], k, 1, 1, with_train=False)
+    scored = cross_validate(df, exp, [dict(params or {})], k, 1, with_train=False)
     rows = scored.select("key", "y_true", "y_pred", "y_prob")
     if threshold is not None:
         rows = rows.withColumn("y_pred", (F.col("y_prob") >= F.lit(threshold)).cast("int"))
@@ -252,7 +264,7 @@ def evaluate(
     metrics: Sequence[str] = METRICS,
 ) -> tuple[DataFrame, DataFrame]:
     """(metric table with train and test cells, out-of-fold confusion matrix) of one configuration."""
-    scored = cross_validate(df, exp, [dict(params or {})], k, repeats, 1)
+    scored = cross_validate(df, exp, [dict(params or {})], k, repeats)
     summary = cv_summary(metrics_long(fold_metrics(scored), ["side"], metrics), ["side"])
     cells = []
     for side in ("train", "test"):
@@ -271,7 +283,7 @@ def train_and_record(
 ) -> tuple[dict, FittedPipeline, DataFrame]:
     """(run record with mean test scores, model fitted on all rows, out-of-fold confusion matrix)."""
     metrics = tuple(m for m in METRICS if m != "gmean")
-    scored = cross_validate(df, exp, [dict(params or {})], k, repeats, 1, with_train=False)
+    scored = cross_validate(df, exp, [dict(params or {})], k, repeats, with_train=False)
     means = cv_summary(metrics_long(fold_metrics(scored), ["side"], metrics), ["side"])
     scores = {r["metric"]: r["mean"] for r in means.collect()}
     run = new_run(

@@ -140,3 +140,10 @@ def test_labels(spark):
     df = spark.createDataFrame([(1, 1.0, [0.2, 0.8]), (2, 0.0, [0.7, 0.3])], "id int, prediction double, probability array<double>")
     assert label_predictions(df, ["id"]).collect() == [(1, "Riesgo Alto", 1, 0.8), (2, "Riesgo Bajo", 0, 0.7)]
     assert label_predictions(df.drop("probability"), ["id"]).collect() == [(1, "Riesgo Alto", 1, 1.0), (2, "Riesgo Bajo", 0, 0.0)]
+
+
+def test_candidates_with_missing_folds_get_no_mean(spark):
+    rows = [(c, 0, f, s, 0.5 + c / 10) for c in (0, 1) for f in (0, 1) for s in ("test", "train") if not (c == 1 and f == 1)]
+    df = spark.createDataFrame(rows, "candidate int, repeat int, fold int, side string, roc_auc double")
+    got = {r["candidate"]: (r["folds"], r["mean_test_roc_auc"]) for r in se.cv_results(df, [{}, {}], ["roc_auc"]).collect()}
+    assert got == {0: (2, 0.5), 1: (1, None)}
