@@ -14,7 +14,7 @@ BUCKETS = 64
 MAX_BUCKETS = BUCKETS * BUCKETS
 ROWS_PER_BUCKET = 1_000_000
 # Groups up to this many grouped rows are ordered by one task each; larger ones are cut into ranges.
-ONE_TASK_ROWS = 50_000
+ONE_TASK_ROWS = 1_000_000
 
 
 def _bounds(df: DataFrame, groups: list[str], key: str, buckets: int) -> DataFrame:

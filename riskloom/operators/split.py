@@ -8,6 +8,7 @@ is partitioned.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ def _cut_count(df: DataFrame, stratum: str, digest: Column, cuts: dict, wanted:
     return branch
 
 
-def _labelled(df: DataFrame, stratum: str, digest: Column, wanted: dict, name: str) -> DataFrame:
-    cuts = hash_cutoffs(df, stratum, digest, wanted)
+def _labelled(df: DataFrame, stratum: str, digest: Column, wanted: dict, name: str, cuts: dict | None = None) -> DataFrame:
+    cuts = hash_cutoffs(df, stratum, digest, wanted) if cuts is None else cuts
     if len(wanted) <= 50:
         return df.withColumn(name, _cut_count(df, stratum, digest, cuts, wanted))
     kind = df.schema[stratum].dataType.simpleString()
@@ -68,21 +69,33 @@ def train_test(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed
     return marked.where("_split = 'train'").drop("_split"), marked.where("_split = 'test'").drop("_split")
 
 
-def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 1, name: str = "fold") -> DataFrame:
-    """Add fold numbers 0..k-1; within each class fold sizes differ by at most one."""
-    counts = strata_counts(df, label)
-    wanted = {}
+def _fold_ends(counts: dict, k: int) -> dict:
+    """Per class the ranks at which folds 0..k-2 end; sizes differ by at most one."""
+    out = {}
     for s, n in counts.items():
         sizes = [n // k + (1 if f < n % k else 0) for f in range(k)]
-        wanted[s] = [sum(sizes[: f + 1]) for f in range(k - 1)]
-    return _labelled(df, label, draw_hash(seed, F.col(key)), wanted, name)
+        out[s] = [sum(sizes[: f + 1]) for f in range(k - 1)]
+    return out
+
+
+def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 1, name: str = "fold") -> DataFrame:
+    """Add fold numbers 0..k-1; within each class fold sizes differ by at most one."""
+    return _labelled(df, label, draw_hash(seed, F.col(key)), _fold_ends(strata_counts(df, label), k), name)
 
 
 def repeated_folds(df: DataFrame, label: str, key: str, k: int = 5, repeats: int = 3, seed: int = 1) -> DataFrame:
-    """Add ``fold_0`` .. ``fold_{r-1}``: independent stratified foldings with seeds seed, seed + 1, ..."""
+    """Add ``fold_0`` .. ``fold_{r-1}``: independent stratified foldings with seeds seed, seed + 1, ...
+
+    Classes are counted once, and the cut-offs of all repeats are found side by side.
+    """
+    ends = _fold_ends(strata_counts(df, label), k)
+    digests = [draw_hash(seed + r, F.col(key)) for r in range(repeats)]
+    with ThreadPoolExecutor(max_workers=min(4, max(1, repeats))) as pool:
+        cuts = list(pool.map(lambda h: hash_cutoffs(df, label, h, ends), digests))
+    out = df
     for r in range(repeats):
-        df = stratified_folds(df, label, key, k, seed + r, f"fold_{r}")
-    return df
+        out = _labelled(out, label, digests[r], ends, f"fold_{r}", cuts[r])
+    return out
 
 
 def class_weights(df: DataFrame, label: str) -> dict:

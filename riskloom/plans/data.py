@@ -96,7 +96,7 @@ DRIFT = {
     "user_id": "user_id",
     "quarter": "CAST(event_id % 4 AS INT)",
     "parity": "CAST(event_id % 2 AS INT)",
-    "late": "CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 0 END",
+    "late": "CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-16' THEN 1 ELSE 0 END",
 }
 DRIFT_SQL = _sql(DRIFT, "events")
 DRIFT_COLUMNS = ("value", "event_type", "user_id", "quarter", "parity")
