@@ -85,7 +85,7 @@ def test_gates(spark):
 
 def test_names_and_params(spark):
     names = {
-        "RandomForest + SMOTE v2__GRID": ("rf", "rf"), "g57-LogReg-SMOTE-v2": ("lr", "lr"), "random forest 3": ("rf", "x"),
+        "RandomForest + SMOTE v2__GRID": ("rf", "rf"), "team-LogReg-SMOTE-v2": ("lr", "lr"), "random forest 3": ("rf", "x"),
         "SVC + SMOTE v2__GRID": ("svc", "svc"), "kneighbors": ("knn", "x"), "Decision tree": ("dt", "x"), "mystery": (None, "x"), "xgb2": ("xgb", "xgb"),
     }
     df = spark.createDataFrame([(n,) for n in names], "n string")
