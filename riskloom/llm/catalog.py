@@ -6,12 +6,15 @@ from riskloom.llm.byte_bpe import op6_byte_bpe
 from riskloom.llm.language import op10_language_id
 from riskloom.llm.licenses import op7_license_scan
 from riskloom.llm.mixing import OP8_SQL, op8_mixing
+from riskloom.llm.neighbours import op1_learned_partitions
 from riskloom.llm.pseudonyms import op5_pseudonyms
 from riskloom.llm.simhash import op3_simhash_near_dedup
 from riskloom.llm.token_counts import op4_token_counts
 from riskloom.llm.toxicity import op2_toxicity
+from riskloom.llm.vector_dedup import op9_nn_descent
 
 QUERIES = {
+    "op1_learned_partitions": op1_learned_partitions,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_counts": op4_token_counts,
@@ -19,6 +22,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_license_scan": op7_license_scan,
     "op8_mixing": op8_mixing,
+    "op9_nn_descent": op9_nn_descent,
     "op10_language_id": op10_language_id,
 }
 ORACLES = {"op8_mixing": OP8_SQL}
