@@ -216,22 +216,31 @@ def _cover(pairs: dict[str, set[int]], against: dict[str, int], clean_share: flo
     return chosen
 
 
-def _kernel(alphabet: Alphabet, strings: list[str], landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(kernel of strings against landmarks, feature table of the landmarks)."""
-    table = np.zeros((len(landmarks), CLASSES**3), dtype=np.float32)
-    for k, s in enumerate(landmarks):
-        ids, weight = triples(alphabet.matrix([s]))
-        np.add.at(table[k], ids[0], weight)
+def _kernel(alphabet: Alphabet, strings: list[str], landmarks: list[str]) -> np.ndarray:
+    """The kernel of strings against landmarks; one landmark's feature table at a time."""
     out = np.zeros((len(strings), len(landmarks)))
     by_length: dict[int, list[int]] = {}
     for i, s in enumerate(strings):
         by_length.setdefault(len(s), []).append(i)
-    for members in by_length.values():
-        ids, weight = triples(alphabet.matrix([strings[i] for i in members]))
-        if len(weight):
-            for k in range(len(landmarks)):
-                out[members, k] = table[k][ids] @ weight
-    return out, table
+    groups = [(np.array(members), *triples(alphabet.matrix([strings[i] for i in members]))) for members in by_length.values()]
+    table = np.zeros(CLASSES**3, dtype=np.float32)
+    for k, s in enumerate(landmarks):
+        ids, weight = triples(alphabet.matrix([s]))
+        np.add.at(table, ids[0], weight)
+        for members, rows, column in groups:
+            if len(column):
+                out[members, k] = table[rows] @ column
+        table[ids[0]] = 0
+    return out
+
+
+def _folded(alphabet: Alphabet, landmarks: list[str], factor: np.ndarray) -> np.ndarray:
+    """The weight of every triple: the landmarks' features, each times its factor."""
+    table = np.zeros(CLASSES**3)
+    for s, f in zip(landmarks, factor.tolist(), strict=True):
+        ids, weight = triples(alphabet.matrix([s]))
+        np.add.at(table, ids[0], f * weight)
+    return table.astype(np.float32)
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
@@ -324,8 +333,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: str
         rest = LANDMARKS - len(best)
         landmarks = best + [ordered[i] for i in np.linspace(0, len(ordered) - 1, min(rest, len(ordered))).astype(int)]
         strings = list(positives) + ordered
-        similar, table = _kernel(alphabet, strings, landmarks)
-        own = _kernel(alphabet, landmarks, landmarks)[0]
+        similar = _kernel(alphabet, strings, landmarks)
+        own = _kernel(alphabet, landmarks, landmarks)
         value, vector = np.linalg.eigh((own + own.T) / 2)
         use = value > 1e-6 * value[-1]
         root = vector[:, use] / np.sqrt(value[use])
@@ -334,8 +343,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: str
         needed = np.minimum(np.array(list(positives.values())), 20.0)
         weight = np.concatenate([needed / needed.sum(), np.full(len(ordered), 1.0 / len(ordered))]) * COST
         w, bias = _svm(similar @ root, y, weight)
-        folded = ((root @ w) @ table).astype(np.float32)
-        machine = Machine(uuid.uuid4().hex, alphabet.characters, folded, bias)
+        machine = Machine(uuid.uuid4().hex, alphabet.characters, _folded(alphabet, landmarks, root @ w), bias)
         if turn == ROUNDS:
             break
         scored = stats.withColumn("margin", margins_of(spark, machine, F.col("unit")))
