@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.hashing import draw_hash, hash_cutoffs
+from riskloom.functions.text import nan_to_null
 from riskloom.runtime import attach_small, materialize
 
 # Ranges per group: at least this many, more for large groups, found in two steps of this width.
@@ -103,14 +104,14 @@ def take_smallest(df: DataFrame, n: int, value: str, key: str, seed=0, largest:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
-    """Exact linearly interpolated quantiles of numeric columns, nulls skipped.
+    """Exact linearly interpolated quantiles of numeric columns, nulls and NaN skipped.
 
     A sketch brackets each wanted rank in a first pass; a second pass groups only the values inside the
     brackets. A bracket that misses its rank is widened to everything.
     """
     slack = 0.005
     lo_hi = [p for q in probs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    src = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     sketch = src.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
         *[F.percentile_approx(c, lo_hi, 2000).alias(f"s_{i}") for i, c in enumerate(columns)],
@@ -132,6 +133,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
             part = pos - int(pos)
             first, second = got.get((k, 0)), got.get((k, 1))
             if first is None or (part > 0 and second is None):
+                if todo[k][3] == float("-inf") and todo[k][4] == float("inf"):
+                    raise RuntimeError(f"rank {pos} of column {c} was not found among all its values")
                 missed.append((c, q, pos, float("-inf"), float("inf")))
             else:
                 out[(c, q)] = first if part == 0 else first + part * (second - first)

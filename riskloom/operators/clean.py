@@ -197,12 +197,15 @@ def convert_if_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, c in enumerate(columns):
         number = to_num(F.col(c))
         checks.append(F.count(F.when(F.col(c).isNotNull() & number.isNull(), 1)).alias(f"bad_{i}"))
-        checks.append(F.count(F.when(number.isNull() | (number != F.floor(number)), 1)).alias(f"frac_{i}"))
+        # 2**63 and more is no bigint; such columns stay double.
+        checks.append(F.count(F.when(number.isNull() | (number != F.floor(number)) | (F.abs(number) >= 2.0**63), 1)).alias(f"frac_{i}"))
     seen = df.agg(*checks).first()
     out = {}
     for i, c in enumerate(columns):
         if seen[f"bad_{i}"] == 0:
-            out[c] = to_num(F.col(c)).cast("bigint") if seen[f"frac_{i}"] == 0 else to_num(F.col(c))
+            # Straight from the text where it is spelled as an integer: a double holds only 53 bits.
+            whole = F.coalesce(F.trim(F.col(c).cast("string")).try_cast("bigint"), to_num(F.col(c)).cast("bigint"))
+            out[c] = whole if seen[f"frac_{i}"] == 0 else to_num(F.col(c))
     return df.withColumns(out) if out else df
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from riskloom.config import FeatureSpec
 from riskloom.functions.ordering import exact_quantiles, long_form, ordered_index
-from riskloom.functions.text import to_num
+from riskloom.functions.text import nan_to_null, to_num
 from riskloom.operators.clean import value_counts_long
 from riskloom.runtime import collect_bounded
 
@@ -61,7 +61,7 @@ class NumberCast(_Columns, Transformer):
         out = {}
         for i, o in self.pairs():
             numeric = isinstance(df.schema[i].dataType, T.NumericType)
-            out[o] = F.col(i).cast("double") if numeric else to_num(F.col(i))
+            out[o] = nan_to_null(F.col(i).cast("double")) if numeric else to_num(F.col(i))
         return df.withColumns(out)
 
 

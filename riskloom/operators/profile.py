@@ -21,16 +21,23 @@ def _unpivot_row(row: DataFrame, columns: Sequence[str], stats: dict[str, str])
     return row.select(F.inline(F.array(*parts)))
 
 
+def _nan_as_null(df: DataFrame) -> DataFrame:
+    """``df`` with NaN as null in its floating-point columns."""
+    return df.select(*[F.nanvl(F.col(f"`{n}`"), F.lit(None).cast(t)).alias(n) if t in ("double", "float") else F.col(f"`{n}`") for n, t in df.dtypes])
+
+
 def info(df: DataFrame) -> DataFrame:
-    """Type and non-null count of each column."""
+    """Type and non-null count of each column; NaN counts as null."""
+    df = _nan_as_null(df)
     aggs = [F.count(c).alias(f"non_null_{i}") for i, c in enumerate(df.columns)]
     types = [F.lit(t).alias(f"type_{i}") for i, (_, t) in enumerate(df.dtypes)]
     return _unpivot_row(df.agg(*aggs).select("*", *types), df.columns, {"type": "string", "non_null": "bigint"})
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample standard deviation, min, exact quartiles, max; one row per column."""
+    """count, mean, sample standard deviation, min, exact quartiles, max; one row per column, NaN as missing."""
     columns = list(columns)
+    df = _nan_as_null(df.select(*columns))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(columns):
@@ -79,6 +86,8 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: str = "value") -> Da
 
 
 def null_counts(df: DataFrame) -> DataFrame:
+    """Missing values of each column; NaN is missing."""
+    df = _nan_as_null(df)
     aggs = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
     return _unpivot_row(df.agg(*aggs), df.columns, {"nulls": "bigint"})
 

@@ -358,14 +358,15 @@ def overall_winner(table: DataFrame, order: Sequence[str] = METRIC_PREFERENCE) -
 
 
 def pick_best_row(table: DataFrame) -> DataFrame:
-    """Best row of a model table: by ``metric_value`` if it is there, else by AUC > F1 > accuracy > precision > recall."""
+    """Best row of a model table: by ``metric_value`` if it is there, else by AUC > F1 > accuracy > precision > recall;
+    equal ones by the rows' JSON text."""
     if "metric_value" in table.columns:
-        return table.orderBy(F.col("metric_value").desc_nulls_last()).limit(1)
+        return table.orderBy(F.col("metric_value").desc_nulls_last(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns]))).limit(1)
     lower = {c.lower(): c for c in table.columns}
     for m in ("roc_auc", "f1", "accuracy", "precision", "recall"):
         for name in (f"cv_cand_test_{m}", m, "auc" if m == "roc_auc" else m):
             if name in lower:
-                return table.orderBy(F.col(lower[name]).desc_nulls_last()).limit(1)
+                return table.orderBy(F.col(lower[name]).desc_nulls_last(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns]))).limit(1)
     return table.limit(1)
 
 

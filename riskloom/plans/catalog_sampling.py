@@ -142,7 +142,7 @@ def edited_neighbors(spark, d):
 
 
 def _tomek_sql(table: str) -> str:
-    return f"""one AS ({knn_sql(table, table, 1)}), links AS (SELECT x.query_id AS a, x.neighbor_id AS b FROM one x JOIN one z
+    return f"""one AS MATERIALIZED ({knn_sql(table, table, 1)}), links AS (SELECT x.query_id AS a, x.neighbor_id AS b FROM one x JOIN one z
       ON x.query_id = z.neighbor_id AND x.neighbor_id = z.query_id JOIN {table} p1 ON p1.id::VARCHAR = x.query_id
       JOIN {table} p2 ON p2.id::VARCHAR = x.neighbor_id WHERE x.query_id < x.neighbor_id AND p1.y <> p2.y)"""
 

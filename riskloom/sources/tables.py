@@ -137,5 +137,5 @@ def read_drift_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest(df: DataFrame, by: str, limit: int = 1) -> DataFrame:
-    """The newest rows of a log or report table."""
-    return df.orderBy(F.col(by).desc_nulls_last()).limit(limit)
+    """The newest rows of a log or report table; equal times are ordered by the rows' JSON text."""
+    return df.orderBy(F.col(by).desc_nulls_last(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).limit(limit)

@@ -131,3 +131,11 @@ def test_quality_and_code_book(spark):
 def test_missing_request_column_is_an_error(spark):
     with pytest.raises(ValueError):
         checks.check_requests(spark.createDataFrame([(1.0,)], "age double"))
+
+
+def test_lenient_conversion_keeps_long_integers(spark):
+    df = spark.createDataFrame([("9007199254740993", "5.0"), (" 9007199254740995", "1e3")], "a string, b string")
+    out = clean.convert_if_all(df, df.columns)
+    assert [tuple(r) for r in out.collect()] == [(9007199254740993, 5), (9007199254740995, 1000)]
+    big = spark.createDataFrame([("99999999999999999999",)], "a string")
+    assert clean.convert_if_all(big, ["a"]).dtypes == [("a", "double")]

@@ -147,3 +147,33 @@ def test_candidates_with_missing_folds_get_no_mean(spark):
     df = spark.createDataFrame(rows, "candidate int, repeat int, fold int, side string, roc_auc double")
     got = {r["candidate"]: (r["folds"], r["mean_test_roc_auc"]) for r in se.cv_results(df, [{}, {}], ["roc_auc"]).collect()}
     assert got == {0: (2, 0.5), 1: (1, None)}
+
+
+def test_nan_is_missing(spark):
+    from riskloom.operators import profile
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert [r["nulls"] for r in profile.null_counts(df).collect()] == [2]
+    row = profile.describe_numeric(df, ["x"]).first().asDict()
+    assert row["count"] == 2 and row["mean"] == 2.0
+
+
+def test_a_failed_fold_is_not_passed_over(spark, monkeypatch):
+    rows = [(i, float(i % 7), float(i), "A" if i % 2 else "B", float(i % 3), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, n1 double, n2 double, c1 string, o1 double, y int")
+    spec = FeatureSpec(numeric=("n1", "n2"), nominal=("c1",), ordinal=("o1",))
+    exp = se.Experiment("LogisticRegression", spec, "y", "id")
+    true_fit, calls = se.fit_model, []
+
+    def fails_once(name, params, train, seed):
+        calls.append(params)
+        if params.get("C") == 0.5 and sum(p.get("C") == 0.5 for p in calls) == 2:
+            raise ValueError("planted")
+        return true_fit(name, params, train, seed)
+
+    monkeypatch.setattr(se, "fit_model", fails_once)
+    with pytest.raises(RuntimeError, match="planted"):
+        se.out_of_fold(df, exp, {"C": 0.5}, k=3)
+    calls.clear()
+    scored = se.cross_validate(df, exp, [{"C": 0.5}, {"C": 1.0}], 3, 1, with_train=False)
+    assert [(r["candidate"], r["count"]) for r in scored.groupBy("candidate").count().collect()] == [(1, 60)]
