@@ -30,6 +30,8 @@ CLASSES = 64
 #: Texts are parsed in stretches of this many characters; a phrase ends where a stretch ends, in every language alike.
 STRETCH = 256
 UNKNOWN = "und"
+#: The table of languages is broadcast up to this many rows.
+SMALL_LANGUAGES = 10_000
 
 
 def suffix_automaton(symbols: list[int], classes: int) -> np.ndarray:
@@ -200,7 +202,10 @@ def fit(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text: s
     # A digest below the share TRAIN_TEXTS / n of its range is chosen: about as many rows as wanted, without a sort.
     share = F.least(F.lit(1.0), F.lit(float(TRAIN_TEXTS)) / F.col("n"))
     limits = languages.select("lang", (F.lit(-(2.0**63)) + share * F.lit(2.0**64)).alias("limit"))
-    chosen = usable.select(F.col(lang).alias("lang"), digest.alias("digest"), F.col(text).alias("text")).join(limits, "lang")
+    limits, _ = stored.put(limits)
+    # One row per language; counted before it is broadcast, so that no text is shuffled.
+    side = F.broadcast(limits) if limits.limit(SMALL_LANGUAGES + 1).count() <= SMALL_LANGUAGES else limits
+    chosen = usable.select(F.col(lang).alias("lang"), digest.alias("digest"), F.col(text).alias("text")).join(side, "lang")
     chosen = chosen.where(F.col("digest").cast("double") <= F.col("limit"))
     start = F.pmod(F.col("digest"), F.greatest(F.length("text") - EXCERPT + 1, F.lit(1))).cast("int") + 1
     excerpts, _ = stored.put(chosen.select("lang", "digest", F.substring("text", start, F.lit(EXCERPT)).alias("text")))
