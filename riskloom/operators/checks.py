@@ -42,81 +42,90 @@ REQUEST_RANGES: dict[str, tuple[float, float | None]] = {
     "people_liable": (1.0, 4.0),
 }
 
-# Code book of the 13 coded request columns; labels are listed from the first code upward.
-CODE_LABELS: dict[str, tuple[int, tuple[str, ...]]] = {
-    "status": (
-        1,
-        (
-            "Sin cuenta corriente",
-            "Cuenta con saldo bajo (< 0)",
-            "Cuenta con saldo medio (0-200 DM)",
-            "Cuenta con saldo alto (> 200 DM)",
-        ),
-    ),
-    "credit_history": (
-        0,
-        (
-            "Crédito pagado debidamente hasta ahora",
-            "Créditos pagados debidamente en este banco",
-            "Retrasos en pagos en el pasado",
-            "Cuenta crítica / otros créditos existentes",
-            "Todos los créditos en este banco pagados",
-        ),
-    ),
-    "purpose": (
-        0,
-        (
-            "Carro (nuevo)",
-            "Carro (usado)",
-            "Muebles/Equipo",
-            "Radio/TV",
-            "Electrodomésticos",
-            "Reparaciones",
-            "Educación",
-            "Vacaciones",
-            "Capacitación",
-            "Negocios",
-            "Otros",
-        ),
-    ),
-    "savings": (
-        1,
-        ("Desconocido / Sin ahorros", "< 100 DM", "100 - 500 DM", "500 - 1000 DM", "> 1000 DM"),
-    ),
-    "employment_duration": (1, ("Desempleado", "< 1 año", "1 - 4 años", "4 - 7 años", "> 7 años")),
-    "personal_status_sex": (
-        1,
-        (
-            "Hombre: Divorciado/Separado",
-            "Mujer: Divorciada/Separada/Casada",
-            "Hombre: Soltero",
-            "Hombre: Casado/Viudo",
-            "Mujer: Soltera",
-        ),
-    ),
-    "other_debtors": (1, ("Ninguno", "Co-solicitante", "Garante")),
-    "property": (
-        1,
-        (
-            "Bienes raíces (Casa/Terreno)",
-            "Seguro de vida / Ahorros",
-            "Carro u otro",
-            "Desconocido / Sin propiedad",
-        ),
-    ),
-    "other_installment_plans": (1, ("Bancarios", "Tiendas", "Ninguno")),
-    "housing": (1, ("Alquiler", "Vivienda propia", "Gratis")),
-    "job": (
-        1,
-        (
-            "No calificado - no residente",
-            "No calificado - residente",
-            "Calificado / Obrero",
-            "Gerente / Ejecutivo / Autónomo",
-        ),
-    ),
-    "telephone": (1, ("No", "Sí (registrado)")),
-    "foreign_worker": (1, ("Sí", "No")),
+# Code book of the 13 coded request columns.
+CODE_LABELS: dict[str, dict[float, str]] = {
+    "status": {
+        1.0: "Sin cuenta corriente",
+        2.0: "Cuenta con saldo bajo (< 0)",
+        3.0: "Cuenta con saldo medio (0-200 DM)",
+        4.0: "Cuenta con saldo alto (> 200 DM)",
+    },
+    "credit_history": {
+        0.0: "Crédito pagado debidamente hasta ahora",
+        1.0: "Créditos pagados debidamente en este banco",
+        2.0: "Retrasos en pagos en el pasado",
+        3.0: "Cuenta crítica / otros créditos existentes",
+        4.0: "Todos los créditos en este banco pagados",
+    },
+    "purpose": {
+        0.0: "Carro (nuevo)",
+        1.0: "Carro (usado)",
+        2.0: "Muebles/Equipo",
+        3.0: "Radio/TV",
+        4.0: "Electrodomésticos",
+        5.0: "Reparaciones",
+        6.0: "Educación",
+        7.0: "Vacaciones",
+        8.0: "Capacitación",
+        9.0: "Negocios",
+        10.0: "Otros",
+    },
+    "savings": {
+        1.0: "Desconocido / Sin ahorros",
+        2.0: "< 100 DM",
+        3.0: "100 - 500 DM",
+        4.0: "500 - 1000 DM",
+        5.0: "> 1000 DM",
+    },
+    "employment_duration": {
+        1.0: "Desempleado",
+        2.0: "< 1 año",
+        3.0: "1 - 4 años",
+        4.0: "4 - 7 años",
+        5.0: "> 7 años",
+    },
+    "personal_status_sex": {
+        1.0: "Hombre: Divorciado/Separado",
+        2.0: "Mujer: Divorciada/Separada/Casada",
+        3.0: "Hombre: Soltero",
+        4.0: "Hombre: Casado/Viudo",
+        5.0: "Mujer: Soltera",
+    },
+    "other_debtors": {
+        1.0: "Ninguno",
+        2.0: "Co-solicitante",
+        3.0: "Garante",
+    },
+    "property": {
+        1.0: "Bienes raíces (Casa/Terreno)",
+        2.0: "Seguro de vida / Ahorros",
+        3.0: "Carro u otro",
+        4.0: "Desconocido / Sin propiedad",
+    },
+    "other_installment_plans": {
+        1.0: "Bancarios",
+        2.0: "Tiendas",
+        3.0: "Ninguno",
+    },
+    "housing": {
+        1.0: "Alquiler",
+        2.0: "Vivienda propia",
+        3.0: "Gratis",
+    },
+    "job": {
+        1.0: "No calificado - no residente",
+        2.0: "No calificado - residente",
+        3.0: "Calificado / Obrero",
+        4.0: "Gerente / Ejecutivo / Autónomo",
+    },
+    "telephone": {
+        1.0: "No",
+        2.0: "Sí (registrado)",
+    },
+    "foreign_worker": {
+        1.0: "Sí",
+        2.0: "No",
+    },
 }
 
 
@@ -138,8 +147,7 @@ def contract_rules(columns: Sequence[str] = REQUEST_COLUMNS) -> dict[str, Column
             bad = value < F.lit(low)
             rules[f"{c}:range"] = bad if high is None else bad | (value > F.lit(high))
         if c in CODE_LABELS:
-            first, labels = CODE_LABELS[c]
-            rules[f"{c}:code"] = ~value.isin([float(first + i) for i in range(len(labels))])
+            rules[f"{c}:code"] = ~value.isin(list(CODE_LABELS[c]))
     return rules
 
 
@@ -171,11 +179,7 @@ def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def code_book(spark) -> DataFrame:
     """The code book as a table (column, code, label); its size is fixed."""
-    rows = [
-        (column, float(first + i), label)
-        for column, (first, labels) in CODE_LABELS.items()
-        for i, label in enumerate(labels)
-    ]
+    rows = [(column, code, label) for column, labels in CODE_LABELS.items() for code, label in labels.items()]
     return spark.createDataFrame(rows, "column string, code double, label string")
 
 
@@ -189,15 +193,13 @@ def decode(df: DataFrame, column: str, book: DataFrame | None = None, name: str
     if book is not None:
         renamed = book.select(F.col("code").alias("_code"), F.col("label").alias(name))
         return df.join(renamed, F.col(column) == F.col("_code"), "left").drop("_code")
-    first, labels = CODE_LABELS[column]
-    pairs = [x for i, label in enumerate(labels) for x in (F.lit(float(first + i)), F.lit(label))]
+    pairs = [F.lit(x) for pair in CODE_LABELS[column].items() for x in pair]
     return df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(column).cast("double")))
 
 
 def encode_labels(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """The way back: label text to code."""
-    first, labels = CODE_LABELS[column]
-    pairs = [x for i, label in enumerate(labels) for x in (F.lit(label), F.lit(float(first + i)))]
+    pairs = [F.lit(x) for code, label in CODE_LABELS[column].items() for x in (label, code)]
     return df.withColumn(name or f"{column}_code", F.try_element_at(F.create_map(*pairs), F.col(column)))
 
 

@@ -37,15 +37,27 @@ MIN_TEST_F1 = 0.50
 MAX_GAP_AUC = 0.05
 MAX_GAP_F1 = 0.06
 
-# Spellings of each model family in run names.
-FAMILY_TOKENS = {
-    "lr": ("lr", "logreg", "logistic", "logit"),
-    "rf": ("rf", "randomforest"),
-    "mlp": ("mlp", "nn", "neural", "perceptron"),
-    "svc": ("svc", "svm"),
-    "knn": ("knn", "kneighbors"),
-    "dt": ("dt", "decisiontree", "tree"),
-    "xgb": ("xgb", "xgboost"),
+# Model family of each spelling in run names.
+FAMILY_OF = {
+    "lr": "lr",
+    "logreg": "lr",
+    "logistic": "lr",
+    "logit": "lr",
+    "rf": "rf",
+    "randomforest": "rf",
+    "mlp": "mlp",
+    "nn": "mlp",
+    "neural": "mlp",
+    "perceptron": "mlp",
+    "svc": "svc",
+    "svm": "svc",
+    "knn": "knn",
+    "kneighbors": "knn",
+    "dt": "dt",
+    "decisiontree": "dt",
+    "tree": "dt",
+    "xgb": "xgb",
+    "xgboost": "xgb",
 }
 
 # Beginnings of a token that also name a family.
@@ -135,7 +147,7 @@ def model_family(name: Column, params: Column | None = None) -> Column:
     """Short family key from the tokens of a run name, else from parameter names, else null."""
     words = F.filter(F.split(F.lower(name), "[^a-z0-9]+"), lambda t: t != "")
     forest = F.array_contains(words, F.lit("forest"))
-    spelled = F.create_map(*[F.lit(x) for fam, names in FAMILY_TOKENS.items() for n in names for x in (n, fam)])
+    spelled = F.create_map(*[F.lit(x) for pair in FAMILY_OF.items() for x in pair])
 
     def of(t: Column) -> Column:
         starts = [F.when(F.startswith(t, F.lit(s)), F.lit(fam)) for s, fam in FAMILY_STARTS.items()]

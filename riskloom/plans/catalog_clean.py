@@ -247,8 +247,7 @@ def _violations_sql() -> str:
             bad = f"{c} < {low}" if high is None else f"{c} < {low} OR {c} > {high}"
             parts.append(f"CASE WHEN {bad} THEN '{c}:range' END")
         if c in CODE_LABELS:
-            first, labels = CODE_LABELS[c]
-            codes = ", ".join(str(float(first + i)) for i in range(len(labels)))
+            codes = ", ".join(str(code) for code in CODE_LABELS[c])
             parts.append(f"CASE WHEN {c} NOT IN ({codes}) THEN '{c}:code' END")
     return "concat_ws('|', " + ", ".join(parts) + ")"
 
@@ -278,8 +277,7 @@ def request_split(spark, d):
 
 
 def _decode_sql(column: str) -> str:
-    first, labels = CODE_LABELS[column]
-    cases = " ".join(f"WHEN {float(first + i)} THEN '{label}'" for i, label in enumerate(labels))
+    cases = " ".join(f"WHEN {code} THEN '{label}'" for code, label in CODE_LABELS[column].items())
     return f"CASE {column} {cases} END"
 
 
