@@ -37,7 +37,6 @@ CHI_NAME = "chi-square p_value"
 Z_NAME = "Z-test p_value"
 
 INLINE_VALUES = 500
-MAX_FOLDED = 1_000
 
 
 # ---- injection -------------------------------------------------------------------------------------
@@ -141,26 +140,30 @@ def _redistribute(df: DataFrame, column: str, values: DataFrame, size: int, key:
 # ---- tests -----------------------------------------------------------------------------------------
 
 
-def _paired_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: set[str]) -> DataFrame:
-    """(column, num, txt, n_ref, n_cur): value counts of both tables side by side, in one shuffle."""
+def _long_values(df: DataFrame, columns: Sequence[str], numeric: set[str], side: str) -> DataFrame:
+    """(column, num, txt, n_ref, n_cur): one row per value that is there, counted on its own side."""
+    parts = [
+        F.struct(
+            F.lit(c).alias("column"),
+            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("num"),
+            (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")).alias("txt"),
+        )
+        for c in columns
+    ]
+    ones = [F.lit(int(n == side)).cast("bigint").alias(n) for n in ("n_ref", "n_cur")]
+    long = df.select(F.inline(F.array(*parts)), *ones)
+    return long.where((F.col("num").isNotNull() & ~F.isnan("num")) | F.col("txt").isNotNull())
 
-    def long(df: DataFrame, side: int) -> DataFrame:
-        parts = [
-            F.struct(
-                F.lit(c).alias("column"),
-                (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("num"),
-                (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")).alias("txt"),
-            )
-            for c in columns
-        ]
-        return df.select(F.inline(F.array(*parts)), F.lit(side).alias("side"))
-
-    both = long(ref, 0).unionByName(long(cur, 1))
-    both = both.where((F.col("num").isNotNull() & ~F.isnan("num")) | F.col("txt").isNotNull())
-    return both.groupBy("column", "num", "txt").agg(
-        F.count(F.when(F.col("side") == 0, 1)).alias("n_ref"),
-        F.count(F.when(F.col("side") == 1, 1)).alias("n_cur"),
-    )
+
+def _counted(long: DataFrame) -> DataFrame:
+    return long.groupBy("column", "num", "txt").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
+def reference_counts(ref: DataFrame, target: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Stored value counts of a reference table, for comparisons with many later tables."""
+    roles = column_roles(ref, target, columns)
+    numeric = {c for c, r in roles.items() if r == "num"}
+    return materialize(_counted(_long_values(ref, list(roles), numeric, "n_ref")), "reference")
 
 
 def column_roles(df: DataFrame, target: str | None, columns: Sequence[str] | None = None) -> dict[str, str]:
@@ -175,7 +178,7 @@ def column_roles(df: DataFrame, target: str | None, columns: Sequence[str] | Non
 
 def ks_distance(counts: DataFrame) -> DataFrame:
     """Largest gap between the two cumulative shares, per column."""
-    run = running_totals(counts.select("column", "num", "n_ref", "n_cur"), ["column"], "num", ["n_ref", "n_cur"])
+    run = running_totals(counts.select("column", "num", "n_ref", "n_cur"), ["column"], "num", ["n_ref", "n_cur"], stored=True)
     sizes = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     joined = attach_small(run, sizes, ["column"])
     gap = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur"))
@@ -207,33 +210,39 @@ def proportion_z(counts: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(T.DoubleType())
-def _p_value(test: pd.Series, statistic: pd.Series, dof: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
+def _p_value(
+    test: pd.Series, statistic: pd.Series, dof: pd.Series, n_ref: pd.Series, n_cur: pd.Series, method: pd.Series
+) -> pd.Series:
     """One probability per report row (a row is a whole column of data)."""
 
-    def one(t, s, k, a, b):
+    def one(t, s, k, a, b, how):
         if pd.isna(s):
             return None
         if t == KS_NAME:
-            return ks_two_sided(float(s), int(a), int(b))
+            return ks_two_sided(float(s), int(a), int(b), how)
         if t == CHI_NAME:
             return chi_square_upper(float(s), int(k))
         return normal_two_sided(float(s))
 
-    return pd.Series([one(*row) for row in zip(test, statistic, dof, n_ref, n_cur)], dtype="float64")
+    return pd.Series([one(*row) for row in zip(test, statistic, dof, n_ref, n_cur, method)], dtype="float64")
 
 
 def drift_statistics(
-    ref: DataFrame, cur: DataFrame, target: str | None = None, columns: Sequence[str] | None = None
+    ref: DataFrame, cur: DataFrame, target: str | None = None, columns: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Per column the chosen test and its statistic; also the stored value counts it came from.
 
+    ``counted`` (from ``reference_counts``) spares reading the reference again; of ``ref`` only the schema is used then.
+
     Both tables are counted once by (column, value); every test and every histogram reads that small table.
     Test choice by number of values on both sides: numeric above 5 values Kolmogorov-Smirnov, up to 2 values
     z-test, everything else chi-square.
     """
     roles = column_roles(ref, target, columns)
     numeric = {c for c, r in roles.items() if r == "num"}
-    counts = materialize(_paired_counts(ref, cur, list(roles), numeric), "drift")
+    left = _long_values(ref, list(roles), numeric, "n_ref") if counted is None else counted
+    counts = materialize(_counted(left.unionByName(_long_values(cur, list(roles), numeric, "n_cur"))), "drift")
     kind = F.when(F.col("column").isin(sorted(numeric)), "num").otherwise("cat")
     shape = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_values"), F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur")
@@ -263,10 +272,32 @@ def drift_report(
     columns: Sequence[str] | None = None,
     threshold: float = 0.05,
     with_density: bool = True,
+    ks_method: str = "limit",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per column: type, test, p-value as drift score, verdict and 10-bin densities of both sides."""
+    """One row per column: type, test, p-value as drift score, verdict and 10-bin densities of numeric columns.
+
+    Categorical columns may have any number of values, so their shapes are rows: see ``drift_shapes``.
+    ``ks_method`` is ``limit`` or ``exact``, at every size.
+    """
+    return _report(*drift_statistics(ref, cur, target, columns, counted), threshold, with_density, ks_method)
+
+
+def drift_report_and_shapes(
+    ref: DataFrame,
+    cur: DataFrame,
+    target: str | None = None,
+    columns: Sequence[str] | None = None,
+    threshold: float = 0.05,
+    ks_method: str = "limit",
+) -> tuple[DataFrame, DataFrame]:
+    """The report and the shapes of all its columns, from one count of both tables."""
     stats, counts = drift_statistics(ref, cur, target, columns)
-    p = _p_value("stattest", "statistic", (F.col("n_values") - 1).cast("int"), "rows_ref", "rows_cur")
+    return _report(stats, counts, threshold, False, ks_method), drift_shapes(counts)
+
+
+def _report(stats: DataFrame, counts: DataFrame, threshold: float, with_density: bool, ks_method: str) -> DataFrame:
+    p = _p_value("stattest", "statistic", (F.col("n_values") - 1).cast("int"), "rows_ref", "rows_cur", F.lit(ks_method))
     report = stats.withColumn("drift_score", p).select(
         "column",
         "column_type",
@@ -277,9 +308,7 @@ def drift_report(
         F.coalesce(F.col("drift_score") < threshold, F.lit(False)).alias("drift_detected"),
     )
     if with_density:
-        report = report.join(side_densities(counts), "column", "left").join(category_shapes(counts), "column", "left")
-        for side in ("current", "reference"):
-            report = report.withColumn(side, F.coalesce(side, f"_{side}")).drop(f"_{side}")
+        report = report.join(side_densities(counts), "column", "left")
     return report
 
 
@@ -288,25 +317,28 @@ def category_counts(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("txt").isNotNull()).select("column", F.col("txt").alias("value"), "n_ref", "n_cur")
 
 
-def category_shapes(counts: DataFrame) -> DataFrame:
-    """Counts of categorical columns folded into one struct per side, in value order.
+def drift_shapes(counts: DataFrame) -> DataFrame:
+    """(column, side, label, x, y) of every column in long form.
 
-    Only columns with few values are folded; ``category_counts`` holds the counts of all of them.
+    Numeric columns have ten rows per side with lower bin limit and density, categorical ones a row per value and side
+    with its count, 0 where a side lacks the value.
     """
-    long = category_counts(counts)
-    sizes = long.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-    few = attach_small(long, sizes, ["column"]).where(F.col("n_values") <= MAX_FOLDED)
-    cells = F.array_sort(F.collect_list(F.struct("value", "n_ref", "n_cur")))
-    folded = few.groupBy("column").agg(cells.alias("cells"))
-
-    def side(n: str) -> Column:
-        return F.struct(
-            F.lit(None).cast("array<double>").alias("x"),
-            F.transform("cells", lambda c: c[n].cast("double")).alias("y"),
-            F.transform("cells", lambda c: c["value"]).alias("labels"),
+    shapes = side_densities(counts)
+    parts = []
+    for side, n in (("current", "n_cur"), ("reference", "n_ref")):
+        bins = shapes.select("column", F.posexplode(f"{side}.y").alias("bin", "y"), F.col(f"{side}.x").alias("edges"))
+        lower = F.get("edges", F.col("bin"))
+        parts.append(bins.select("column", F.lit(side).alias("side"), F.lit(None).cast("string").alias("label"), lower.alias("x"), "y"))
+        parts.append(
+            category_counts(counts).select(
+                "column", F.lit(side).alias("side"), F.col("value").alias("label"), F.lit(None).cast("double").alias("x"),
+                F.col(n).cast("double").alias("y"),
+            )
         )
-
-    return folded.select("column", side("n_cur").alias("_current"), side("n_ref").alias("_reference"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def side_densities(counts: DataFrame, bins: int = 10) -> DataFrame:
@@ -394,11 +426,12 @@ def monitor_record(report: DataFrame, source: str, top: int = 5, slight_below: f
 
 
 def monitor(
-    ref: DataFrame, cur: DataFrame, log_path: str, source: str, target: str | None = None, top: int = 5
+    ref: DataFrame, cur: DataFrame, log_path: str, source: str, target: str | None = None, top: int = 5,
+    counted: DataFrame | None = None, mode: str = "append",
 ) -> DataFrame:
-    """Report, roll up, classify and append one row to the drift log; returns that row."""
-    report = materialize(drift_report(ref, cur, target, with_density=False), "report")
+    """Report, roll up, classify and write one row to the drift log; returns that row."""
+    report = materialize(drift_report(ref, cur, target, with_density=False, counted=counted), "report")
     record = materialize(monitor_record(report, source, top), "record")
-    record.write.mode("append").parquet(log_path)
+    record.write.mode(mode).parquet(log_path)
     return record
 

@@ -152,6 +152,20 @@ def category_counts(spark, d):
     return drift.category_counts(drift.drift_statistics(ref, cur, columns=["event_type"])[1])
 
 
+@query(
+    "drift_shapes",
+    f"""{E} SELECT 'value' AS "column", side, NULL::VARCHAR AS label, lower AS x, density AS y
+    FROM ({_density_sql('reference', 0)} UNION ALL {_density_sql('current', 1)})
+    UNION ALL SELECT 'event_type', 'reference', event_type, NULL, sum(1 - late)::DOUBLE FROM e GROUP BY event_type
+    UNION ALL SELECT 'event_type', 'current', event_type, NULL, sum(late)::DOUBLE FROM e GROUP BY event_type""",
+)
+def drift_shapes(spark, d):
+    ref, cur = data.drift_sides(spark, d)
+    _, shapes = drift.drift_report_and_shapes(ref, cur, columns=["value", "event_type"])
+    shapes = shapes.where("label IS NOT NULL OR y > 0")
+    return shapes.select("column", "side", "label", F.round("x", 6).alias("x"), F.round("y", 8).alias("y"))
+
+
 # A report per user built from plain arithmetic, so that roll-ups have an exact SQL twin.
 VERDICTS = """SELECT CAST(user_id AS STRING) AS "column", avg(value) / 500e0 AS drift_score, avg(value) < 40e0 AS drift_detected FROM events GROUP BY user_id"""
 

@@ -175,7 +175,7 @@ def stream_drift_log(spark, d):
     cur.repartition(2).write.parquet(f"{folder}/in")
     rows = read_stream(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, files_per_batch=1)
     drift_stream(rows, ref, f"{folder}/log", f"{folder}/check").awaitTermination()
-    return spark.read.parquet(f"{folder}/log").drop("timestamp")
+    return spark.read.parquet(f"{folder}/log").drop("timestamp", "batch")
 
 
 @query("drift_simulation_job")

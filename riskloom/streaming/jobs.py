@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from riskloom.operators.drift import monitor
+from riskloom.operators.drift import monitor, reference_counts
 from riskloom.runtime import materialize
 
 
@@ -34,12 +34,16 @@ def score_stream(
 def drift_stream(
     rows: DataFrame, reference: DataFrame, log_path: str, checkpoint: str, target: str | None = None, once: bool = True
 ):
-    """Compare every micro-batch with the reference table and append one row to the drift log."""
+    """Compare every micro-batch with the reference table and write one row of the drift log, in the folder ``batch=<number>``.
+
+    The reference is counted once per start. A batch that runs again overwrites its own row.
+    """
+    counted = reference_counts(reference, target)
 
     def one(batch: DataFrame, number: int) -> None:
         stored = materialize(batch, "batch")
         if stored.take(1):
-            monitor(reference, stored, log_path, f"batch-{number}", target)
+            monitor(reference, stored, f"{log_path}/batch={number}", f"batch-{number}", target, counted=counted, mode="overwrite")
 
     writer = rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")

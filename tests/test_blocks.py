@@ -157,3 +157,13 @@ def test_other_tails():
     assert tails.chi_square_upper(9.487729036781154, 4) == pytest.approx(0.05, abs=1e-9)
     assert tails.chi_square_upper(float("inf"), 4) == 0.0
     assert tails.normal_two_sided(1.959963984540054) == pytest.approx(0.05, abs=1e-9)
+    assert tails.chi_square_upper(1_000_000.0, 1_000_000) == pytest.approx(0.5, abs=1e-3)
+    assert tails.chi_square_upper(30.0, 3) == pytest.approx(1.380057e-06, rel=1e-5)
+    assert tails.chi_square_upper(0.5, 3) == pytest.approx(0.918891, abs=1e-6)
+
+
+def test_ks_method_is_asked_for():
+    assert tails.ks_two_sided(0.3, 40, 40) == tails.ks_limit(0.3, 40, 40)
+    assert tails.ks_two_sided(0.3, 40, 40, "exact") == tails.ks_exact(0.3, 40, 40)
+    with pytest.raises(ValueError):
+        tails.ks_two_sided(0.3, 40, 40, "auto")
