@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from riskloom.runtime import collect_bounded
 
-MAX_STRATA = 10_000
 _PREFIX = 4  # hex digits: 65,536 evenly filled buckets
 
 
@@ -29,11 +28,11 @@ def normal(digest: Column) -> Column:
     return radius * F.cos(F.lit(2.0 * math.pi) * uniform(digest, 9))
 
 
-def strata_counts(df: DataFrame, stratum: str) -> dict:
-    """Rows per stratum; refuses columns that are clearly not a class label."""
-    rows = collect_bounded(df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")), MAX_STRATA)
+def strata_counts(df: DataFrame, stratum: str, most: int = 10_000) -> dict:
+    """Rows per stratum; refuses columns of more than ``most`` values, which are not class labels."""
+    rows = collect_bounded(df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")), most)
     if rows is None:
-        raise ValueError(f"{stratum} has more than {MAX_STRATA} values and cannot be stratified on")
+        raise ValueError(f"{stratum} has more than {most} values and cannot be stratified on")
     if any(r[0] is None for r in rows):
         raise ValueError(f"{stratum} holds nulls; drop them before stratifying")
     return {r[0]: r["n"] for r in sorted(rows, key=lambda r: r[0])}

@@ -96,7 +96,9 @@ def split_params(name: str, params: Mapping) -> tuple[dict, list[str]]:
 
 def _depth(p: Mapping, default) -> int:
     depth = p.get("max_depth", default)
-    return DEEPEST if depth is None else min(int(depth), DEEPEST)
+    if depth is not None and int(depth) > DEEPEST:
+        raise ValueError(f"max_depth {depth} is beyond the limit of {DEEPEST}")
+    return DEEPEST if depth is None else int(depth)
 
 
 def _impurity(p: Mapping) -> str:
@@ -121,13 +123,13 @@ def build_estimator(name: str, params: Mapping | None = None, rows: float = 1.0,
         )
     if fam == "dt":
         return DecisionTreeClassifier(
-            impurity=_impurity(p), maxDepth=_depth(p, None if "max_depth" in p else 10), seed=seed,
+            impurity=_impurity(p), maxDepth=_depth(p, None), seed=seed,
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)), maxBins=int(p.get("max_bins", 32)), **base, **weighted,
         )
     if fam == "rf":
         subset = p.get("max_features", "sqrt")
         return RandomForestClassifier(
-            numTrees=int(p.get("n_estimators", 100)), impurity=_impurity(p), maxDepth=_depth(p, None if "max_depth" in p else 10),
+            numTrees=int(p.get("n_estimators", 100)), impurity=_impurity(p), maxDepth=_depth(p, None),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)), featureSubsetStrategy="all" if subset is None else str(subset),
             bootstrap=bool(p.get("bootstrap", True)), maxBins=int(p.get("max_bins", 32)), seed=seed, **base, **weighted,
         )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.config import FeatureSpec
 from riskloom.operators.features import build_preprocessor
 from riskloom.operators.metrics import METRICS, classification_metrics, confusion_matrix, cv_summary, metrics_long
-from riskloom.operators.models import apply_model, family, fit_model
+from riskloom.operators.models import apply_model, family, fit_model, split_params
 from riskloom.operators.sampling import no_sampling, sampler_by_name
 from riskloom.operators.select import best_passing, with_gates
 from riskloom.operators.split import stratified_folds
@@ -56,13 +56,17 @@ def resample(df: DataFrame, exp: Experiment) -> DataFrame:
         return df
     arrays = df.withColumn("features", vector_to_array("features"))
     params = dict(exp.sampler_params)
+    seed = exp.seed
+    if params.get("random_state") is not None:
+        seed = int(params["random_state"])
+    params.pop("random_state", None)
     if "n_neighbors" in params:
         params["k"] = params.pop("n_neighbors")
     if "k_neighbors" in params:
         params["k"] = params.pop("k_neighbors")
     if "sampling_strategy" in params:
         params["ratio"] = params.pop("sampling_strategy")
-    picked = sampler(arrays, "label", "key", "features", seed=exp.seed, **params)
+    picked = sampler(arrays, "label", "key", "features", seed=seed, **params)
     return picked.withColumn("features", array_to_vector("features"))
 
 
@@ -88,6 +92,7 @@ def cross_validate(
     parallelism: int = 4,
     with_train: bool = True,
     fold_seed: int | None = None,
+    failures: dict[int, str] | None = None,
 ) -> DataFrame:
     """Scored rows of every candidate, repeat, fold and side, as one stored table.
 
@@ -95,6 +100,7 @@ def cross_validate(
     side on the driver's threads. Each scored fold is one folder of the table, so nothing is held on the
     driver and a failed candidate leaves the others untouched. A candidate that fails in any fold is left out whole;
     it is an error if none is complete, so a single candidate is either scored on every row or raises.
+    ``failures``, if given, receives the error of each candidate left out.
     """
     family(exp.model), sampler_by_name(exp.sampler)  # unknown names fail here, before any work
     spark = df.sparkSession
@@ -102,7 +108,7 @@ def cross_validate(
     df = df.select(exp.key, *exp.spec.columns, exp.label)
     keep = ["key", F.col("label").alias("y_true")]
     seed = exp.seed if fold_seed is None else fold_seed
-    failures: dict[int, str] = {}
+    failures = {} if failures is None else failures
     folded = {}
     for r in range(repeats):
         # stored once, because every fold's fits read it several times
@@ -182,6 +188,20 @@ class SearchResult:
     runs: list
 
 
+def different_candidates(exp: Experiment) -> tuple[list[dict], list[str]]:
+    """(candidates that differ in a parameter the model has, names of the other parameters).
+
+    Parameters without a counterpart would only fit the same model again, so of equal candidates the first is kept.
+    """
+    kept: dict[str, dict] = {}
+    ignored: set[str] = set()
+    for params in exp.candidates():
+        used, others = split_params(exp.model, params)
+        ignored.update(others)
+        kept.setdefault(repr(sorted(used.items())), params)
+    return list(kept.values()), sorted(ignored)
+
+
 def grid_search(
     df: DataFrame,
     exp: Experiment,
@@ -197,8 +217,9 @@ def grid_search(
 
     ``gates`` may override ``min_auc``, ``min_f1``, ``max_gap_auc`` and ``max_gap_f1``.
     """
-    candidates = exp.candidates()
-    scored = cross_validate(df, exp, candidates, k, repeats, parallelism)
+    candidates, ignored = different_candidates(exp)
+    failures: dict[int, str] = {}
+    scored = cross_validate(df, exp, candidates, k, repeats, parallelism, failures=failures)
     folds = materialize(fold_metrics(scored), "foldmetrics")
     results = materialize(with_gates(cv_results(folds, candidates), **(gates or {})), "cv")
     rows = sorted(results.collect(), key=lambda r: r["candidate"])  # one row per candidate
@@ -213,7 +234,7 @@ def grid_search(
         f"{name}__GRID",
         {**{f"grid_{p}": list(v) for p, v in exp.param_grid.items()}, **{f"best::{p}": v for p, v in candidates[best["candidate"]].items()}},
         {**_cell(best, "cv_best_"), f"cv_best_test_{primary}": best[f"mean_test_{primary}"]},
-        {"stage": "grid-search", "model_cls": exp.model, "sampler": exp.sampler or "None", "cv_splits": k, "random_state": exp.seed},
+        {"stage": "grid-search", "model_cls": exp.model, "sampler": exp.sampler or "None", "cv_splits": k, "random_state": exp.seed, "ignored_params": ignored},
     )
     children = [
         new_run(
@@ -231,6 +252,15 @@ def grid_search(
         )
         for r in rows
     ]
+    children += [
+        new_run(
+            f"{name}__cand_{c}",
+            {f"cand::{p}": v for p, v in candidates[c].items()},
+            tags={"candidate_index": c, "status": "FAILED", "error": problem},
+            parent_id=parent["run_id"],
+        )
+        for c, problem in sorted(failures.items())
+    ]
     return SearchResult(
         results, best["candidate"], candidates[best["candidate"]], best[f"mean_test_{primary}"],
         chosen, None if chosen is None else candidates[chosen], model, [parent, *children],

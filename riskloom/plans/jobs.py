@@ -17,15 +17,29 @@ from riskloom.runtime import materialize
 from riskloom.sources import models, runs, tables
 
 
+def content_keys(df: DataFrame, key: str) -> DataFrame:
+    """Add a unique text key: a digest of all columns and the number of the row among its equals.
+
+    Equal rows are counted with map-side combine and written out again from their count, so a row that fills a third
+    of the table is no hot group.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    digest = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    return numbered.withColumn(key, F.concat_ws(":", digest, F.col("_copy").cast("string"))).drop("_copies", "_copy")
+
+
 def clean_job(
     spark: SparkSession, source: str, folder: str, spec: CleanSpec, test_size: float = 0.2, seed: int = 1, key: str = "row_id"
 ) -> dict[str, str]:
     """Load, clean, split and save; a failure stops the job instead of leaving stale files.
 
-    Raw files carry no row key, so each row gets one from its file and position when the table is landed;
-    the key is stored with the rows and never recomputed.
+    A source with the column ``key`` keeps it. Other rows get a digest of their content and, for equal rows, a number,
+    so that the split does not depend on files, partitions or row order.
     """
-    raw = tables.load_table(spark, source).withColumn(key, F.monotonically_increasing_id())
+    raw = tables.load_table(spark, source)
+    if key not in raw.columns:
+        raw = content_keys(raw, key)
     landed = materialize(raw.select(key, *[c for c in raw.columns if c != key]), "raw")
     clean = materialize(clean_data(landed, spec, keep=[key]), "clean")
     return tables.save_splits(clean, folder, spec.target, key, test_size, seed, fmt="parquet")
@@ -79,7 +93,7 @@ def train_job(
             status[name] = "finished"
         except Exception as problem:
             status[name] = f"failed: {type(problem).__name__}: {problem}"
-            runs.log_runs(spark, [runs.new_run(name, tags={"status": "FAILED", "error": str(problem)[:500]})], runs_path)
+            runs.log_runs(spark, [runs.new_run(name, tags={"status": "FAILED", "error": str(problem)})], runs_path)
     return status
 
 

@@ -177,3 +177,20 @@ def test_a_failed_fold_is_not_passed_over(spark, monkeypatch):
     calls.clear()
     scored = se.cross_validate(df, exp, [{"C": 0.5}, {"C": 1.0}], 3, 1, with_train=False)
     assert [(r["candidate"], r["count"]) for r in scored.groupBy("candidate").count().collect()] == [(1, 60)]
+    calls.clear()
+    exp.param_grid = {"C": [0.5, 1.0]}
+    found = se.grid_search(df, exp, k=3, refit=False)
+    assert found.best_params == {"C": 1.0}
+    assert [r["tags"]["error"] for r in found.runs if r["tags"].get("status") == "FAILED"][0].endswith("planted")
+
+
+def test_equal_candidates_are_fitted_once():
+    grid = {"model__n_estimators": [5, 9], "model__min_samples_split": [2, 4]}
+    kept, ignored = se.different_candidates(se.Experiment("RandomForest", None, "y", "id", grid))
+    assert [c["model__n_estimators"] for c in kept] == [5, 9] and ignored == ["min_samples_split"]
+
+
+def test_depth_beyond_the_limit_is_refused():
+    assert mo.build_estimator("RandomForest", {}).getMaxDepth() == 30
+    with pytest.raises(ValueError):
+        mo.build_estimator("DecisionTree", {"max_depth": 50})

@@ -94,3 +94,10 @@ def test_streamed_scores_are_not_repeated(spark, tmp_path):
         stream = read_stream(spark, f"{folder}/in", rows.schema)
         score_stream(stream, lambda b: b.withColumn("w", F.col("v") + 1), f"{folder}/out", f"{folder}/check").awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 50
+
+
+def test_content_keys_do_not_follow_partitions(spark):
+    df = spark.createDataFrame([(i % 30, None if i % 4 else "a") for i in range(200)], "a int, b string")
+    keyed = sorted(jobs.content_keys(df, "k").collect(), key=str)
+    assert len({r["k"] for r in keyed}) == 200
+    assert keyed == sorted(jobs.content_keys(df.repartition(7).orderBy("b"), "k").collect(), key=str)
