@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from riskloom.operators import drift
-from riskloom.operators.drift import DIRECTIONS, SEVERITY, column_direction
+from riskloom.operators.drift import DIRECTIONS, column_direction
 from riskloom.plans import data
 from riskloom.plans.catalog_profile import rounded
 from riskloom.plans.registry import query
@@ -181,7 +181,15 @@ x AS (SELECT *, drifted_columns / total_columns::DOUBLE AS drift_share FROM r)""
 
 
 def _level(part: int) -> str:
-    t = [s[part] for s in SEVERITY]
+    t = (
+        ("🟢 Sin drift detectable", "🟡 Drift leve", "🟠 Drift moderado", "🔴 Drift severo"),
+        (
+            "No se requiere acción.",
+            "Monitorear próximas ejecuciones.",
+            "Revisar pipeline de features o data sources recientes.",
+            "⚙️ Reentrenar modelo.",
+        ),
+    )[part]
     return f"CASE WHEN drift_share = 0 THEN '{t[0]}' WHEN drift_share < 0.2 THEN '{t[1]}' WHEN drift_share < 0.5 THEN '{t[2]}' ELSE '{t[3]}' END"
 
 
