@@ -223,16 +223,26 @@ def _social(key: str, m: Column) -> Column:
 
 
 def _phone(key: str, m: Column) -> Column:
-    """North American numbers: area and exchange of 200 to 999; a country code stays."""
+    """North American numbers; a country code stays. Those with area and exchange of 200 to 999 stay such, all others stay others."""
     return _let(_digits(m), lambda d: _phone_of(key, m, d))
 
 
 def _phone_of(key: str, m: Column, d: Column) -> Column:
     ten = F.substr(d, F.length(d) - 9)
     area, exchange, line = F.substr(ten, F.lit(1), F.lit(3)).cast("int"), F.substr(ten, F.lit(4), F.lit(3)).cast("int"), F.substr(ten, F.lit(7)).cast("int")
-    p = permuted(key, "phone", (area - 200) * 800 + exchange - 200, line, 640_000, 10_000)
-    new = _let(p, lambda q: F.concat(_padded(F.floor(q["l"] / 800) + 200, 3), _padded(F.pmod(q["l"], 800) + 200, 3), _padded(q["r"], 4)))
-    return F.when((area >= 200) & (exchange >= 200), _filled(m, new, F.length(d) - 10)).otherwise(m)
+    usual = permuted(key, "phone", (area - 200) * 800 + exchange - 200, line, 640_000, 10_000)
+    new = _let(usual, lambda q: F.concat(_padded(F.floor(q["l"] / 800) + 200, 3), _padded(F.pmod(q["l"], 800) + 200, 3), _padded(q["r"], 4)))
+    # The other 360,000 beginnings: 200 areas with any exchange, then 800 areas with 200 exchanges each.
+    rank = F.when(area < 200, area * 1000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
+    other = permuted(key, "phone-other", rank, line, 360_000, 10_000)
+
+    def written(q: Column) -> Column:
+        low, over = q["l"] < 200_000, q["l"] - 200_000
+        head = F.when(low, F.floor(q["l"] / 1000)).otherwise(F.floor(over / 200) + 200)
+        middle = F.when(low, F.pmod(q["l"], 1000)).otherwise(F.pmod(over, 200))
+        return F.concat(_padded(head, 3), _padded(middle, 3), _padded(q["r"], 4))
+
+    return _filled(m, F.when((area >= 200) & (exchange >= 200), new).otherwise(_let(other, written)), F.length(d) - 10)
 
 
 def _world_phone(key: str, m: Column) -> Column:

@@ -55,6 +55,18 @@ def test_what_is_no_personal_value_stays(shared):
     assert pseudonymised(shared, texts) == [(t, 0) for t in texts]
 
 
+def test_phones_of_any_area_and_exchange(shared):
+    numbers = ["0175557713", "1325551352", "0000000000", "1999991234", "9880551234", "2001990000", "9885552485", "2002000000"]
+    got = pseudonymised(shared, [f"+1 ({n[:3]}) {n[3:6]}-{n[6:]} or {n[:3]}.{n[3:6]}.{n[6:]}" for n in numbers])
+    new = []
+    for n, (text, count) in zip(numbers, got, strict=True):
+        first, second = ("".join(c for c in p if c.isdigit()) for p in text.split(" or "))
+        assert count == 2 and first == "1" + second and second != n and len(second) == 10
+        assert (min(n[:3], n[3:6]) >= "200") == (min(second[:3], second[3:6]) >= "200")
+        new.append(second)
+    assert len(set(new)) == len(new)
+
+
 def test_permutation_of_a_whole_format(shared):
     rows = shared.range(90).select((F.col("id") / 9).cast("long").alias("l"), F.pmod("id", F.lit(9)).alias("r"))
     got = rows.select(pseudonyms.permuted("k", "x", F.col("l"), F.col("r"), 10, 9).alias("p")).select("p.l", "p.r").collect()
