@@ -30,7 +30,9 @@ PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-
 WORLD_PHONE = r"(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[0-9]{3}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET = r"(?i:password|passwd|token|secret|api_key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9+/_-]{8,200}"
+SECRET_NAME = r"(?i:password|passwd|token|secret|api_key)[ ]?[=:][ ]?[\"']?"
+# A secret is taken whole, however long it is, with the dots inside it.
+SECRET = SECRET_NAME + r"(?:[A-Za-z0-9+/_-]|[.](?=[A-Za-z0-9+/_-])){8,}+"
 NUMBERS = (CARD, ISO_DATE, DAY_DATE, SOCIAL, PHONE, WORLD_PHONE, ADDRESS)
 
 
@@ -105,8 +107,11 @@ def _permuted_text(key: str, kind: str, value: Column, hexadecimal: Column, half
         head, tail = F.substr(state, F.lit(1), half), F.substr(state, half + 1)
 
         def move(side: Column, other: Column) -> Column:
-            each = F.transform(F.split(side, ""), lambda c, j: _moved(c, _draw(key, kind, F.concat_ws(":", i.cast("string"), j.cast("string")), other, 1 << 40), hexadecimal))
-            return F.array_join(each, "")
+            def drawn(by: Column) -> Column:
+                return F.transform(F.split(side, ""), lambda c, j: _moved(c, _draw(key, kind, F.concat_ws(":", i.cast("string"), j.cast("string")), by, 1 << 40), hexadecimal))
+
+            # Each place hashes the other half, a long one by its digest: the work grows with the length, not its square.
+            return F.array_join(_let(F.when(F.length(other) > 64, F.sha2(other, 256)).otherwise(other), drawn), "")
 
         return F.when(i % 2 == 0, F.concat(move(head, tail), tail)).otherwise(F.concat(head, move(tail, head)))
 
@@ -205,7 +210,8 @@ def _date(key: str, m: Column, first: Column, second: Column, third: Column, ord
 
 def _dates(key: str, m: Column) -> Column:
     p = [F.element_at(F.split(m, "[-/.]"), i) for i in (1, 2, 3)]
-    month_first = F.contains(m, F.lit("/")) & (p[0].cast("int") <= 12)
+    # Slashes write the month first where they can, other separators where the second part is no month.
+    month_first = (p[0].cast("int") <= 12) & (F.contains(m, F.lit("/")) | (p[1].cast("int") > 12))
     return F.when(F.length(p[0]) == 4, _date(key, m, *p, "ymd")).when(month_first, _date(key, m, *p, "mdy")).otherwise(_date(key, m, *p, "dmy"))
 
 
@@ -265,7 +271,7 @@ def _email(key: str, m: Column) -> Column:
 
 
 def _secret(key: str, m: Column) -> Column:
-    value = F.regexp_extract(m, r"([A-Za-z0-9+/_-]{8,200})$", 1)
+    value = F.regexp_extract(m, f"^{SECRET_NAME}(.*)$", 1)
     return F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(value)), permuted_text(key, "secret", value))
 
 

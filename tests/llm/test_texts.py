@@ -67,6 +67,27 @@ def test_phones_of_any_area_and_exchange(shared):
     assert len(set(new)) == len(new)
 
 
+def test_secrets_are_replaced_whole(shared):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-"
+    head, payload, signature, long = ("".join(rng.choices(letters, k=n)) for n in (36, 120, 43, 20_000))
+    texts = [f"token={head}.{payload}.{signature}. End", f"api_key: '{long[:300]}' end", f"secret={long}", "password=short12. password=long1234."]
+    got = pseudonymised(shared, texts)
+    jwt = got[0][0][len("token=") : -len(". End")]
+    assert got[0][1] == 1 and got[0][0].endswith(". End") and [len(p) for p in jwt.split(".")] == [36, 120, 43]
+    for old, new in [(p, q) for p, q in zip((head, payload, signature), jwt.split("."), strict=True)] + [(long[:300], got[1][0][10:-5]), (long, got[2][0][7:])]:
+        assert len(old) == len(new) and all(old[i : i + 8] != new[i : i + 8] for i in range(len(old) - 7))
+    assert got[3][1] == 1 and got[3][0].startswith("password=short12. password=") and "long1234" not in got[3][0]
+
+
+def test_dates_with_the_month_first(shared):
+    got = pseudonymised(shared, ["2020-12-25 12-25-2020 12.25.2020 12/25/2020 25.12.2020", "13-25-2020 02-30-2020"])
+    iso, dashed, dotted, slashed, day = got[0][0].split()
+    y, m, d = iso.split("-")
+    assert iso != "2020-12-25" and (dashed, dotted, slashed, day) == (f"{m}-{d}-{y}", f"{m}.{d}.{y}", f"{m}/{d}/{y}", f"{d}.{m}.{y}")
+    assert got[0][1] == 5 and got[1] == ("13-25-2020 02-30-2020", 0)
+
+
 def test_permutation_of_a_whole_format(shared):
     rows = shared.range(90).select((F.col("id") / 9).cast("long").alias("l"), F.pmod("id", F.lit(9)).alias("r"))
     got = rows.select(pseudonyms.permuted("k", "x", F.col("l"), F.col("r"), 10, 9).alias("p")).select("p.l", "p.r").collect()
