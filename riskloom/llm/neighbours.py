@@ -149,7 +149,7 @@ def build_index(vectors: DataFrame, id_column: str = "vec_id", vector: str = "em
     """File every sound vector under its most probable part and set the visits by an audit.
 
     Null, zero and non-finite vectors, vectors without an id, and vectors of another than the commonest length are left
-    out. Few rows, or none, make one part.
+    out. Few rows, or none, make one part. Repeated (id, vector) rows are filed once.
     """
     spark = vectors.sparkSession
     stored = Stored(spark, "neighbours")
@@ -157,7 +157,9 @@ def build_index(vectors: DataFrame, id_column: str = "vec_id", vector: str = "em
     width = usual_length(rows, "vector")
     rows = rows.where(F.size("vector") == width)
     order = [F.xxhash64("id", F.lit("parts")), F.col("id")]
-    sample = rows.orderBy(*order).limit(SAMPLE).select("vector").toArrow()
+    # Ids are drawn, not rows, so that a row that stands many times is one of the sample.
+    drawn = rows.select("id").distinct().orderBy(*order).limit(SAMPLE)
+    sample = rows.join(F.broadcast(drawn), "id").distinct().orderBy(*order, "vector").limit(SAMPLE).select("vector").toArrow()
     x = matrix(sample.column("vector").combine_chunks(), width) if sample.num_rows else np.zeros((0, max(width, 1)))
     if len(x) < 20 * parts:
         parts = 1
@@ -168,10 +170,12 @@ def build_index(vectors: DataFrame, id_column: str = "vec_id", vector: str = "em
     shared = spark.sparkContext.broadcast(router)  # about width * HIDDEN numbers
     filed = rows.mapInArrow(_filing(shared, width), "part int, id long, vector array<double>")
     # A part may hold a third of all rows: it is spread over many tasks by the id's digest, and no task needs a whole part.
-    table, _ = stored.put(filed.repartition(F.col("part"), F.pmod(F.xxhash64("id"), F.lit(64))))
+    # Repeats of a row meet there and are dropped without another shuffle: they would take the places of other rows in a scan.
+    dealt = filed.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(64))).repartition("part", "slot")
+    table, _ = stored.put(dealt.dropDuplicates(["part", "slot", "id", "vector"]).select("part", "id", "vector"))
     index = Index(table, router, width, parts, parts, 1.0)
     if parts > 1:
-        audit = rows.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDIT)
+        audit = table.select("id", "vector").orderBy(F.xxhash64("id", F.lit("audit")), "id", "vector").limit(AUDIT)
         found = search(index, audit, neighbours).toPandas()
         x = matrix((held := audit.toArrow()).column("vector").combine_chunks(), width)
         route = np.argsort(-router.scores(x), axis=1, kind="stable")

@@ -77,6 +77,21 @@ def test_search_recall_ties_and_scores(shared):
     assert {i for q, i in exact if q == 200} == set(np.lexsort((np.arange(2000), distance))[:10].tolist())
 
 
+def test_repeated_rows_take_no_places(shared):
+    x, _, rows = cloud(600)
+    rows = [r for r in rows[:600] if r[2] is not None]
+    near = int(np.argsort(((x - x[0]) ** 2).sum(axis=1))[1])
+    df = shared.createDataFrame(rows + [rows[near]] * 20, SCHEMA).coalesce(1)
+    index = neighbours.build_index(df)
+    assert index.table.count() == 600
+    got = {r.id: r.rank for r in neighbours.search(index, index.table.where("id = 0").select("id", "vector"), 10).collect()}
+    distance = np.sqrt(((x - x[0]) ** 2).sum(axis=1))
+    distance[0] = np.inf
+    index.visits = index.parts
+    exact = [r.id for r in neighbours.search(index, index.table.where("id = 0").select("id", "vector"), 10).orderBy("rank").collect()]
+    assert len(got) == 10 and exact == np.lexsort((np.arange(600), distance))[:10].tolist()
+
+
 def test_balanced_parts():
     x = np.random.default_rng(0).standard_normal((512, 8))
     part = neighbours.balanced_parts(neighbours._graph(x, 6), 8)
