@@ -4,7 +4,9 @@ Vectors of a label start with neighbours from random orders (short runs of rows
 vector's neighbours are compared with one another, and better ones replace worse ones, until little changes. A vector whose
 list is full of near duplicates is saturated: its list may be too short to hold all links. Such lists are enlarged to
 the whole group that they hang together with, compared block by block. An audit compares a few vectors with all of
-their label; as long as links are missing, the search goes on with longer lists. Edges at the threshold, measured in
+their label, and looks for made-up partners, just above the threshold, that some vectors were given before the search: so
+it has links to count however rare the real ones are. As long as links are missing, the search goes on with more orders and
+longer lists, and if that does not help, every label is compared block by block. Edges at the threshold, measured in
 double precision on the original vectors, are the links.
 
 Copies of a vector are one node with a weight, so they cost nothing in the search.
@@ -28,15 +30,20 @@ from riskloom.llm.vectors import matrix, sound, usual_length
 THRESHOLD = 0.98
 #: Neighbours in a list at first; doubled in each further round of the audit.
 NEIGHBOURS = 8
-#: Random orders that the lists start from, sign bits of a code, and rows compared in a run of an order.
+#: Random orders that the lists start from and sign bits of a code, both at least (they grow with the largest label), and
+#: rows compared in a run of an order.
 ORDERS = 5
 BITS = 16
 RUN = 48
-#: Rounds of comparing neighbours of neighbours, and the share of changed entries below which they end.
+#: The share of pairs at the threshold that may meet in no order, by a rough estimate.
+APART = 0.05
+#: Rounds of comparing neighbours of neighbours at least, and the share of changed entries below which they end.
 ROUNDS = 3
 SETTLED = 0.002
-#: Vectors audited, the share of their links that must be found, and how often the search may be widened.
+#: Vectors audited, vectors given a made-up partner (at most, and at most one in ten), the share of either's links that
+#: must be found, and how often the search is widened before every label is compared in full.
 AUDIT = 200
+PROBES = 500
 RECALL = 0.99
 WIDENED = 2
 #: Rows of a block of a saturated group.
@@ -71,7 +78,7 @@ def _runs(width: int, k: int):
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         node = table.column("node").to_numpy()
-        group = table.column("label").to_numpy() * ORDERS * 4 + table.column("turn").to_numpy()
+        group = table.column("label").to_numpy().astype(np.int64) * 65_536 + table.column("turn").to_numpy()
         x = _units(table.column("vector").combine_chunks(), width).astype(np.float32)
         us, vs, ss = [], [], []
         for at in range(0, len(node), RUN):
@@ -94,19 +101,30 @@ def _runs(width: int, k: int):
     return run
 
 
-def _first_lists(nodes: DataFrame, width: int, k: int, orders: int, seed: int) -> DataFrame:
+def _orders(rows: int, threshold: float) -> tuple[int, int]:
+    """Random orders and sign bits for labels of up to ``rows`` vectors.
+
+    A run holds the rows that share the first bits of a code, one more for each doubling of the label; two vectors at the
+    threshold share a bit with a known probability. About half of those that share them all are cut apart by a run's end.
+    """
+    halvings = float(np.log2(max(1.0, rows / RUN)))
+    meet = 0.5 * (1 - np.arccos(min(1.0, threshold)) / np.pi) ** halvings
+    return max(ORDERS, int(np.ceil(np.log(APART) / np.log1p(-meet)))), int(np.clip(np.ceil(halvings) + 4, BITS, 31))
+
+
+def _first_lists(nodes: DataFrame, width: int, k: int, orders: int, bits: int, seed: int) -> DataFrame:
     """Neighbours from ``orders`` random orders: rows sorted by the signs of random projections, then by one projection."""
     rng = np.random.default_rng(seed)
-    planes = rng.standard_normal((orders, BITS + 1, max(width, 1)))
+    planes = rng.standard_normal((orders, bits + 1, max(width, 1)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _units(batch.column("vector"), width)
             for t in range(orders):
                 p = x @ planes[t].T
-                signs = ((p[:, :BITS] > 0) << np.arange(BITS)).sum(axis=1)
+                signs = ((p[:, :bits] > 0) << np.arange(bits)).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label"), pa.array(np.full(len(x), t, dtype=np.int32)), pa.array(signs.astype(np.int32)), pa.array(p[:, BITS]), batch.column("node"), batch.column("vector")],
+                    [batch.column("label"), pa.array(np.full(len(x), t, dtype=np.int32)), pa.array(signs.astype(np.int32)), pa.array(p[:, bits]), batch.column("node"), batch.column("vector")],
                     names=["label", "turn", "code", "place", "node", "vector"],
                 )
 
@@ -150,8 +168,12 @@ def _join_lists(width: int):
     return local
 
 
-def _refined(lists: DataFrame, nodes: DataFrame, width: int, k: int, stored: Stored) -> tuple[DataFrame, int]:
-    """One round: compare the neighbours of every node with one another. Returns the new lists and the entries that changed."""
+def _refined(lists: DataFrame, nodes: DataFrame, width: int, k: int, near: float, stored: Stored) -> tuple[DataFrame, int, bool]:
+    """One round: compare the neighbours of every node with one another.
+
+    Returns the new lists, the entries that changed, and whether those of at least ``near`` have settled; lists full of
+    these do not count, as their groups are compared in full.
+    """
     back = lists.select(F.col("v").alias("w"), F.col("u").alias("a"), "s")
     # Nodes that many lists name hand on their k nearest admirers; the audit tells whether that loses links.
     back = back.withColumn("n", F.row_number().over(Window.partitionBy("w").orderBy(F.desc("s"), "a"))).where(F.col("n") <= k).select("w", "a")
@@ -161,8 +183,11 @@ def _refined(lists: DataFrame, nodes: DataFrame, width: int, k: int, stored: Sto
     rows = around.join(known, "a").select("w", "a", "bar", "vector")
     found = rows.repartition("w").sortWithinPartitions("w").mapInArrow(_join_lists(width), "u long, v long, s float")
     better, _ = stored.put(_top(lists.select("u", "v", "s").union(found), k))
-    changed = better.join(lists, ["u", "v"], "left_anti").count()
-    return better, changed
+    close = F.col("s") >= near
+    new = better.join(lists, ["u", "v"], "left_anti").groupBy("u").agg(F.count(F.lit(1)).alias("new"), F.count_if(close).alias("new_close"))
+    every = better.groupBy("u").agg(F.count_if(close).alias("close")).join(new, "u", "left")
+    count = every.agg(F.sum("new"), F.sum(F.when(F.col("close") < k, F.col("new_close"))), F.sum(F.when(F.col("close") < k, F.col("close")))).first()
+    return better, count[0] or 0, (count[1] or 0) <= SETTLED * (count[2] or 0)
 
 
 def _exact(width: int):
@@ -184,9 +209,20 @@ def _links(lists: DataFrame, nodes: DataFrame, width: int, threshold: float) ->
     return both.mapInArrow(_exact(width), "u long, v long, cosine double").where(F.col("cosine") >= threshold).select("u", "v")
 
 
+def _joined(on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every row and column of a table of links, the first row that it hangs together with; the number of rows if none."""
+    row = np.arange(len(on))
+    while True:
+        column = np.where(on, row[:, None], len(on)).min(axis=0, initial=len(on))
+        following = np.minimum(row, np.where(on, column[None], len(on)).min(axis=1, initial=len(on)))
+        if (following == row).all():
+            return row, column
+        row = following
+
+
 def _within(width: int, threshold: float):
     def block_pair(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        """Links between the rows of two blocks of a group (or within one): per row, the weight it is linked with."""
+        """Links between the rows of two blocks of a group (or within one): per row, the weight it is linked with and a row it hangs together with."""
         _, i, j = key
         left, right = frame[frame["block"] == i], frame[frame["block"] == j]
 
@@ -202,9 +238,10 @@ def _within(width: int, threshold: float):
         for r, c in zip(*np.nonzero(np.abs(s - threshold) < 1e-9), strict=True):  # as near as rounding: by the plain formula
             u, v = np.array(left["vector"].iloc[r], dtype=np.float64), np.array(right["vector"].iloc[c], dtype=np.float64)
             on[r, c] = (u * v).sum() / (np.linalg.norm(u) * np.linalg.norm(v)) >= threshold
-        out = [pd.DataFrame({"node": a, "links": on @ cb, "other": np.where(on.any(axis=1), b[on.argmax(axis=1)] if len(b) else a, a)})]
+        row, column = _joined(on | np.eye(len(a), dtype=bool) if i == j else on)
+        out = [pd.DataFrame({"node": a, "links": on @ cb, "other": a[row]})]
         if i != j:
-            out.append(pd.DataFrame({"node": b, "links": on.T @ ca, "other": np.where(on.any(axis=0), a[on.argmax(axis=0)] if len(a) else b, b)}))
+            out.append(pd.DataFrame({"node": b, "links": on.T @ ca, "other": np.where(column < len(a), a[np.minimum(column, len(a) - 1)] if len(a) else b, b)}))
         return pd.concat(out)
 
     return block_pair
@@ -223,6 +260,22 @@ def _audit(shared, width: int, threshold: float):
     return audit
 
 
+def _partners(chosen: pa.Table, width: int, threshold: float) -> tuple[pa.Table, pa.Table]:
+    """Made-up partners of nodes, just above the threshold in a random direction: (nodes of no copies, pairs u and v)."""
+    rng = np.random.default_rng(13)
+    x = matrix(chosen.column("vector").combine_chunks(), width)
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.standard_normal(x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) / norm**2 * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True) + 1e-30
+    cosine = min(1.0, threshold + 0.01 * (1 - threshold) + 1e-6)
+    y = (cosine * x + np.sqrt(1 - cosine**2) * norm * away).astype(np.float32)
+    node = pa.array(rng.integers(-(2**63), 2**63 - 1, len(x)), pa.int64())
+    zero = pa.array(np.zeros(len(x), dtype=np.int64))
+    made = pa.table({"node": node, "low": zero, "copies": zero, "label": chosen.column("label"), "vector": pa.array(list(y), pa.list_(pa.float32()))})
+    return made, pa.table({"u": chosen.column("node"), "v": node})
+
+
 def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_links, component_id, kept) for every row: vectors of an equal label are linked at ``threshold`` cosine.
 
@@ -240,24 +293,40 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
         base.where("node is not null").groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").cast("array<float>").alias("vector"))
     )
     total = nodes.count()
-    audited = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(AUDIT).select("node", "label", "vector").toArrow()
-    k = NEIGHBOURS
+    drawn = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(max(AUDIT, PROBES)).select("node", "label", "vector").toArrow()
+    audited = drawn.slice(0, AUDIT)
+    made, pairs = _partners(drawn.slice(0, min(PROBES, -(-total // 10))), width, threshold)
+    made, _ = stored.put(spark.createDataFrame(made, nodes.schema))
+    pairs = spark.createDataFrame(pairs, "u long, v long")  # at most PROBES rows
+    real, nodes = nodes, nodes.union(made)
+    largest = real.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    orders, bits = _orders(largest, threshold)
+    k, near = NEIGHBOURS, threshold - SLACK
     lists = None
     for widened in range(WIDENED + 1):
-        start = _first_lists(nodes, width, k, ORDERS, seed=widened)
+        start = _first_lists(nodes, width, k, orders, bits, seed=widened)
         lists, _ = stored.put(start if lists is None else _top(lists.union(start), k))
-        for _ in range(ROUNDS):
-            lists, changed = _refined(lists, nodes, width, k, stored)
-            if changed <= SETTLED * total * k:
-                break
+        rounds, changed, settled = 0, total * k, False
+        while changed > SETTLED * total * k and not (settled and rounds >= ROUNDS):
+            lists, changed, settled = _refined(lists, nodes, width, k, near, stored)
+            rounds += 1
         links, _ = stored.put(_links(lists, nodes, width, threshold))
         groups, _ = stored.put(components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        full = lists.where(F.col("s") >= threshold - SLACK).groupBy("u").count().where(F.col("count") >= k).select(F.col("u").alias("node"))
+        full = lists.where(F.col("s") >= near).groupBy("u").count().where(F.col("count") >= k).select(F.col("u").alias("node"))
         # The groups of saturated nodes, whole.
         wide, _ = stored.put(groups.join(groups.join(full, "node").select("component").distinct(), "component"))
-        if total == 0 or _recall(spark, stored, nodes, audited, width, threshold, links, wide) >= RECALL:
+        recall = 1.0
+        if total:
+            recall = min(_found(pairs, links, wide), _recall(spark, stored, real, audited, width, threshold, links, wide))
+        if recall >= RECALL:
             break
         k *= 2
+        orders *= 2
+    nodes = real
+    # The made-up partners leave; if links are still missing, every label is a group to be compared in full.
+    gone = F.broadcast(made.select("node"))
+    links = links.join(gone, F.col("u") == F.col("node"), "left_anti").join(gone, F.col("v") == F.col("node"), "left_anti")
+    wide = wide.join(gone, "node", "left_anti") if recall >= RECALL else nodes.select("node", F.col("label").cast("long").alias("component"))
     member = wide.join(nodes.select("node", "copies", "vector"), "node")
     size = wide.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     cut = member.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
@@ -288,6 +357,11 @@ def _recall(spark: SparkSession, stored: Stored, nodes: DataFrame, audited: pa.T
     shared = spark.sparkContext.broadcast((audited.column("node").to_numpy(), audited.column("label").to_numpy(), x))  # AUDIT vectors
     # Besides the sample of nodes, which has few links, the true links of copies count: all that the sample touches.
     true, _ = stored.put(nodes.mapInArrow(_audit(shared, width, threshold + 1e-9), "u long, v long").distinct())
+    return _found(true, links, wide)
+
+
+def _found(true: DataFrame, links: DataFrame, wide: DataFrame) -> float:
+    """The share of the pairs (u, v) that are links or in one saturated group; 1 if there are none."""
     number = true.count()
     if not number:
         return 1.0

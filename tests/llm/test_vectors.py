@@ -44,6 +44,34 @@ def test_block_of_a_saturated_group(shared, monkeypatch):
     assert [got[i] for i in range(300)] == (near.sum(axis=1) - 1).tolist()
 
 
+def test_isolated_pairs_are_not_lost(shared, monkeypatch):
+    # Runs this short lose most pairs, and few vectors have one: the audit's sample alone cannot tell.
+    monkeypatch.setattr(vector_dedup, "RUN", 2)
+    monkeypatch.setattr(vector_dedup, "NEIGHBOURS", 2)
+    monkeypatch.setattr(vector_dedup, "WIDENED", 0)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((30, 24))
+    side -= (side * x[:30]).sum(axis=1, keepdims=True) * x[:30]
+    x[30:60] = 0.982 * x[:30] + np.sqrt(1 - 0.982**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    df = shared.createDataFrame([(i, v.tolist(), 1, 0) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(df).collect()}
+    assert sum(got[i] == (1, i % 30) for i in range(60)) == 60 and all(got[i] == (0, i) for i in range(60, 3000))
+
+
+def test_chains_between_blocks_hang_together():
+    on = np.zeros((4, 3), dtype=bool)
+    on[[0, 2, 2, 3], [0, 0, 1, 1]] = True
+    row, column = vector_dedup._joined(on)
+    assert row.tolist() == [0, 1, 0, 0] and column.tolist() == [0, 0, 4]
+
+
+def test_orders_grow_with_the_label():
+    small, large, huge = (vector_dedup._orders(n, 0.98) for n in (500, 100_000, 500_000_000))
+    assert small[0] < large[0] < huge[0] and small[1] == vector_dedup.BITS < huge[1] <= 31
+
+
 def test_empty_vectors(shared):
     assert vector_dedup.near_duplicates(shared.createDataFrame([], SCHEMA)).count() == 0
     assert neighbours.search(neighbours.build_index(shared.createDataFrame([], SCHEMA)), shared.createDataFrame([], "id long, vector array<double>")).count() == 0
