@@ -2,10 +2,13 @@
 
 Two strings are similar if they share subsequences of three characters; each shared one counts less, the longer the
 stretch it is spread over. So ``i-d-i-o-t`` or a new ending still resembles what was learned. The machine is trained on
-labelled sentences as bags of units (words; runs of single characters count as one word): a sentence of a clean text has
-only clean units, one of a toxic text may owe its label to any unit. Units that explain most toxic texts are the first
-witnesses; then training alternates with a search for the most deceptive clean units and for further witnesses.
-A sentence's margin is its best unit's, a text's margin its best sentence's.
+labelled texts as bags of units (words; runs of single characters count as one word): a clean text has only clean units,
+a toxic one may owe its label to any unit. Units that explain most toxic texts are the first witnesses; then training
+alternates with a search for the most deceptive clean units and for further witnesses. A text's margin is its best unit's.
+
+The method is narrowed to single words: there are no sentences, and no subsequence goes over white space. What that
+loses: an insult split in two (``id iot``), one spelled with two spaces or over a line end between its characters, and a
+phrase that is toxic though none of its words is; they score like clean text.
 
 The kernel has explicit features (triples with their spread), so after training the landmarks fold into one table of
 weights per triple and a unit is scored by look-ups, whatever the number of landmarks.
