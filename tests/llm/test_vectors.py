@@ -60,6 +60,21 @@ def test_isolated_pairs_are_not_lost(shared, monkeypatch):
     assert sum(got[i] == (1, i % 30) for i in range(60)) == 60 and all(got[i] == (0, i) for i in range(60, 3000))
 
 
+def test_labels_in_full_if_links_stay_missing(shared, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "BLOCK", 40)
+    monkeypatch.setattr(vector_dedup, "WIDENED", 0)
+    monkeypatch.setattr(vector_dedup, "RECALL", 1.1)
+    monkeypatch.setattr(vector_dedup, "_links", lambda lists, *_: lists.select("u", "v").limit(0))
+    x, label, rows = cloud(300)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(shared.createDataFrame(rows, SCHEMA)).collect()}
+    norm = np.linalg.norm(x, axis=1)
+    near = ((x @ x.T) / (norm[:, None] * norm[None]) >= 0.98) & (label[:, None] == label[None])
+    low = np.arange(300)
+    for _ in range(300):
+        low = np.where(near, low[None], 300).min(axis=1)
+    assert [got[i] for i in range(300)] == list(zip((near.sum(axis=1) - 1).tolist(), low.tolist(), strict=True))
+
+
 def test_chains_between_blocks_hang_together():
     on = np.zeros((4, 3), dtype=bool)
     on[[0, 2, 2, 3], [0, 0, 1, 1]] = True
