@@ -10,6 +10,7 @@ from riskloom.llm.neighbours import op1_learned_partitions
 from riskloom.llm.pseudonyms import op5_pseudonyms
 from riskloom.llm.simhash import op3_simhash_near_dedup
 from riskloom.llm.token_counts import op4_token_counts
+from riskloom.llm.spelling import OP11_SQL, op11_spelling_variants
 from riskloom.llm.toxicity import op2_toxicity
 from riskloom.llm.vector_dedup import op9_nn_descent
 
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_nn_descent": op9_nn_descent,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
 }
-ORACLES = {"op8_mixing": OP8_SQL}
+ORACLES = {"op8_mixing": OP8_SQL, "op11_spelling_variants": OP11_SQL}
