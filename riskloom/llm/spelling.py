@@ -311,7 +311,7 @@ def crc32_sql(text: str) -> str:
 
 
 OP11_SQL = f"""
-WITH runs AS (
+WITH RECURSIVE runs AS (
     SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
 ), each AS (
     SELECT run, {crc32_sql("id || ':' || run")} AS h, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL
@@ -331,9 +331,9 @@ WITH runs AS (
 ), forms AS (
     SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form, CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
     FROM words w LEFT JOIN best USING (word)
-), climb(word, at, further) AS (
+), climb(word, spot, further) AS (
     SELECT word, word, form FROM forms
     UNION ALL SELECT c.word, f.word, f.form FROM climb c JOIN forms f ON f.word = c.further
 )
-SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.at AS root FROM forms f JOIN climb c ON c.word = f.word AND c.further IS NULL
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.spot AS root FROM forms f JOIN climb c ON c.word = f.word AND c.further IS NULL
 """
