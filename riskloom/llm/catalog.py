@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskloom.llm.byte_bpe import op6_byte_bpe
+from riskloom.llm.conversations import OP12_SQL, op12_conversation_repair
 from riskloom.llm.language import op10_language_id
 from riskloom.llm.licenses import op7_license_scan
 from riskloom.llm.mixing import OP8_SQL, op8_mixing
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_nn_descent": op9_nn_descent,
     "op10_language_id": op10_language_id,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
 }
-ORACLES = {"op8_mixing": OP8_SQL, "op11_spelling_variants": OP11_SQL}
+ORACLES = {"op8_mixing": OP8_SQL, "op11_spelling_variants": OP11_SQL, "op12_conversation_repair": OP12_SQL}
