@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskloom.llm.byte_bpe import op6_byte_bpe
+from riskloom.llm.chat_format import OP13_SQL, op13_chat_format
 from riskloom.llm.conversations import OP12_SQL, op12_conversation_repair
 from riskloom.llm.language import op10_language_id
 from riskloom.llm.licenses import op7_license_scan
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_chat_format": op13_chat_format,
 }
-ORACLES = {"op8_mixing": OP8_SQL, "op11_spelling_variants": OP11_SQL, "op12_conversation_repair": OP12_SQL}
+ORACLES = {"op8_mixing": OP8_SQL, "op11_spelling_variants": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_chat_format": OP13_SQL}
