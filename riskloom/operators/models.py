@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.features import _Columns
 from riskloom.operators.neighbors import knn_vote
 from riskloom.operators.split import with_class_weight
+from riskloom.operators.trees import Draw, Rules, TreeLearner
 from riskloom.runtime import materialize
 
 DEEPEST = 30  # Spark's limit on tree depth; stands for "no limit"
@@ -45,7 +46,8 @@ MODEL_NAMES = {
     "rf": "rf",
     "XGBoost": "xgb",
     "XGBClassifier": "xgb",
-    "LightGBM": "xgb",
+    "LightGBM": "lgbm",
+    "LGBMClassifier": "lgbm",
     "GradientBoosting": "xgb",
     "xgb": "xgb",
     "AdaBoost": "ada",
@@ -63,14 +65,21 @@ MODEL_NAMES = {
 # Parameters each family understands; others are reported as ignored.
 KNOWN_PARAMS = {
     "lr": {"C", "penalty", "class_weight", "max_iter", "l1_ratio"},
-    "dt": {"criterion", "max_depth", "min_samples_leaf", "class_weight", "random_state", "max_bins"},
+    "dt": {
+        "criterion", "max_depth", "min_samples_leaf", "class_weight", "random_state", "max_bins", "min_samples_split",
+        "ccp_alpha", "max_leaf_nodes", "max_features",
+    },
     "rf": {
         "n_estimators", "criterion", "max_depth", "min_samples_leaf", "max_features", "class_weight",
-        "random_state", "max_bins", "bootstrap",
+        "random_state", "max_bins", "bootstrap", "min_samples_split", "ccp_alpha", "max_leaf_nodes",
     },
     "xgb": {
         "n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "scale_pos_weight",
-        "random_state", "max_bins",
+        "random_state", "max_bins", "reg_lambda", "reg_alpha", "gamma", "min_child_weight",
+    },
+    "lgbm": {
+        "n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "scale_pos_weight", "class_weight",
+        "random_state", "max_bins", "reg_lambda", "reg_alpha", "num_leaves", "min_child_samples", "min_child_weight", "min_split_gain",
     },
     "ada": {"n_estimators", "learning_rate", "random_state"},
     "svc": {"kernel", "C", "gamma", "class_weight", "random_state", "max_iter", "n_components", "probability"},
@@ -80,6 +89,14 @@ KNOWN_PARAMS = {
 }
 
 
+# Parameters that only trees of our own growing have; a candidate that names one gets such trees, whatever its value.
+GROWN_PARAMS = {
+    "dt": {"min_samples_split", "ccp_alpha", "max_leaf_nodes", "max_features"},
+    "rf": {"min_samples_split", "ccp_alpha", "max_leaf_nodes"},
+    "xgb": {"reg_lambda", "reg_alpha", "gamma", "min_child_weight"},
+}
+
+
 def family(name: str) -> str:
     """Family key of a model name; an unknown name is an error."""
     if name not in MODEL_NAMES:
@@ -105,6 +122,29 @@ def _impurity(p: Mapping) -> str:
     return "gini" if p.get("criterion", "gini") == "gini" else "entropy"
 
 
+def _grown(fam: str, p: Mapping, seed: int) -> TreeLearner:
+    """Trees grown from histograms, with the defaults of the libraries the parameter names come from."""
+    depth = p.get("max_depth")
+    bins = int(p.get("max_bins", 32))
+    if fam in ("dt", "rf"):
+        rules = Rules(
+            "gini" if p.get("criterion", "gini") == "gini" else "entropy", None if depth is None else int(depth), int(p.get("min_samples_split", 2)),
+            int(p.get("min_samples_leaf", 1)), p.get("max_leaf_nodes"), p.get("max_features", "sqrt" if fam == "rf" else None),
+        )
+        draw = Draw(bootstrap=fam == "rf" and bool(p.get("bootstrap", True)), seed=seed)
+        return TreeLearner(rules, int(p.get("n_estimators", 100)) if fam == "rf" else 1, bins, draw, ccp_alpha=float(p.get("ccp_alpha", 0.0)))
+    penalty = {"reg_lambda": float(p.get("reg_lambda", 1.0 if fam == "xgb" else 0.0)), "reg_alpha": float(p.get("reg_alpha", 0.0))}
+    if fam == "xgb":
+        rules = Rules("second_order", 6 if depth is None else int(depth), min_child_weight=float(p.get("min_child_weight", 1.0)), gamma=float(p.get("gamma", 0.0)), **penalty)
+    else:
+        rules = Rules(
+            "second_order", None if depth is None or int(depth) < 1 else int(depth), min_samples_leaf=int(p.get("min_child_samples", 20)), max_leaves=int(p.get("num_leaves", 31)),
+            min_child_weight=float(p.get("min_child_weight", 1e-3)), gamma=float(p.get("min_split_gain", 0.0)), **penalty,
+        )
+    draw = Draw(float(p.get("subsample", 1.0)), seed=seed)
+    return TreeLearner(rules, int(p.get("n_estimators", 100)), bins, draw, True, float(p.get("learning_rate", 0.3 if fam == "xgb" else 0.1)), float(p.get("colsample_bytree", 1.0)))
+
+
 def build_estimator(name: str, params: Mapping | None = None, rows: float = 1.0, width: int = 1, seed: int = 1) -> Estimator:
     """A ``pyspark.ml`` estimator for a model name and its parameters.
 
@@ -115,6 +155,8 @@ def build_estimator(name: str, params: Mapping | None = None, rows: float = 1.0,
     seed = int(p.get("random_state") or seed)
     weighted = {"weightCol": "weight"} if p.get("class_weight") or p.get("scale_pos_weight") else {}
     base = {"featuresCol": "features", "labelCol": "label"}
+    if fam == "lgbm" or GROWN_PARAMS.get(fam, set()) & set(p):
+        return _grown(fam, p, seed)
     if fam == "lr":
         mix = {"l1": 1.0, "l2": 0.0, "elasticnet": p.get("l1_ratio") or 0.5}.get(p.get("penalty", "l2"), 0.0)
         strength = 0.0 if p.get("penalty", "l2") in (None, "none") else 1.0 / (float(p.get("C", 1.0)) * rows)

@@ -280,6 +280,7 @@ class _Pass:
     slots: dict[int, np.ndarray]
     many: int
     allowed: np.ndarray | None
+    siblings: np.ndarray  # per slot the slot of a sibling that is not counted, or -1
     width: int
     bins: int
     draw: Draw
@@ -324,9 +325,14 @@ def _count(batches: Iterator[pa.RecordBatch], job: _Pass) -> Iterator[pa.RecordB
                 cells[j, 1] += np.bincount(at, aj, size)
                 cells[j, 2] += np.bincount(at, bj, size)
     feature, flat = np.nonzero(cells[:, 0])
-    columns = [(flat // job.bins).astype(np.int32), feature.astype(np.int32), (flat % job.bins).astype(np.int32)]
-    columns += [cells[feature, 0, flat].astype(np.int64), cells[feature, 1, flat], cells[feature, 2, flat]]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "feature", "bin", "n", "a", "b"])
+    slot, bin_ = flat // job.bins, flat % job.bins
+    n, a, b = cells[feature, 0, flat], cells[feature, 1, flat], cells[feature, 2, flat]
+    other = job.siblings[slot]
+    # What a node holds is taken from its sibling, which starts as all of the parent.
+    for to, sign, at in ((slot, 1, np.arange(len(flat))), (other, -1, np.flatnonzero(other >= 0))):
+        columns = [to[at].astype(np.int32), feature[at].astype(np.int32), bin_[at].astype(np.int32)]
+        columns += [(sign * n[at]).astype(np.int64), sign * a[at], sign * b[at]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "feature", "bin", "n", "a", "b"])
 
 
 _CELLS = "slot int, feature int, bin int, n long, a double, b double"
@@ -413,7 +419,10 @@ class Grower:
             if s not in derived:
                 slots[t][node] = s
         wanted = {t: v for t, v in slots.items() if (v >= 0).any()}
-        job = _Pass({t: _arrays(trees[t]) for t in wanted}, wanted, len(part), allowed, self.width, self.bins, self.draw, self.rules.criterion == "second_order", pending)
+        siblings = np.full(len(part), -1, np.int64)
+        for s, (_, _, counted) in derived.items():
+            siblings[counted] = s
+        job = _Pass({t: _arrays(trees[t]) for t in wanted}, wanted, len(part), allowed, siblings, self.width, self.bins, self.draw, self.rules.criterion == "second_order", pending)
         spark = self.rows.sparkSession
         shared = spark.sparkContext.broadcast(job)
 
@@ -422,14 +431,9 @@ class Grower:
 
         self.passes += 1
         cells = self.rows.mapInArrow(count, _CELLS)
-        if derived:
-            cells = materialize(cells.groupBy("slot", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")]), "cells")
-            pairs = spark.createDataFrame([(sib, s) for s, (_, _, sib) in derived.items()], "slot int, to int")
-            less = cells.join(F.broadcast(pairs), "slot").select(F.col("to").alias("slot"), "feature", "bin", *[(-F.col(c)).alias(c) for c in ("n", "a", "b")])
-            cells = cells.unionByName(less)
-            for table in {id(d[0]): d[0] for d in derived.values()}.values():
-                moves = spark.createDataFrame([(p, s) for s, (d, p, _) in derived.items() if d is table], "slot int, to int")
-                cells = cells.unionByName(table.join(F.broadcast(moves), "slot").select(F.col("to").alias("slot"), "feature", "bin", "n", "a", "b"))
+        for table in {id(d[0]): d[0] for d in derived.values()}.values():
+            moves = spark.createDataFrame([(p, s) for s, (d, p, _) in derived.items() if d is table], "slot int, to int")
+            cells = cells.unionByName(table.join(F.broadcast(moves), "slot").select(F.col("to").alias("slot"), "feature", "bin", "n", "a", "b"))
         summed = cells.repartition(F.col("slot"), F.col("feature")).groupBy("slot", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")]).where("n > 0")
         if by_sibling:
             summed = materialize(summed, "cells")
@@ -478,8 +482,9 @@ class Grower:
     def _best_first(self, t: int, tree: Tree, found, features, pending) -> Tree:
         """Always the leaf of largest gain, until there are ``max_leaves``.
 
-        The split of a leaf does not depend on the order, so a pass looks ahead: it also counts the children of the leaves that are
-        next in line. The order is then replayed over what is known.
+        The split of a leaf does not depend on the order, so a pass looks ahead: it also counts the children of the nodes of largest
+        known gain, whether or not the order has come to them. The order is then replayed over what is known, so there are about as
+        many passes as levels.
         """
         known = {node: b for (_, node), b in found.items()}
         while True:
@@ -487,10 +492,9 @@ class Grower:
             left = self.rules.max_leaves - len(leaves)
             if not unknown or left <= 0:
                 break
-            ahead = sorted((n for n in leaves if n in known and self._good(tree, n, known)), key=lambda n: (-round(known[n]["gain"], 8), n))[:left]
-            for n in ahead:
-                if tree.feature[n] < 0:
-                    unknown += [c for c in tree.split(n, known[n]) if self.may_split(tree, c)]
+            open_ = (n for n in known if tree.feature[n] < 0 and self._good(tree, n, known))
+            for n in sorted(open_, key=lambda n: (-round(known[n]["gain"], 8), n))[:left]:
+                unknown += [c for c in tree.split(n, known[n]) if self.may_split(tree, c)]
             for (_, node), b in self.splits({t: tree}, [(t, n) for n in sorted(set(unknown))], features, pending).items():
                 known[node] = b
         done = set(order)
@@ -621,16 +625,24 @@ class GrownTrees(_Columns, Model):
         return out.withColumn("probability", array_to_vector(F.array(1.0 - F.col("_p1"), F.col("_p1")))).drop("_p1")
 
     def node_table(self, spark: SparkSession) -> DataFrame:
-        """(tree, node, feature, threshold, left, right, depth, n, a, b, gain, value) of all nodes."""
+        """(tree, node, path, feature, threshold, left, right, depth, n, a, b, gain, value) of all nodes; a path spells the way from the root."""
         s = self.fitted()
         rows = []
         for t, tree in enumerate(self.trees()):
-            for i, f in enumerate(tree.feature):
+            path = {0: ""}
+            for i in range(len(tree.feature)):
+                f = tree.feature[i]
+                if f >= 0:
+                    path |= {tree.left[i]: path[i] + "l", tree.right[i]: path[i] + "r"}
                 limit = float(s["edges"][f][tree.bin[i]]) if f >= 0 else None
-                rows.append((t, i, f, limit, tree.left[i], tree.right[i], tree.depth[i], int(tree.n[i]), float(tree.a[i]), float(tree.b[i]), float(tree.gain[i]), float(s["values"][t][i])))
-        return spark.createDataFrame(
-            rows, "tree int, node int, feature int, threshold double, left int, right int, depth int, n long, a double, b double, gain double, value double"
-        )
+                sums = [float(v) for v in (tree.a[i], tree.b[i], tree.gain[i], s["values"][t][i])]
+                rows.append((t, i, path[i], f, limit, tree.left[i], tree.right[i], tree.depth[i], int(tree.n[i]), *sums))
+        return spark.createDataFrame(rows, _NODES)
+
+
+_NODES = (
+    "tree int, node int, path string, feature int, threshold double, left int, right int, depth int, n long, a double, b double, gain double, value double"
+)
 
 
 def _scorer(state: dict):
@@ -652,6 +664,17 @@ def _scorer(state: dict):
     return score
 
 
+def as_stage(made: Sequence[Tree], edges: list[list[float]], rules: Rules, boosted: bool = False, rate: float = 1.0) -> GrownTrees:
+    """Trees as a stage: shares of class 1 are averaged, second-order steps are added up."""
+    names = ("feature", "bin", "left", "right", "depth", "n", "a", "b", "gain")
+    state = {
+        "trees": [{n: [x if isinstance(x, float) else int(x) for x in getattr(t, n)] for n in names} for t in made],
+        "values": [[leaf_value(a, b, rules) for a, b in zip(t.a, t.b)] for t in made],
+        "edges": edges, "boosted": boosted, "rate": rate,
+    }
+    return GrownTrees(inputCols=["features"], outputCols=["probability"], state=json.dumps(state))
+
+
 class TreeLearner(Estimator):
     """Grows one tree, a forest or a boosted sequence on (features, label[, weight][, key])."""
 
@@ -673,13 +696,7 @@ class TreeLearner(Estimator):
         made = self._boost(rows, width) if self.boosted else Grower(rows, width, self.bins, self.rules, self.draw).forest(self.trees)
         if self.ccp_alpha:
             made = [pruned(t, self.rules, self.ccp_alpha) for t in made]
-        names = ("feature", "bin", "left", "right", "depth", "n", "a", "b", "gain")
-        state = {
-            "trees": [{n: [x if isinstance(x, float) else int(x) for x in getattr(t, n)] for n in names} for t in made],
-            "values": [[leaf_value(a, b, self.rules) for a, b in zip(t.a, t.b)] for t in made],
-            "edges": edges, "boosted": self.boosted, "rate": self.rate,
-        }
-        return PipelineModel(stages=[GrownTrees(inputCols=["features"], outputCols=["probability"], state=json.dumps(state))])
+        return PipelineModel(stages=[as_stage(made, edges, self.rules, self.boosted, self.rate)])
 
     def _boost(self, rows: DataFrame, width: int) -> list[Tree]:
         """Trees on the gradients of the log loss; margins are stored every few trees and added up in the tasks between."""

@@ -10,5 +10,6 @@ from riskloom.plans import (  # noqa: F401
     catalog_runs,
     catalog_sampling,
     catalog_sources,
+    catalog_trees,
 )
 from riskloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -229,3 +229,26 @@ def test_saved_model_and_odd_rows(table, tmp_path):
         tr.TreeLearner(tr.Rules()).fit(df.limit(0))
     single = tr.TreeLearner(tr.Rules()).fit(df.where("label = 1"))
     assert single.transform(df).select("prediction").distinct().collect() == [(1.0,)]
+
+
+def test_catalogue_takes_the_parameters(table):
+    """The live forest grid has 18 candidates that differ; small nodes stay whole in every one of them."""
+    from riskloom.operators import models, search
+
+    grid = {"model__n_estimators": [100, 200], "model__max_depth": [5, 10, 15], "model__min_samples_split": [2, 3, 4], "model__class_weight": ["balanced"]}
+    kept, ignored = search.different_candidates(search.Experiment("RandomForest", None, "y", "id", grid))
+    assert len(kept) == 18 and ignored == []
+    df, _, _, _, _ = table
+    shapes = set()
+    for least in (2, 30, 60):
+        fitted = models.fit_model("RandomForest", {"n_estimators": 3, "max_depth": 10, "min_samples_split": least, "class_weight": "balanced"}, df)
+        for tree in fitted.stages[0].trees():
+            assert all(tree.n[i] >= least for i, f in enumerate(tree.feature) if f >= 0)
+        shapes.add(sum(len(t.feature) for t in fitted.stages[0].trees()))
+    assert len(shapes) == 3
+    tree = models.fit_model("DecisionTree", {"max_depth": 20, "min_samples_split": 20, "min_samples_leaf": 5, "max_features": "sqrt", "ccp_alpha": 0.01, "class_weight": "balanced"}, df).stages[0].trees()[0]
+    assert all(tree.n[i] >= 5 for i in range(len(tree.feature)))
+    light = models.fit_model("LightGBM", {"n_estimators": 2, "num_leaves": 5, "min_child_samples": 3}, df).stages[0].trees()
+    assert [len(t.leaves()) for t in light] == [5, 5]
+    with pytest.raises(ValueError):
+        models.fit_model("LightGBM", {"num_leaves": 1}, df)
