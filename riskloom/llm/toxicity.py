@@ -1,17 +1,22 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-Two strings are similar if they share subsequences of three characters; each shared one counts less, the longer the
-stretch it is spread over. So ``i-d-i-o-t`` or a new ending still resembles what was learned. The machine is trained on
-labelled texts as bags of units (words; runs of single characters count as one word): a clean text has only clean units,
-a toxic one may owe its label to any unit. Units that explain most toxic texts are the first witnesses; then training
-alternates with a search for the most deceptive clean units and for further witnesses. A text's margin is its best unit's.
+A text is read as a stream of letters; what is neither letter nor digit, white space included, is a gap. Two strings are similar if
+they share subsequences of three characters, each counting less the more letters it skips; the kernel is normalised for length.
+Two machines of this kind judge a text, and the one more sure of itself decides. The first sees single tokens as they stand. The second
+sees windows of up to ``WINDOW`` letters that run from the start of any token to the end of any token and pass over the gaps between, so
+``i-d-i-o-t``, ``id iot`` and ``i  d  i  o  t`` all hold the window ``idiot``, and a phrase is a window too; it also learns from windows with
+letters inserted. One machine for both would have to call a word clean because two clean words can spell it together.
 
-The method is narrowed to single words: there are no sentences, and no subsequence goes over white space. What that
-loses: an insult split in two (``id iot``), one spelled with two spaces or over a line end between its characters, and a
-phrase that is toxic though none of its words is; they score like clean text.
+A machine is trained on labelled texts as bags of windows: a clean text has only clean windows, a toxic one may owe its label to any. Windows
+that explain most toxic texts are the first witnesses; in the second machine each also teaches with letters put into it. Training then alternates with a
+search for the most deceptive clean windows and for further witnesses. A text's margin is its best window's.
 
 The kernel has explicit features (triples with their spread), so after training the landmarks fold into one table of
-weights per triple and a unit is scored by look-ups, whatever the number of landmarks.
+weights per triple. Scoring is linear in the text whatever the number of landmarks: running sums of the table's entries over the letter
+stream give the margin of every window by a few differences.
+
+Texts may be as long as a string and are scored whole, piece by piece; repeated rows score alike; ties between windows do not matter, as only the largest margin counts;
+columns other than the id and the text are not looked at.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,46 +44,67 @@ ROUNDS = 2
 #: Weight of the errors of either class against the size of the machine's weights.
 COST = 30_000.0
 LANDMARKS = 160
-#: A subsequence of three characters may be spread over at most this many; its weight is DECAY to the number of gaps.
+#: A subsequence of three characters may be spread over at most this many; its weight is DECAY to the number of letters skipped.
 SPREAD = 7
-DECAY = 0.5
-#: Longer units are cut into pieces of this length that overlap by half.
-PIECE = 48
-#: Character classes: the most frequent characters of the training units, and one class for all others.
+DECAY = 0.6
+#: Letters of the longest window; a token of more letters counts as several of half that length.
+WINDOW = 16
+#: Character classes: 0 a gap, 1 and 2 the start and end of a window, then the OWN most frequent characters of the training
+#: windows; all others share the rest by a hash of their code point, so letters of other scripts differ too.
 CLASSES = 64
-#: Margins kept per Python worker; the store is emptied when it is full.
-KEPT_UNITS = 400_000
+OWN = 45
+#: Variants of every witness with one letter inserted; together they weigh half as much in training as the witness itself.
+VARIANTS = 6
+#: Letters scored at once.
+PART = 1 << 18
 
-_EDGES = ".,;:!?()[]{}<>\"'`|*_-/\\«»¡¿…“”‘’"
-_SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){2,}")
 _OFFSETS = [(a, b) for b in range(2, SPREAD) for a in range(1, b)]
+_TOKEN = re.compile(r"[^\W_]+")
+
 
+def tokens_of(text: str | None) -> list[str]:
+    """Runs of letters and digits in lower case; longer ones than a window in parts of half a window."""
+    out: list[str] = []
+    for token in _TOKEN.findall((text or "").lower()):
+        half = WINDOW // 2
+        out += [token] if len(token) <= WINDOW else [token[i : i + half] for i in range(0, len(token), half)]
+    return out
 
-def units_of(text: str | None) -> list[str]:
-    """The raw units of a text: its words in lower case, and each run of single characters put together."""
-    if not text:
-        return []
-    low = text.lower()
-    units = low.split()
-    spelled = _SPELLED.findall(low)
-    return units + [s.replace(" ", "").replace("\t", "") for s in spelled] if spelled else units
+
+def windows_of(text: str | None) -> list[str]:
+    """The windows of a text as strings: consecutive tokens put together, up to ``WINDOW`` letters."""
+    tokens = tokens_of(text)
+    out = []
+    for i in range(len(tokens)):
+        unit = ""
+        for t in tokens[i:]:
+            unit += t
+            if len(unit) > WINDOW:
+                break
+            out.append(unit)
+    return out
 
 
-def _pieces(unit: str) -> list[str]:
-    core = unit.strip(_EDGES)
-    if len(core) <= PIECE:
-        return [core]
-    return [core[i : i + PIECE] for i in range(0, len(core) - PIECE // 2, PIECE // 2)]
+def _gaps() -> np.ndarray:
+    """True for every code point that is no letter or digit."""
+    return np.fromiter((not _TOKEN.match(chr(i)) for i in range(0x110000)), bool, 0x110000)
 
 
 class Alphabet:
-    """Characters as small class numbers; 0 is every other character, 1 and 2 mark the start and the end."""
+    """Characters as small class numbers."""
+
+    gaps: np.ndarray | None = None
 
     def __init__(self, characters: str):
+        if Alphabet.gaps is None:
+            Alphabet.gaps = _gaps()
         self.characters = characters
-        self.code = np.zeros(0x110000, dtype=np.int32)
-        for i, c in enumerate(characters[: CLASSES - 3]):
+        points = np.arange(0x110000, dtype=np.uint64)
+        rest = CLASSES - 3 - OWN
+        self.code = (3 + OWN + ((points * np.uint64(2654435761)) >> np.uint64(16)) % np.uint64(rest)).astype(np.int32)
+        for i, c in enumerate(characters[:OWN]):
             self.code[ord(c)] = i + 3
+        self.code[Alphabet.gaps] = 0
 
     def matrix(self, strings: list[str]) -> np.ndarray:
         """Strings of one length as rows of class numbers with both marks."""
@@ -105,10 +131,9 @@ def triples(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Machine:
-    """What scoring needs: a weight per triple, the bias and the two numbers of the probability curve."""
+class Part:
+    """One machine: its characters, a weight per triple, the bias and the two numbers of its probability curve."""
 
-    name: str
     characters: str
     weights: np.ndarray
     bias: float
@@ -116,47 +141,143 @@ class Machine:
     shift: float = 0.0
 
 
+@dataclass
+class Machine:
+    """What scoring needs: the machine of tokens and the one of windows, which share their characters."""
+
+    name: str
+    tokens: Part
+    windows: Part
+
+    @property
+    def bias(self) -> float:
+        """The logit of a text without any token."""
+        return max(p.slope * p.bias + p.shift for p in (self.tokens, self.windows))
+
+
+def _norms() -> np.ndarray:
+    """Length of the feature vector of a window of n letters, if no triple repeats."""
+    out = np.ones(WINDOW + 1)
+    for n in range(1, WINDOW + 1):
+        out[n] = np.sqrt(sum((n + 2 - b) * DECAY ** (2 * (b - 2)) for a, b in _OFFSETS if b < n + 2)) or 1.0
+    return out
+
+
+class _Table:
+    """The weights of one machine in the shapes that the stream looks them up in."""
+
+    def __init__(self, part: Part):
+        cube = part.weights.reshape(CLASSES, CLASSES, CLASSES)
+        self.part, self.flat = part, part.weights
+        # Triples that begin with the start mark or end with the end mark, as tables of two characters; and those that do both.
+        self.start, self.end, self.both = np.ascontiguousarray(cube[1]), np.ascontiguousarray(cube[:, :, 2]), cube[1, :, 2].astype(np.float64)
+
+    def sums(self, c: np.ndarray) -> dict[int, np.ndarray]:
+        """Per spread b, running sums of what the triples that begin at each letter weigh."""
+        out, m = {}, len(c)
+        for b in range(2, SPREAD):
+            v = np.zeros(m + 1)
+            if m > b:
+                total = np.zeros(m - b)
+                for a in range(1, b):
+                    total += self.flat[(c[: m - b] * CLASSES + c[a : m - b + a]) * CLASSES + c[b:]]
+                v[1 : m - b + 1] = total * DECAY ** (b - 2)
+            out[b] = np.cumsum(v)
+        return out
+
+    def logits(self, c: np.ndarray, sums: dict[int, np.ndarray], p: np.ndarray, q: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        """The logits of the windows of letters p to q - 1."""
+        n = q - p
+        total = np.zeros(len(p))
+        fits = whole = None
+        for b in range(2, SPREAD):
+            total += sums[b][np.maximum(q - b, p)] - sums[b][p]
+            fits, whole = np.flatnonzero(n >= b), np.flatnonzero(n + 1 == b)
+            x, y, z = p[fits], q[fits], p[whole]
+            for a in range(1, b):
+                total[fits] += DECAY ** (b - 2) * (self.start[c[x + a - 1], c[x + b - 1]] + self.end[c[y - b], c[y - b + a]])
+                total[whole] += DECAY ** (b - 2) * self.both[c[z + a - 1]]
+        return self.part.slope * (self.part.bias + total / norms[n]) + self.part.shift
+
+
 class Scorer:
-    """Margins of units, kept for words that come again."""
+    """Logits of texts: the best of all their windows."""
 
     def __init__(self, machine: Machine):
         self.machine = machine
-        self.alphabet = Alphabet(machine.characters)
-        self.known: dict[str, float] = {}
-
-    def margins(self, strings: list[str]) -> np.ndarray:
-        """The margin of each string (at most PIECE characters)."""
-        out = np.full(len(strings), self.machine.bias)
-        by_length: dict[int, list[int]] = {}
-        for i, s in enumerate(strings):
-            by_length.setdefault(len(s), []).append(i)
-        for n, members in by_length.items():
-            if not n:
-                continue
-            for at in range(0, len(members), 8_192):
-                group = members[at : at + 8_192]
-                ids, weight = triples(self.alphabet.matrix([strings[i] for i in group]))
-                if len(weight):
-                    out[group] += self.machine.weights[ids] @ weight
-        return out
-
-    def learn(self, units: list[str]) -> None:
-        pieces: dict[str, int] = {}
-        cut = [[pieces.setdefault(p, len(pieces)) for p in _pieces(u)] for u in units]
-        margin = self.margins(list(pieces)).tolist()
-        for u, c in zip(units, cut, strict=True):
-            self.known[u] = max(margin[i] for i in c)
+        self.alphabet = Alphabet(machine.tokens.characters)
+        self.tokens, self.windows = _Table(machine.tokens), _Table(machine.windows)
+        self.norms = _norms()
 
     def texts(self, texts: list[str | None]) -> list[float]:
-        """The best unit's margin of each text; the bias alone where there is no unit."""
-        if len(self.known) > KEPT_UNITS:
-            self.known.clear()
-        known = self.known
-        cut = [units_of(t) for t in texts]
-        missing = {u: None for us in cut for u in us if u not in known}
-        if missing:
-            self.learn(list(missing))
-        return [max(map(known.__getitem__, us)) if us else self.machine.bias for us in cut]
+        """The logit of each text; that of no evidence where there is no token. Long lists and long texts are scored in parts."""
+        out = [-np.inf] * len(texts)
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            low = (text or "").lower()
+            # Parts of a long text overlap by more than any window of unbroken letters; they are cut where its letters are counted.
+            for part in self._parts(low):
+                held.append((i, part))
+                size += len(part)
+                if size >= PART:
+                    self._score(held, out)
+                    held, size = [], 0
+        if held:
+            self._score(held, out)
+        return [m if np.isfinite(m) else self.machine.bias for m in out]
+
+    def _parts(self, low: str) -> Iterator[np.ndarray]:
+        codes = self.alphabet.code[np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        if len(codes) <= PART:
+            yield codes
+            return
+        # Cut between tokens; a part also holds the letters before it that a window reaching into it may begin with.
+        letters = np.flatnonzero(codes)
+        begins = letters[(letters == 0) | (codes[np.maximum(letters - 1, 0)] == 0)]
+        at = 0
+        while at < len(codes):
+            after = begins[np.searchsorted(begins, at + PART) :]
+            stop = int(after[0]) if len(after) else len(codes)
+            reach = letters[max(0, int(np.searchsorted(letters, at)) - WINDOW)] if at and len(letters) else at
+            first = int(begins[max(0, int(np.searchsorted(begins, reach, "right")) - 1)]) if at and len(begins) else at
+            yield codes[min(first, at) : stop]
+            at = stop
+
+    def _score(self, held: list[tuple[int, np.ndarray]], out: list[float]) -> None:
+        codes = np.concatenate([c for _, c in held])
+        owner = np.repeat(np.arange(len(held)), [len(c) for _, c in held])
+        at = np.flatnonzero(codes)
+        if not len(at):
+            return
+        c, text = codes[at].astype(np.int64), owner[at]
+        m = len(c)
+        new = np.ones(m, bool)
+        new[1:] = (np.diff(at) > 1) | (np.diff(text) > 0)
+        # Tokens of more letters than a window begin anew every half window.
+        begin = np.flatnonzero(new)
+        long = np.diff(np.append(begin, m))
+        place = np.arange(m) - np.repeat(begin, long)
+        new |= (np.repeat(long, long) > WINDOW) & (place % (WINDOW // 2) == 0)
+        begin = np.flatnonzero(new)
+        finish = np.append(begin[1:], m)
+        best = np.full(len(held), -np.inf)
+        np.maximum.at(best, text[begin], self.tokens.logits(c, self.tokens.sums(c), begin, finish, self.norms))
+        last = np.searchsorted(text, text[begin], "right")  # end of the letters of the token's text
+        sums = self.windows.sums(c)
+        tokens = np.arange(len(begin))
+        upto = tokens.copy()
+        # Round k looks at the windows of k + 1 tokens that are still short enough.
+        while len(tokens):
+            p, q = begin[tokens], finish[upto]
+            ok = (q - p <= WINDOW) & (q <= last[tokens])
+            tokens, upto, p, q = tokens[ok], upto[ok], p[ok], q[ok]
+            if len(tokens):
+                np.maximum.at(best, text[p], self.windows.logits(c, sums, p, q, self.norms))
+            upto = upto + 1
+            more = upto < len(begin)
+            tokens, upto = tokens[more], upto[more]
+        for k, (i, _) in enumerate(held):
+            out[i] = max(out[i], float(best[k]))
 
 
 _named: dict[str, Machine] = {}
@@ -170,8 +291,8 @@ def _ready(shared) -> Scorer:
     return _scorer(machine.name)
 
 
-def margins_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
-    """The margin of a text column."""
+def logits_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
+    """The logit of a text column: of the machine that is more sure."""
     shared = spark.sparkContext.broadcast(machine)  # one number per triple: about 1 MB
 
     @F.arrow_udf("double")
@@ -187,17 +308,19 @@ def margins_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, toxic, text) -> one row per different unit of the text."""
+    """(doc, toxic, text) -> one row per different window of the text; ``token`` says that it is a single token somewhere."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256).to_pydict()
-            doc, toxic, unit = [], [], []
+            doc, toxic, unit, token = [], [], [], []
             for d, y, t in zip(part["doc"], part["toxic"], part["text"], strict=True):
-                found = {p for u in set(units_of(t)) for p in _pieces(u) if p}
+                single, found = set(tokens_of(t)), set(windows_of(t))
                 doc += [d] * len(found)
                 toxic += [y] * len(found)
                 unit += found
-            yield pa.RecordBatch.from_pydict({"doc": pa.array(doc, pa.int64()), "toxic": pa.array(toxic, pa.int32()), "unit": pa.array(unit, pa.string())})
+                token += [u in single for u in found]
+            columns = [pa.array(doc, pa.int64()), pa.array(toxic, pa.int32()), pa.array(unit, pa.string()), pa.array(token, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "toxic", "unit", "token"])
 
 
 def _cover(pairs: dict[str, set[int]], against: dict[str, int], clean_share: float) -> dict[str, int]:
@@ -219,6 +342,18 @@ def _cover(pairs: dict[str, set[int]], against: dict[str, int], clean_share: flo
     return chosen
 
 
+def _variants(units: dict[str, float], letters: str) -> dict[str, float]:
+    """Every unit with a letter put between two of its own, ``VARIANTS`` times, sharing half the unit's weight."""
+    out: dict[str, float] = {}
+    for u, weight in units.items():
+        if 4 <= len(u) < WINDOW:
+            rng = np.random.default_rng(list(u.encode()))
+            for _ in range(VARIANTS):
+                at = int(rng.integers(1, len(u)))
+                out.setdefault(u[:at] + letters[int(rng.integers(len(letters)))] + u[at:], weight / (2 * VARIANTS))
+    return {u: w for u, w in out.items() if u not in units}
+
+
 def _kernel(alphabet: Alphabet, strings: list[str], landmarks: list[str]) -> np.ndarray:
     """The kernel of strings against landmarks; one landmark's feature table at a time."""
     out = np.zeros((len(strings), len(landmarks)))
@@ -299,57 +434,75 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: str
     texts = docs.select(F.col(id_column).alias("doc"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc")
     texts, _ = stored.put(texts.select("doc", "toxic", "text").repartition(spark.sparkContext.defaultParallelism))
     number = {r[0]: r[1] for r in texts.groupBy("toxic").agg(F.count_distinct("doc")).collect()}
-    empty = Machine(uuid.uuid4().hex, "", np.zeros(CLASSES**3, dtype=np.float32), -1.0)
+    blank = Part("", np.zeros(CLASSES**3, dtype=np.float32), -1.0)
+    empty = Machine(uuid.uuid4().hex, blank, blank)
     if not number.get(0) or not number.get(1):
         return empty
-    rows, _ = stored.put(texts.mapInArrow(_unit_rows, "doc long, toxic int, unit string").distinct())
-    stats, _ = stored.put(rows.groupBy("unit").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")))
+    rows, _ = stored.put(texts.mapInArrow(_unit_rows, "doc long, toxic int, unit string, token boolean").groupBy("doc", "toxic", "unit").agg(F.max("token").alias("token")))
+    singles = rows.where("token")
+    letters = singles.select("unit").distinct().select(F.explode(F.split("unit", "")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    characters = "".join(r.c for r in letters.where("c <> ''").orderBy(F.desc("n"), "c").limit(OWN).collect() if len(r.c) == 1)
     share = number[1] / number[0]
+    parts = []
+    for units, variants in ((singles, False), (rows, True)):
+        stats, _ = stored.put(units.groupBy("unit").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")))
+        parts.append(_learn(spark, units, stats, share, characters, variants) or replace(blank, characters=characters))
+    machine = Machine(uuid.uuid4().hex, *parts)
+    # Each curve comes from the margins of its own machine; the other one is silent meanwhile.
+    silent = replace(parts[0], weights=blank.weights, bias=-1e6)
+    for k in range(2):
+        alone = Machine(uuid.uuid4().hex, *[p if i == k else silent for i, p in enumerate(parts)])
+        judged = texts.select("toxic", logits_of(spark, alone, F.col("text")).alias("margin")).where("margin > -1e5").toPandas()
+        if len(judged):
+            parts[k].slope, parts[k].shift = _curve(judged["margin"].to_numpy(), judged["toxic"].to_numpy())
+    return machine
+
+
+def _learn(spark: SparkSession, rows: DataFrame, stats: DataFrame, share: float, characters: str, variants: bool) -> Part | None:
+    """One machine from the windows (doc, toxic, unit) of the labelled texts and their counts; None where nothing explains a toxic text."""
     candidates = stats.where("pos >= 2").where(F.col("pos") > 8 * share * F.col("neg")).orderBy(F.desc("pos"), "unit").limit(WITNESSES)
     against = {r.unit: r.neg for r in candidates.select("unit", "neg").collect()}
     if not against:
-        return empty
+        return None
     pairs: dict[str, set[int]] = {u: set() for u in against}
     wanted = rows.where("toxic = 1").join(F.broadcast(candidates.select("unit")), "unit").select("unit", "doc")
     for r in wanted.toLocalIterator():
         pairs[r.unit].add(r.doc)
     witness = _cover(pairs, against, share)
     if not witness:
-        return empty
-    # Units of clean texts; those in more texts stand for more.
+        return None
+    # Windows of clean texts; those in more texts stand for more.
     clean = stats.where(F.col("neg") > 0)
     first = clean.orderBy(F.xxhash64("unit", F.lit("negatives"))).limit(NEGATIVES).select("unit").collect()
     usual = clean.orderBy(F.desc("neg"), "unit").limit(NEGATIVES // 4).select("unit").collect()
     negatives = {r.unit for r in first + usual}
-    counts: dict[str, int] = {}
-    for u in [*witness, *sorted(negatives)]:
-        for c in u:
-            counts[c] = counts.get(c, 0) + 1
-    alphabet = Alphabet("".join(sorted(counts, key=lambda c: (-counts[c], c))[: CLASSES - 3]))
+    alphabet = Alphabet(characters)
     positives = {u: float(n) for u, n in witness.items()}
-    machine = empty
+    part = None
     for turn in range(ROUNDS + 1):
         negatives -= set(positives)
         ordered = sorted(negatives)
-        # Landmarks: the witnesses that explain most, and clean units spread over the alphabet's order.
+        # Landmarks: the witnesses that explain most, and clean windows spread over the alphabet's order.
         best = sorted(positives, key=lambda u: (-positives[u], u))[: LANDMARKS // 2]
         rest = LANDMARKS - len(best)
         landmarks = best + [ordered[i] for i in np.linspace(0, len(ordered) - 1, min(rest, len(ordered))).astype(int)]
-        strings = list(positives) + ordered
+        # A witness counts as often as it was needed, so that chance words of a few texts weigh little; kindred ones add up.
+        needed = {u: min(n, 20.0) for u, n in positives.items()}
+        spread = {u: n for u, n in _variants(needed, characters).items() if u not in negatives} if variants else {}
+        strings = [*positives, *spread, *ordered]
         similar = _kernel(alphabet, strings, landmarks)
         own = _kernel(alphabet, landmarks, landmarks)
         value, vector = np.linalg.eigh((own + own.T) / 2)
         use = value > 1e-6 * value[-1]
         root = vector[:, use] / np.sqrt(value[use])
-        y = np.concatenate([np.ones(len(positives)), -np.ones(len(ordered))])
-        # A witness counts as often as it was needed, so that chance words of a few texts weigh little; kindred ones add up.
-        needed = np.minimum(np.array(list(positives.values())), 20.0)
-        weight = np.concatenate([needed / needed.sum(), np.full(len(ordered), 1.0 / len(ordered))]) * COST
+        y = np.concatenate([np.ones(len(positives) + len(spread)), -np.ones(len(ordered))])
+        much = np.array([*needed.values(), *spread.values()])
+        weight = np.concatenate([much / much.sum(), np.full(len(ordered), 1.0 / len(ordered))]) * COST
         w, bias = _svm(similar @ root, y, weight)
-        machine = Machine(uuid.uuid4().hex, alphabet.characters, _folded(alphabet, landmarks, root @ w), bias)
+        part = Part(characters, _folded(alphabet, landmarks, root @ w), bias)
         if turn == ROUNDS:
             break
-        scored = stats.withColumn("margin", margins_of(spark, machine, F.col("unit")))
+        scored = stats.withColumn("margin", logits_of(spark, Machine(uuid.uuid4().hex, replace(part, weights=part.weights * 0, bias=-1e6), part), F.col("unit")))
         deceptive = scored.where(F.col("neg") > 0).where(F.col("pos") <= 8 * share * F.col("neg")).orderBy(F.desc("margin"), "unit").limit(NEGATIVES)
         negatives |= {r.unit for r in deceptive.select("unit").collect()}
         more = scored.where("neg = 0 and pos >= 2 and margin > 0.5").orderBy(F.desc("margin"), "unit").limit(WITNESSES)
@@ -358,16 +511,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: str
         for r in more.collect():
             positives.setdefault(r.unit, 1.0)
         if not positives:
-            return empty
-    judged = texts.select("toxic", margins_of(spark, machine, F.col("text")).alias("margin")).toPandas()
-    machine.slope, machine.shift = _curve(judged["margin"].to_numpy(), judged["toxic"].to_numpy())
-    return machine
+            return None
+    return part
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> Column:
     """The probability that a whole text is toxic, as a column; null and empty texts get that of no evidence."""
-    margin = margins_of(docs.sparkSession, machine, F.col(text))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(machine.slope) * margin + F.lit(machine.shift))))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-logits_of(docs.sparkSession, machine, F.col(text))))
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
