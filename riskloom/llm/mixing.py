@@ -75,11 +75,18 @@ def _shared_out(children: DataFrame, parents: list[str], level: str, weights: di
 
 
 def budgets(leaves: DataFrame, levels: tuple[str, ...], total: int, weights: dict[str, dict[str, int]], epochs: int) -> DataFrame:
-    """(levels, tokens, budget) per leaf from (levels, tokens): the total shared out from the root down."""
+    """(levels, tokens, budget) per leaf from (levels, tokens): the total shared out from the root down.
+
+    What a node can use is what its leaves of positive weight hold, so nothing is kept back for values of weight 0.
+    """
     names = list(levels)
     at = None
+    wanted = F.lit(True)
+    for level in names:
+        wanted = wanted & (_weight(level, weights) > 0)
+    rated = leaves.withColumn("usable", F.when(wanted, F.col("tokens")).otherwise(0))
     for k, level in enumerate(names):
-        table = leaves.groupBy(*names[: k + 1]).agg((F.sum("tokens") * epochs).cast("long").alias("cap"))
+        table = rated.groupBy(*names[: k + 1]).agg((F.sum("usable") * epochs).cast("long").alias("cap"))
         if at is None:
             children = table.withColumn("parent", F.lit(int(total)).cast("long"))
         else:
@@ -198,7 +205,7 @@ def _sql_level(k: int) -> str:
     family = f"PARTITION BY {parents} " if parents else ""
     parent = f"JOIN share{k - 1} p USING ({parents})" if k else "CROSS JOIN (SELECT CAST(floor(coalesce(sum(tokens), 0) * {share}) AS BIGINT) AS budget FROM leaves) p".replace("{share}", str(SHARE))
     return f"""
-caps{k} AS (SELECT {names}, CAST(sum(tokens) * {EPOCHS} AS BIGINT) AS cap FROM leaves GROUP BY {names}),
+caps{k} AS (SELECT {names}, CAST(sum(CASE WHEN {" AND ".join(f"{_sql_weight(n)} > 0" for n in LEVELS)} THEN tokens ELSE 0 END) * {EPOCHS} AS BIGINT) AS cap FROM leaves GROUP BY {names}),
 rated{k} AS (
   SELECT {", ".join("c." + n for n in LEVELS[: k + 1]) if not k else names}, c.cap, p.budget AS parent, {_sql_weight(level)} AS w, c.cap / CAST({_sql_weight(level)} AS DOUBLE) AS ratio
   FROM caps{k} c {parent}),

@@ -227,3 +227,10 @@ def test_language_query(shared):
     odd = shared.createDataFrame([(1, None), (2, ""), (3, "123 ½ !"), (4, "abc")], "doc_id long, text string")
     assert [r.j.lang_pred for r in odd.select("doc_id", language.identify(shared, model, F.col("text")).alias("j")).orderBy("doc_id").collect()] == ["und", "und", "und", "x"]
     assert language.fit(shared, docs.limit(0).withColumn("text", F.lit(""))).languages == []
+
+
+def test_no_budget_is_kept_back_for_weight_zero(shared):
+    leaves = shared.createDataFrame([("a", "x", "s", 500), ("b", "x", "s", 10), ("b", "y", "s", 400), ("c", "y", "s", 90)], "domain string, lang string, source string, tokens long")
+    weights = {"domain": {"*": 1}, "lang": {"x": 1, "y": 0, "*": 1}, "source": {"*": 1}}
+    got = {(r["domain"], r["lang"]): r["budget"] for r in mixing.budgets(leaves, mixing.LEVELS, 100, weights, 1).collect()}
+    assert got == {("a", "x"): 90, ("b", "x"): 10, ("b", "y"): 0, ("c", "y"): 0}
