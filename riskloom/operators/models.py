@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.features import _Columns
 from riskloom.operators.neighbors import knn_vote
+from riskloom.operators.neural import DenseLearner
 from riskloom.operators.split import with_class_weight
 from riskloom.operators.trees import Draw, Rules, TreeLearner
 from riskloom.runtime import materialize
@@ -84,7 +85,10 @@ KNOWN_PARAMS = {
     "ada": {"n_estimators", "learning_rate", "random_state"},
     "svc": {"kernel", "C", "gamma", "class_weight", "random_state", "max_iter", "n_components", "probability"},
     "lsvm": {"C", "class_weight", "max_iter"},
-    "mlp": {"hidden_layer_sizes", "max_iter", "random_state", "learning_rate_init"},
+    "mlp": {
+        "hidden_layer_sizes", "max_iter", "random_state", "learning_rate_init", "alpha", "activation", "early_stopping", "tol",
+        "n_iter_no_change", "validation_fraction",
+    },
     "knn": {"n_neighbors", "weights", "p"},
 }
 
@@ -95,6 +99,8 @@ GROWN_PARAMS = {
     "rf": {"min_samples_split", "ccp_alpha", "max_leaf_nodes"},
     "xgb": {"reg_lambda", "reg_alpha", "gamma", "min_child_weight"},
 }
+# The same for networks: these ask for penalised quasi-Newton steps; ``learning_rate_init`` has no part in them.
+DENSE_PARAMS = {"alpha", "activation", "early_stopping", "tol", "n_iter_no_change", "validation_fraction"}
 
 
 def family(name: str) -> str:
@@ -193,6 +199,11 @@ def build_estimator(name: str, params: Mapping | None = None, rows: float = 1.0,
     if fam == "mlp":
         hidden = p.get("hidden_layer_sizes", (100,))
         hidden = [hidden] if isinstance(hidden, int) else list(hidden)
+        if DENSE_PARAMS & set(p):
+            return DenseLearner(
+                hidden, p.get("activation", "relu"), float(p.get("alpha", 1e-4)), int(p.get("max_iter", 200)), float(p.get("tol", 1e-4)),
+                int(p.get("n_iter_no_change", 10)), bool(p.get("early_stopping", False)), float(p.get("validation_fraction", 0.1)), seed,
+            )
         return MultilayerPerceptronClassifier(
             layers=[width, *[int(h) for h in hidden], 2], maxIter=int(p.get("max_iter", 200)), seed=seed,
             stepSize=float(p.get("learning_rate_init", 0.03)), **base,

@@ -25,6 +25,10 @@ FITS = {
     "fit_linear_svm": ("LinearSVM", {"C": 1.0}),
     "fit_rbf_svm": ("SVC", {"C": 10.0, "kernel": "rbf", "gamma": "scale", "n_components": 100}),
     "fit_mlp": ("MLP", {"hidden_layer_sizes": [16], "max_iter": 30}),
+    "fit_mlp_penalised": (
+        "MLP",
+        {"hidden_layer_sizes": (8, 4), "activation": "relu", "max_iter": 1500, "alpha": 5, "tol": 1e-4, "early_stopping": True, "n_iter_no_change": 15},
+    ),
     "fit_knn": ("KNN", {"n_neighbors": 11, "weights": "distance", "p": 2}),
 }
 
