@@ -1,8 +1,14 @@
-"""Run records and model versions as tables; both are append-only, the newest row per id counts."""
+"""Run records and model versions as tables that stand retries and several writers.
+
+Every run has a folder of its own, which a retry replaces. A version number is claimed by creating a file that must not exist yet, so
+two writers never share one; the newest row per name counts.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -48,14 +54,16 @@ def runs_table(spark: SparkSession, records: Sequence[dict]) -> DataFrame:
 
 
 def log_runs(spark: SparkSession, records: Sequence[dict], path: str) -> DataFrame:
-    """Append run records and return them."""
+    """Store run records and return them; a record replaces an earlier one of its run id and leaves all others alone."""
     table = runs_table(spark, records)
-    table.coalesce(1).write.mode("append").parquet(path)
+    if records:
+        _by_folder(table, "run_id").parquet(path)
     return table
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).parquet(path)
+    """All run records, also those of tables without a folder per run."""
+    return spark.read.schema(RUNS_SCHEMA).parquet(path).select(*[f.split()[0] for f in RUNS_SCHEMA.split(", ")])
 
 
 def phase_metrics(metrics: Mapping[str, float], phase: str) -> dict[str, float]:
@@ -64,6 +72,40 @@ def phase_metrics(metrics: Mapping[str, float], phase: str) -> dict[str, float]:
     return {f"{phase}_{k}": v for k, v in metrics.items() if k not in skip and v is not None}
 
 
+def _place(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where, files = _place(spark, path)
+    return files.exists(where)
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. Of several callers exactly one gets True.
+
+    Hadoop's local file system looks before it creates, so a local path is created exclusively by the operating system.
+    """
+    where, files = _place(spark, path)
+    if files.getScheme() == "file":
+        local = where.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            return True
+        except FileExistsError:
+            return False
+    try:
+        files.create(where, False).close()
+        return True
+    except Exception:
+        if files.exists(where):
+            return False
+        raise
+
+
 def register_version(
     spark: SparkSession,
     path: str,
@@ -73,20 +115,26 @@ def register_version(
     alias: str | None = "best",
     stage: str | None = "Staging",
 ) -> int:
-    """Append a model version; numbers go up by one per name."""
-    try:
+    """Append a model version; numbers rise per name, and a number whose writer failed before its row stays unused."""
+    last = None
+    if _exists(spark, path):
         last = spark.read.schema(VERSIONS_SCHEMA).parquet(path).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    except Exception as missing:  # the table does not exist before the first version
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        last = None
     version = (last or 0) + 1
+    # A folder whose name begins with an underscore is not part of the table.
+    claims = f"{path.rstrip('/')}/_claims/{hashlib.sha256(name.encode()).hexdigest()}"
+    while not claim(spark, f"{claims}/{version}"):
+        version += 1
     row = [(name, version, run_id, alias, stage, {k: str(v) for k, v in (tags or {}).items()})]
     table = spark.createDataFrame(row, VERSIONS_SCHEMA.rsplit(",", 1)[0]).withColumn("ts", F.current_timestamp())
-    table.coalesce(1).write.mode("append").parquet(path)
+    _by_folder(table, "name", "version").parquet(path)
     return version
 
 
+def _by_folder(table: DataFrame, *columns: str):
+    """A writer that replaces only the folders it writes, staged apart so that writers do not disturb each other."""
+    return table.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns)
+
+
 def latest_versions(versions: DataFrame) -> DataFrame:
     """Newest version per model name."""
     newest = Window.partitionBy("name").orderBy(F.desc("version"))
