@@ -11,7 +11,7 @@ from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +20,10 @@ from riskloom.config import FeatureSpec
 from riskloom.functions.ordering import exact_quantiles, long_form, ordered_index
 from riskloom.functions.text import nan_to_null, to_num
 from riskloom.operators.clean import value_counts_long
-from riskloom.runtime import collect_bounded
+from riskloom.runtime import collect_bounded, scratch_path
 
-# Category lists kept inside a stage; longer ones are encoded with ``binary_encode_by_join``.
-MAX_CATEGORIES = 100_000
+# Categories that a stage holds in its state; a stage of more keeps them as a table and joins it, with the same result.
+HELD_CATEGORIES = 100_000
 
 
 class _Columns(HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -272,11 +272,11 @@ class YeoJohnsonModel(_Columns, Model):
         )
 
 
-def category_lists(df: DataFrame, columns: Sequence[str]) -> list[list[str]]:
-    """Sorted categories per column as text; numeric columns are sorted as numbers."""
-    rows = collect_bounded(value_counts_long(df, columns).where(F.col("value").isNotNull()), MAX_CATEGORIES)
+def category_lists(df: DataFrame, columns: Sequence[str]) -> list[list[str]] | None:
+    """Sorted categories per column as text, numeric columns sorted as numbers; ``None`` if there are more than a stage holds."""
+    rows = collect_bounded(value_counts_long(df, columns).where(F.col("value").isNotNull()), HELD_CATEGORIES)
     if rows is None:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: encode with binary_encode_by_join instead")
+        return None
     out = []
     for c in columns:
         found = [r["value"] for r in rows if r["column"] == c]
@@ -285,6 +285,82 @@ def category_lists(df: DataFrame, columns: Sequence[str]) -> list[list[str]]:
     return out
 
 
+def category_table(df: DataFrame, columns: Sequence[str]) -> tuple[str, list[int]]:
+    """Path of a stored table (k, value, position) with the sorted categories of column number k, and how many each column has."""
+    whole = None
+    for k, c in enumerate(columns):
+        index = ordered_index(df.select(nan_to_null(F.col(c)).alias(c) if isinstance(df.schema[c].dataType, T.DoubleType) else c), c, "position")
+        part = index.select(F.lit(k).alias("k"), F.col(c).cast("string").alias("value"), F.col("position").cast("long").alias("position"))
+        whole = part if whole is None else whole.unionByName(part)
+    path = scratch_path(df.sparkSession, "categories")
+    whole.write.partitionBy("k").parquet(path)
+    counts = {r["k"]: r["n"] for r in read_categories(df.sparkSession, path).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return path, [counts.get(k, 0) for k in range(len(columns))]
+
+
+def read_categories(spark, path: str) -> DataFrame:
+    return spark.read.schema("value string, position long, k int").parquet(path)
+
+
+class _TableWriter(DefaultParamsWriter):
+    """Saves a stage with its category table beside its parameters."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        held = self.instance.fitted()
+        if isinstance(held, dict):
+            read_categories(self.sparkSession, held["table"]).write.partitionBy("k").mode("overwrite").parquet(f"{path}/categories")
+
+
+class _TableReader(DefaultParamsReader):
+    def load(self, path: str):
+        stage = super().load(path)
+        held = stage.fitted()
+        if isinstance(held, dict):
+            stage.set(stage.state, json.dumps({**held, "table": f"{path}/categories"}))
+        return stage
+
+
+class _Categories(_Columns):
+    """Fitted categories: lists in the state, or the path of a table and the number of categories per column."""
+
+    def write(self):
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _TableReader(cls)
+
+    def counts(self) -> list[int]:
+        held = self.fitted()
+        return held["counts"] if isinstance(held, dict) else [len(labels) for labels in held]
+
+    def with_positions(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """``df`` with the 0-based category position of each column; unknown ones have the number of categories."""
+        held = self.fitted()
+        if not isinstance(held, dict):
+            return _positions(df, self.pairs(), held)
+        # AQE broadcasts a column's categories where they are few and splits a hot category where they are not.
+        table = read_categories(df.sparkSession, held["table"])
+        names = []
+        for k, ((i, _), n) in enumerate(zip(self.pairs(), held["counts"])):
+            text, name = f"_text_{k}", f"_pos_{k}"
+            side = table.where(F.col("k") == k).select(F.col("value").alias(text), F.col("position").alias(name))
+            df = df.withColumn(text, F.col(i).cast("string")).join(side, text, "left").withColumn(name, F.coalesce(name, F.lit(n)).cast("double")).drop(text)
+            names.append(name)
+        return df, names
+
+
+def _fitted_categories(stage: _Columns, cls, df: DataFrame):
+    """Lists while they are few; a table otherwise, or where option ``table`` asks for one."""
+    columns = stage.getInputCols()
+    lists = None if stage.getOrDefault(stage.option) == "table" else category_lists(df, columns)
+    if lists is None:
+        path, counts = category_table(df, columns)
+        return stage._model(cls, {"table": path, "counts": counts})
+    return stage._model(cls, lists)
+
+
 def _positions(df: DataFrame, pairs, lists) -> tuple[DataFrame, list[str]]:
     """Add the 0-based category position of each column (list length where unknown), looked up in the JVM."""
     texts = [f"_text_{k}" for k in range(len(pairs))]
@@ -306,22 +382,21 @@ class BinaryEncoder(_Columns, Estimator):
     """
 
     def _fit(self, df: DataFrame) -> "BinaryEncoderModel":
-        return self._model(BinaryEncoderModel, category_lists(df, self.getInputCols()))
+        return _fitted_categories(self, BinaryEncoderModel, df)
 
 
-class BinaryEncoderModel(_Columns, Model):
+class BinaryEncoderModel(_Categories, Model):
     def widths(self) -> list[int]:
-        return [max(len(labels).bit_length(), 1) for labels in self.fitted()]
+        return [max(n.bit_length(), 1) for n in self.counts()]
 
     def output_names(self) -> list[str]:
         return [f"{o}_{b}" for (_, o), w in zip(self.pairs(), self.widths()) for b in range(w)]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        lists = self.fitted()
-        df, names = _positions(df, self.pairs(), lists)
+        df, names = self.with_positions(df)
         bits = {}
-        for (_, o), labels, n, w in zip(self.pairs(), lists, names, self.widths()):
-            code = F.when(F.col(n) < F.lit(len(labels)), F.col(n).cast("int") + 1).otherwise(F.lit(0))
+        for (_, o), many, n, w in zip(self.pairs(), self.counts(), names, self.widths()):
+            code = F.when(F.col(n) < F.lit(many), F.col(n).cast("int") + 1).otherwise(F.lit(0))
             bits.update(binary_digits(code, o, w))
         return df.withColumns(bits).drop(*names)
 
@@ -349,16 +424,15 @@ class OrdinalIndex(_Columns, Estimator):
     """Category to its 0-based position in sorted order; unknown is -1, or an error with option ``error``."""
 
     def _fit(self, df: DataFrame) -> "OrdinalIndexModel":
-        return self._model(OrdinalIndexModel, category_lists(df, self.getInputCols()))
+        return _fitted_categories(self, OrdinalIndexModel, df)
 
 
-class OrdinalIndexModel(_Columns, Model):
+class OrdinalIndexModel(_Categories, Model):
     def _transform(self, df: DataFrame) -> DataFrame:
-        lists = self.fitted()
-        df, names = _positions(df, self.pairs(), lists)
+        df, names = self.with_positions(df)
         out = {}
-        for (i, o), labels, n in zip(self.pairs(), lists, names):
-            known = F.col(n) < F.lit(len(labels))
+        for (i, o), many, n in zip(self.pairs(), self.counts(), names):
+            known = F.col(n) < F.lit(many)
             if self.getOrDefault(self.option) == "error":
                 message = F.concat(F.lit(f"unknown category in {i}: "), F.coalesce(F.col(i).cast("string"), F.lit("null")))
                 unknown = F.raise_error(message).cast("double")
