@@ -9,6 +9,7 @@ from riskloom.operators import checks, clean, profile
 from riskloom.operators.checks import CODE_LABELS, REQUEST_COLUMNS, REQUEST_RANGES
 from riskloom.plans import data
 from riskloom.plans.registry import query
+from riskloom.runtime import scratch_path
 
 JUNK_SQL = ", ".join(f"'{w}'" for w in JUNK_TEXTS)
 
@@ -203,6 +204,18 @@ def valid_target_audit(spark, d):
     return clean.dropped_by_target(data.raw_named(spark, d), "target")
 
 
+@query(
+    "valid_target_written",
+    f"""WITH raw AS ({data.RAW_SQL}), c AS (SELECT count(*) AS rows_before, count(CASE WHEN TRY_CAST(target AS DOUBLE) IN (0.0, 1.0) THEN 1 END) AS rows_kept FROM raw)
+    SELECT rows_before, rows_kept, rows_before - rows_kept AS rows_dropped, 1000 AS expected, rows_before = 1000 AS unchanged, rows_kept AS rows_stored FROM c""",
+)
+def valid_target_written(spark, d):
+    """Counts observed while writing, beside the rows that the written table holds."""
+    path = scratch_path(spark, "valid")
+    audit = clean.write_valid(data.raw_named(spark, d), "target", path, expected=1000)
+    return audit.crossJoin(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_stored")))
+
+
 @query(
     "valid_target_inverted",
     f"""WITH raw AS ({data.RAW_SQL})

@@ -99,6 +99,24 @@ def binary_encode(spark, d):
     return _fit(stages, df).select("row_id", "b_0", "b_1", "b_2")
 
 
+@query(
+    "encode_by_table",
+    """WITH o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS v, o_custkey FROM orders),
+    t AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT v FROM o WHERE o_custkey % 10 <> 0)),
+    n AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS j FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 10 <> 0))
+    SELECT o_orderkey, coalesce(i + 1, 0)::BIGINT AS code, coalesce(j, -1)::DOUBLE AS number FROM o LEFT JOIN t USING (v) LEFT JOIN n USING (o_custkey)""",
+)
+def encode_by_table(spark, d):
+    """Codes of customers from a table of categories, as text and as numbers; every tenth customer is unknown to the stage."""
+    df = data.read(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_custkey").cast("string").alias("v"))
+    known = df.where("o_custkey % 10 <> 0")
+    bits = fe.BinaryEncoder(inputCols=["v"], outputCols=["b"], option="table").fit(known)
+    index = fe.OrdinalIndex(inputCols=["o_custkey"], outputCols=["number"], option="table").fit(known)
+    width = bits.widths()[0]
+    code = sum((F.col(f"b_{k}").cast("long") * (1 << (width - 1 - k)) for k in range(width)), F.lit(0).cast("long"))
+    return index.transform(bits.transform(df)).select("o_orderkey", code.alias("code"), "number")
+
+
 @query(
     "binary_encode_many",
     """WITH k AS (SELECT v, row_number() OVER (ORDER BY v) AS i FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS v FROM orders)),

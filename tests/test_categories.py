@@ -58,3 +58,10 @@ def test_two_hundred_thousand_categories(spark):
     out = model.transform(df).select((code - F.col("id")).alias("gap"))
     assert out.groupBy("gap").count().collect() == [(1, 200_000)]
     assert len(model.getOrDefault("state")) < 1000
+
+
+def test_a_table_where_asked_for(small):
+    lists = fe.OrdinalIndex(inputCols=["t"], outputCols=["c"]).fit(small)
+    table = fe.OrdinalIndex(inputCols=["t"], outputCols=["c"], option="table").fit(small)
+    assert isinstance(table.fitted(), dict) and isinstance(lists.fitted(), list)
+    assert sorted(table.transform(small).select("id", "c").collect()) == sorted(lists.transform(small).select("id", "c").collect())
