@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.features import _Columns
-from riskloom.operators.neighbors import knn_vote
+from riskloom.operators.neighbor_index import NeighborIndex
 from riskloom.operators.neural import DenseLearner
 from riskloom.operators.split import with_class_weight
 from riskloom.operators.trees import Draw, Rules, TreeLearner
@@ -402,35 +402,35 @@ class KernelSvc(Estimator):
 
 
 class NeighborVote(Estimator):
-    """k-nearest-neighbour vote; fitting only stores the training table."""
+    """k-nearest-neighbour vote; fitting writes an index of the training table."""
 
     def __init__(self, k: int = 5, weights: str = "uniform", p: int = 2):
         super().__init__()
         self.k, self.weights, self.p = k, weights, p
 
     def _fit(self, df: DataFrame) -> "NeighborVoteModel":
-        rows = df.select(F.col("key").cast("string").alias("id"), vector_to_array("features").alias("vec"), F.col("label").cast("int").alias("label"))
-        return NeighborVoteModel(materialize(rows, "knn"), self.k, self.weights, self.p)
+        rows = df.select(F.col("key").cast("string").alias("id"), vector_to_array("features").alias("vec"), F.col("label").cast("int").alias("y"))
+        return NeighborVoteModel(NeighborIndex.build(rows, 1 if self.p == 1 else 2), self.k, self.weights)
 
 
 class NeighborVoteModel(Model):
-    """Exact vote of the k nearest stored rows; needs a unique ``key`` column in the scored table."""
+    """Exact vote of the k nearest indexed rows; needs a unique ``key`` column in the scored table."""
 
-    def __init__(self, rows: DataFrame, k: int, weights: str, p: int):
+    def __init__(self, index: NeighborIndex, k: int, weights: str):
         super().__init__()
-        self.rows, self.k, self.weights, self.p = rows, k, weights, p
+        self.index, self.k, self.weights = index, k, weights
 
     def _transform(self, df: DataFrame) -> DataFrame:
         asked = df.select(F.col("key").cast("string").alias("id"), vector_to_array("features").alias("vec"))
-        votes = knn_vote(self.rows, asked, "label", self.k, self.weights, self.p).withColumnRenamed("id", "_id")
+        votes = self.index.vote(asked, self.k, self.weights).withColumnRenamed("id", "_id")
         return df.join(votes, F.col("key").cast("string") == F.col("_id")).drop("_id")
 
     def save_to(self, path: str) -> None:
-        settings = self.rows.sparkSession.createDataFrame([(self.k, self.weights, self.p)], "k int, weights string, p int")
-        self.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        settings = self.index.spark.createDataFrame([(self.k, self.weights)], "k int, weights string")
+        self.index.save(path)
         settings.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
 
     @classmethod
     def load_from(cls, spark, path: str) -> "NeighborVoteModel":
         s = spark.read.json(f"{path}/settings").first()
-        return cls(spark.read.parquet(f"{path}/rows"), s["k"], s["weights"], s["p"])
+        return cls(NeighborIndex(spark, path), s["k"], s["weights"])

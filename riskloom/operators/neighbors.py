@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import draw_hash
@@ -213,6 +213,16 @@ def mean_distance(neighbors: DataFrame) -> DataFrame:
     return neighbors.groupBy("query_id").agg(F.avg("distance").alias("mean_distance"))
 
 
+def vote_share(weights: str) -> Column:
+    """Share of class 1 among votes (y, distance); with ``distance`` a vote weighs 1/distance and one at distance 0 outvotes all others."""
+    if weights == "uniform":
+        return F.avg("y")
+    exact = F.count(F.when(F.col("distance") == 0, 1))
+    exact_yes = F.sum(F.when(F.col("distance") == 0, F.col("y")).otherwise(0.0))
+    pull = F.when(F.col("distance") > 0, 1 / F.col("distance")).otherwise(0.0)
+    return F.when(exact > 0, exact_yes / exact).otherwise(F.sum(F.col("y") * pull) / F.sum(pull))
+
+
 def knn_vote(
     train: DataFrame,
     test: DataFrame,
@@ -233,12 +243,6 @@ def knn_vote(
     near = nearest_neighbors(test, train, k, id_col, vec_col, metric, skip_self=skip_self, block_rows=block_rows)
     labels = train.select(F.col(id_col).alias("neighbor_id"), F.col(label).cast("double").alias("y"))
     votes = near.join(labels, "neighbor_id")
-    if weights == "uniform":
-        prob = F.avg("y")
-    else:
-        exact = F.count(F.when(F.col("distance") == 0, 1))
-        exact_yes = F.sum(F.when(F.col("distance") == 0, F.col("y")).otherwise(0.0))
-        pull = F.when(F.col("distance") > 0, 1 / F.col("distance")).otherwise(0.0)
-        prob = F.when(exact > 0, exact_yes / exact).otherwise(F.sum(F.col("y") * pull) / F.sum(pull))
+    prob = vote_share(weights)
     out = votes.groupBy(F.col("query_id").alias(id_col)).agg(prob.alias("y_prob"))
     return out.withColumn("y_pred", (F.col("y_prob") > 0.5).cast("int"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import neighbors, sampling
+from riskloom.operators.neighbor_index import NeighborIndex
 from riskloom.plans import data
 from riskloom.plans.catalog_drift import draw_sql
 from riskloom.plans.registry import query
@@ -74,6 +75,18 @@ def knn_weighted_vote(spark, d):
     return out.select("id", F.round("y_prob", 6).alias("y_prob"))
 
 
+@query(
+    "knn_vote_indexed",
+    f"""{P}, n AS ({knn_sql('p', 'p', 7, skip_self=False)})
+    SELECT query_id AS id, round(avg(y), 6) AS y_prob, (avg(y) > 0.5)::INT AS y_pred FROM n JOIN p ON neighbor_id = p.id::VARCHAR GROUP BY query_id""",
+)
+def knn_vote_indexed(spark, d):
+    """Every row's vote, its own included, from an index written once."""
+    df = _points(spark, d).select("id", F.col("vec").cast("array<double>").alias("vec"), F.col("y").cast("int").alias("y"))
+    out = NeighborIndex.build(df, cell_rows=100).vote(df, 7)
+    return out.select("id", F.round("y_prob", 6).alias("y_prob"), "y_pred")
+
+
 SMOTE = f"""{P}, few AS (SELECT * FROM p WHERE y = 1), sizes AS (SELECT count(*) FILTER (y = 1) AS a, count(*) FILTER (y = 0) AS b FROM p),
 near AS ({knn_sql('few', 'few', 5)}),
 share AS (SELECT id::VARCHAR AS id, vec, row_number() OVER (ORDER BY md5('1:share:' || id)) AS place FROM few),
