@@ -56,7 +56,7 @@ OWN = 45
 #: Variants of every witness with one letter inserted; together they weigh half as much in training as the witness itself.
 VARIANTS = 6
 #: Letters scored at once.
-PART = 1 << 18
+PART = 1 << 16
 
 _OFFSETS = [(a, b) for b in range(2, SPREAD) for a in range(1, b)]
 _TOKEN = re.compile(r"[^\W_]+")
@@ -300,8 +300,8 @@ def logits_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
         scorer = _ready(shared)
         for batch in batches:
             found: list[float] = []
-            for at in range(0, len(batch), 256):
-                found += scorer.texts(batch.slice(at, 256).to_pylist())
+            for at in range(0, len(batch), 64):
+                found += scorer.texts(batch.slice(at, 64).to_pylist())
             yield pa.array(found, type=pa.float64())
 
     return margin(text)
@@ -310,8 +310,8 @@ def logits_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, toxic, text) -> one row per different window of the text; ``token`` says that it is a single token somewhere."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256).to_pydict()
+        for at in range(0, batch.num_rows, 16):
+            part = batch.slice(at, 16).to_pydict()
             doc, toxic, unit, token = [], [], [], []
             for d, y, t in zip(part["doc"], part["toxic"], part["text"], strict=True):
                 single, found = set(tokens_of(t)), set(windows_of(t))
