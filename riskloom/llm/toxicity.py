@@ -453,7 +453,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: str
     for k in range(2):
         alone = Machine(uuid.uuid4().hex, *[p if i == k else silent for i, p in enumerate(parts)])
         judged = texts.select("toxic", logits_of(spark, alone, F.col("text")).alias("margin")).where("margin > -1e5").toPandas()
-        if len(judged):
+        # A machine that has learned nothing stays below one half whatever the classes' shares.
+        if len(judged) and parts[k].weights.any():
             parts[k].slope, parts[k].shift = _curve(judged["margin"].to_numpy(), judged["toxic"].to_numpy())
     return machine
 
