@@ -56,7 +56,7 @@ OWN = 45
 #: Variants of every witness with one letter inserted; together they weigh half as much in training as the witness itself.
 VARIANTS = 6
 #: Letters scored at once.
-PART = 1 << 16
+PART = 1 << 18
 
 _OFFSETS = [(a, b) for b in range(2, SPREAD) for a in range(1, b)]
 _TOKEN = re.compile(r"[^\W_]+")
@@ -300,8 +300,8 @@ def logits_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
         scorer = _ready(shared)
         for batch in batches:
             found: list[float] = []
-            for at in range(0, len(batch), 64):
-                found += scorer.texts(batch.slice(at, 64).to_pylist())
+            for at in range(0, len(batch), 256):
+                found += scorer.texts(batch.slice(at, 256).to_pylist())
             yield pa.array(found, type=pa.float64())
 
     return margin(text)
