@@ -2,8 +2,10 @@
 
 Vectors of a label start with neighbours from random orders (short runs of rows sorted by random sign codes). Then every
 vector's neighbours are compared with one another, and better ones replace worse ones, until little changes. A vector whose
-list is full of near duplicates is saturated: its list may be too short to hold all links. Such lists are enlarged to
-the whole group that they hang together with, compared block by block. An audit compares a few vectors with all of
+list is full of near duplicates is saturated: its list may be too short to hold all links, and refining it is no use. Such lists
+are enlarged to the whole group that they hang together with. Members within half the threshold's angle of the group's mean
+are linked with one another by the triangle inequality and are only counted; the others are compared with the whole
+group, block by block. An audit compares a few vectors with all of
 their label, and looks for made-up partners, just above the threshold, that some vectors were given before the search: so
 it has links to count however rare the real ones are. As long as links are missing, the search goes on with more orders and
 longer lists, and if that does not help, every label is compared block by block. Edges at the threshold, measured in
@@ -19,13 +21,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.llm.graph import components
 from riskloom.llm.shared import Stored, read
-from riskloom.llm.vectors import matrix, sound, usual_length
+from riskloom.llm.vectors import matrix, sound
 
 THRESHOLD = 0.98
 #: Neighbours in a list at first; doubled in each further round of the audit.
@@ -58,9 +62,30 @@ def _units(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _top(frame: DataFrame, k: int) -> DataFrame:
-    """The k best neighbours (u, v, s) of each u, repeated ones once."""
-    once = frame.groupBy("u", "v").agg(F.max("s").alias("s"))
-    return once.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))).where(F.col("n") <= k).drop("n")
+    """The k best neighbours of each u, repeated ones once: u, v, s, whether the entry is new, its place n, and of u the
+    length of the list, its worst entry and how many are close.
+
+    ``frame`` has u, v, s, new and close; everything is dealt out by u once.
+    """
+    once = frame.repartition("u").groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"), F.max("close").alias("close"))
+    kept = once.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))).where(F.col("n") <= k)
+    whole = Window.partitionBy("u")
+    return kept.select("u", "v", "s", "new", "close", "n", F.count(F.lit(1)).over(whole).alias("size"), F.min("s").over(whole).alias("low"), F.sum("close").over(whole).alias("near"))
+
+
+def _entries(frame: DataFrame, new: int, near: float) -> DataFrame:
+    return frame.select("u", "v", "s", F.lit(new).alias("new"), (F.col("s") >= near).cast("int").alias("close"))
+
+
+def _best(u: np.ndarray, v: np.ndarray, s: np.ndarray, k: int) -> pa.RecordBatch:
+    """The k best pairs of each u, repeated ones once."""
+    order = np.lexsort((v, -s, u))
+    u, v, s = u[order], v[order], s[order]
+    once = np.concatenate(([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])))[: len(u)]
+    u, v, s = u[once], v[once], s[once]
+    first = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))[: len(u)])
+    place = np.arange(len(u)) - np.repeat(first, np.diff(np.concatenate((first, [len(u)]))))
+    return pa.RecordBatch.from_arrays([pa.array(x[place < k]) for x in (u, v, s.astype(np.float32))], names=["u", "v", "s"])
 
 
 def _runs(width: int, k: int):
@@ -78,13 +103,13 @@ def _runs(width: int, k: int):
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         node = table.column("node").to_numpy()
-        group = table.column("label").to_numpy().astype(np.int64) * 65_536 + table.column("turn").to_numpy()
+        label, turn = table.column("label").to_numpy(), table.column("turn").to_numpy()
         x = _units(table.column("vector").combine_chunks(), width).astype(np.float32)
         us, vs, ss = [], [], []
         for at in range(0, len(node), RUN):
             b = slice(at, at + RUN)
             s = x[b] @ x[b].T
-            s[group[b][:, None] != group[b][None]] = -2
+            s[(label[b][:, None] != label[b][None]) | (turn[b][:, None] != turn[b][None])] = -2
             np.fill_diagonal(s, -2)
             m = min(k, len(s) - 1)
             if m < 1:
@@ -113,7 +138,7 @@ def _orders(rows: int, threshold: float) -> tuple[int, int]:
 
 
 def _first_lists(nodes: DataFrame, width: int, k: int, orders: int, bits: int, seed: int) -> DataFrame:
-    """Neighbours from ``orders`` random orders: rows sorted by the signs of random projections, then by one projection."""
+    """Neighbours (u, v, s) from ``orders`` random orders: rows sorted by the signs of random projections, then by one projection."""
     rng = np.random.default_rng(seed)
     planes = rng.standard_normal((orders, bits + 1, max(width, 1)))
 
@@ -128,14 +153,14 @@ def _first_lists(nodes: DataFrame, width: int, k: int, orders: int, bits: int, s
                     names=["label", "turn", "code", "place", "node", "vector"],
                 )
 
-    rows = nodes.select("label", "node", "vector").mapInArrow(code, "label int, turn int, code int, place double, node long, vector array<float>")
+    rows = nodes.select("label", "node", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(code, "label long, turn int, code int, place double, node long, vector array<float>")
     keys = ["label", "turn", "code", "place", "node"]
     # Range partitions cut through any label or code that many rows share.
     sorted_rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return _top(sorted_rows.mapInArrow(_runs(width, k), "u long, v long, s float"), k)
+    return sorted_rows.mapInArrow(_runs(width, k), "u long, v long, s float")
 
 
-def _join_lists(width: int):
+def _join_lists(width: int, k: int):
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (w, a, bar, vector) sorted by w: pairs of neighbours of one w that would improve a list."""
         carry = None
@@ -163,7 +188,7 @@ def _join_lists(width: int):
                 rows = groups[at : at + step][:, None] + np.arange(n)
                 s = np.einsum("gid,gjd->gij", x[rows], x[rows])
                 g, i, j = np.nonzero((s > bar[rows][:, :, None]) & (a[rows][:, :, None] != a[rows][:, None, :]))
-                yield pa.RecordBatch.from_arrays([pa.array(a[rows[g, i]]), pa.array(a[rows[g, j]]), pa.array(s[g, i, j].astype(np.float32))], names=["u", "v", "s"])
+                yield _best(a[rows[g, i]], a[rows[g, j]], s[g, i, j], k)
 
     return local
 
@@ -171,22 +196,22 @@ def _join_lists(width: int):
 def _refined(lists: DataFrame, nodes: DataFrame, width: int, k: int, near: float, stored: Stored) -> tuple[DataFrame, int, bool]:
     """One round: compare the neighbours of every node with one another.
 
-    Returns the new lists, the entries that changed, and whether those of at least ``near`` have settled; lists full of
-    these do not count, as their groups are compared in full.
+    Returns the new lists, the entries that changed, and whether those of at least ``near`` have settled. Lists full of
+    these take no new entries and do not count, as their groups are looked at as a whole.
     """
-    back = lists.select(F.col("v").alias("w"), F.col("u").alias("a"), "s")
+    ahead = lists.select(F.col("u").alias("w"), F.col("v").alias("a"), "s", F.lit(False).alias("back"))
+    back = lists.select(F.col("v").alias("w"), F.col("u").alias("a"), "s", F.lit(True).alias("back"))
     # Nodes that many lists name hand on their k nearest admirers; the audit tells whether that loses links.
-    back = back.withColumn("n", F.row_number().over(Window.partitionBy("w").orderBy(F.desc("s"), "a"))).where(F.col("n") <= k).select("w", "a")
-    around = lists.select(F.col("u").alias("w"), F.col("v").alias("a")).union(back).distinct()
-    bars = lists.groupBy("u").agg(F.count(F.lit(1)).alias("c"), F.min("s").alias("low")).select(F.col("u").alias("node"), F.when(F.col("c") >= k, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("bar"))
+    place = F.row_number().over(Window.partitionBy("w", "back").orderBy(F.desc("s"), "a"))
+    around = ahead.union(back).repartition("w").withColumn("n", place).where(~F.col("back") | (F.col("n") <= k)).select("w", "a").distinct()
+    bar = F.when(F.col("near") >= k, F.lit(2.0)).when(F.col("size") >= k, F.col("low")).otherwise(F.lit(-2.0)).cast("float")
+    bars = lists.where(F.col("n") == 1).select(F.col("u").alias("node"), bar.alias("bar"))
     known = nodes.select("node", "vector").join(bars, "node", "left").select(F.col("node").alias("a"), F.coalesce("bar", F.lit(-2.0).cast("float")).alias("bar"), "vector")
     rows = around.join(known, "a").select("w", "a", "bar", "vector")
-    found = rows.repartition("w").sortWithinPartitions("w").mapInArrow(_join_lists(width), "u long, v long, s float")
-    better, _ = stored.put(_top(lists.select("u", "v", "s").union(found), k))
-    close = F.col("s") >= near
-    new = better.join(lists, ["u", "v"], "left_anti").groupBy("u").agg(F.count(F.lit(1)).alias("new"), F.count_if(close).alias("new_close"))
-    every = better.groupBy("u").agg(F.count_if(close).alias("close")).join(new, "u", "left")
-    count = every.agg(F.sum("new"), F.sum(F.when(F.col("close") < k, F.col("new_close"))), F.sum(F.when(F.col("close") < k, F.col("close")))).first()
+    found = rows.repartition("w").sortWithinPartitions("w").mapInArrow(_join_lists(width, k), "u long, v long, s float")
+    better, _ = stored.put(_top(_entries(lists, 0, near).union(_entries(found, 1, near)), k))
+    open_list = F.col("near") < k
+    count = better.agg(F.sum("new"), F.sum(F.when(open_list, F.col("new") * F.col("close"))), F.sum(F.when(open_list, F.col("close")))).first()
     return better, count[0] or 0, (count[1] or 0) <= SETTLED * (count[2] or 0)
 
 
@@ -195,18 +220,18 @@ def _exact(width: int):
         for batch in batches:
             x, y = matrix(batch.column("x"), width), matrix(batch.column("y"), width)
             cosine = (x * y).sum(axis=1) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(cosine)], names=["u", "v", "cosine"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("u", "v", "cu", "cv")), pa.array(cosine)], names=["u", "v", "cu", "cv", "cosine"])
 
     return exact
 
 
 def _links(lists: DataFrame, nodes: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(u, v), u < v: pairs of the lists at the threshold, measured in double precision."""
+    """(u, v, cu, cv), u < v: pairs of the lists at the threshold, measured in double precision, and the copies of both."""
     near = lists.where(F.col("s") >= threshold - SLACK).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    x = nodes.select(F.col("node").alias("u"), F.col("vector").alias("x"))
-    y = nodes.select(F.col("node").alias("v"), F.col("vector").alias("y"))
-    both = near.join(x, "u").join(y, "v").select("u", "v", "x", "y")
-    return both.mapInArrow(_exact(width), "u long, v long, cosine double").where(F.col("cosine") >= threshold).select("u", "v")
+    x = nodes.select(F.col("node").alias("u"), F.col("vector").alias("x"), F.col("copies").alias("cu"))
+    y = nodes.select(F.col("node").alias("v"), F.col("vector").alias("y"), F.col("copies").alias("cv"))
+    both = near.join(x, "u").join(y, "v").select("u", "v", "x", "y", "cu", "cv")
+    return both.mapInArrow(_exact(width), "u long, v long, cu long, cv long, cosine double").where(F.col("cosine") >= threshold).select("u", "v", "cu", "cv")
 
 
 def _joined(on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,103 +297,169 @@ def _partners(chosen: pa.Table, width: int, threshold: float) -> tuple[pa.Table,
     y = (cosine * x + np.sqrt(1 - cosine**2) * norm * away).astype(np.float32)
     node = pa.array(rng.integers(-(2**63), 2**63 - 1, len(x)), pa.int64())
     zero = pa.array(np.zeros(len(x), dtype=np.int64))
-    made = pa.table({"node": node, "low": zero, "copies": zero, "label": chosen.column("label"), "vector": pa.array(list(y), pa.list_(pa.float32()))})
+    made = pa.table({"node": node, "low": zero, "copies": zero, "label": chosen.column("label"), "vector": pa.array(list(y), chosen.column("vector").type)})
     return made, pa.table({"u": chosen.column("node"), "v": node})
 
 
+def _label_key(vectors: DataFrame, label: str) -> Column:
+    """Labels as 64-bit keys: whole numbers as they are, other labels by a digest that no two of them share."""
+    if vectors.schema[label].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return F.col(label).cast("long")
+    text = F.col(label).cast("string")
+    for salt in range(8):
+        key = F.when(F.col(label).isNotNull(), F.xxhash64(text, F.lit(salt)))
+        if vectors.select(key.alias("key"), text.alias("text")).groupBy("key").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").isEmpty():
+            return key
+    raise RuntimeError("labels could not be told apart by 64-bit digests")
+
+
+def _nodes(stored: Stored, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, node) of the rows (id, label, vector), and the nodes: rows of equal label and vector share one.
+
+    A node's name is a digest; a second digest tells whether two vectors share a name, and then all names are drawn anew.
+    """
+    for salt in range(8):
+        named, _ = stored.put(rows.select("id", F.xxhash64("label", "vector", F.lit(salt)).alias("node"), F.xxhash64(F.lit(salt + 101), "vector", "label").alias("other"), "label", "vector"))
+        nodes, path = stored.put(
+            named.groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"), (F.min("other") != F.max("other")).alias("clash"))
+        )
+        if nodes.where("clash").isEmpty():
+            return named.select("id", "node"), nodes.drop("clash")
+        stored.drop(path)
+    raise RuntimeError("vectors could not be told apart by 64-bit digests")
+
+
 def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_links, component_id, kept) for every row: vectors of an equal label are linked at ``threshold`` cosine.
 
-    Null labels, null ids, null, zero or non-finite vectors, and vectors of another than the commonest length link with
-    nothing and are kept (component: their own id; a null id is not kept). Repeated rows are copies of a vector, linked with
-    one another. An empty table gives an empty table. Only the three columns named are read.
+    Null labels, null ids, and null, zero or non-finite vectors link with nothing and are kept (component: their own id; a null
+    id is not kept). Labels may be of any type that can be cast to a string. Vectors are compared with those of their own length, each
+    length in a search of its own; components of any numeric type are measured in double precision. Repeated rows are
+    copies of a vector, linked with one another. An empty table gives an empty table. Only the three columns named are read.
     """
     spark = vectors.sparkSession
     stored = Stored(spark, "vector-dedup")
-    base = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("vector"), F.col(label).cast("int").alias("label"))
-    width = usual_length(base.where(sound(F.col("vector"))), "vector")
-    fit = sound(F.col("vector")) & F.col("label").isNotNull() & F.col("id").isNotNull() & (F.size("vector") == width)
-    base, _ = stored.put(base.select("id", F.when(fit, F.xxhash64("label", "vector")).alias("node"), F.when(fit, F.col("label")).alias("label"), F.when(fit, F.col("vector")).alias("vector")))
-    nodes, _ = stored.put(
-        base.where("node is not null").groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").cast("array<float>").alias("vector"))
-    )
-    total = nodes.count()
-    drawn = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(max(AUDIT, PROBES)).select("node", "label", "vector").toArrow()
-    audited = drawn.slice(0, AUDIT)
+    kind = "array<float>" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    base = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast(kind).alias("vector"), _label_key(vectors, label).alias("label"))
+    fit = F.coalesce(sound(F.col("vector")) & F.col("label").isNotNull() & F.col("id").isNotNull(), F.lit(False))
+    base, _ = stored.put(base.select("id", "label", "vector", fit.alias("fit")))
+    usable = base.where("fit").select("id", "label", "vector", F.size("vector").alias("width"))
+    # Lengths of which some label has two vectors; there are as many searches as lengths.
+    widths = [r[0] for r in usable.groupBy("width", "label").count().where("count > 1").select("width").distinct().orderBy("width").collect()]
+    found = [_linked(stored, usable.where(F.col("width") == w).drop("width"), w, threshold) for w in widths]
+    alone = base.where(~F.col("fit") | ~F.size("vector").isin(widths)) if widths else base
+    out = alone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    for rows in found:
+        out = out.union(rows)
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return out.select(F.col("id").alias(id_column), "n_links", "component_id", kept.alias("kept"))
+
+
+def _linked(stored: Stored, rows: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(id, n_links, component_id) of rows (id, label, vector) whose vectors are sound and of length ``width``."""
+    spark = rows.sparkSession
+    named, real = _nodes(stored, rows)
+    total, largest = real.groupBy("label").count().agg(F.sum("count"), F.max("count")).first()
+    drawn = real.orderBy(F.xxhash64("node", F.lit("audit"))).limit(max(AUDIT, PROBES)).select("node", "label", "vector").toArrow()
     made, pairs = _partners(drawn.slice(0, min(PROBES, -(-total // 10))), width, threshold)
-    made, _ = stored.put(spark.createDataFrame(made, nodes.schema))
-    pairs = spark.createDataFrame(pairs, "u long, v long")  # at most PROBES rows
-    real, nodes = nodes, nodes.union(made)
-    largest = real.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    made, _ = stored.put(spark.createDataFrame(made, real.schema))
+    true, _ = stored.put(_true_links(spark, real, drawn.slice(0, AUDIT), width, threshold))
+    asked = spark.createDataFrame(pairs, "u long, v long").withColumn("made", F.lit(True)).union(true.withColumn("made", F.lit(False)))
+    nodes = real.union(made)
     orders, bits = _orders(largest, threshold)
     k, near = NEIGHBOURS, threshold - SLACK
     lists = None
     for widened in range(WIDENED + 1):
-        start = _first_lists(nodes, width, k, orders, bits, seed=widened)
-        lists, _ = stored.put(start if lists is None else _top(lists.union(start), k))
+        start = _entries(_first_lists(nodes, width, k, orders, bits, seed=widened), 1, near)
+        lists, _ = stored.put(_top(start if lists is None else _entries(lists, 0, near).union(start), k))
         rounds, changed, settled = 0, total * k, False
         while changed > SETTLED * total * k and not (settled and rounds >= ROUNDS):
             lists, changed, settled = _refined(lists, nodes, width, k, near, stored)
             rounds += 1
-        links, _ = stored.put(_links(lists, nodes, width, threshold))
+        every, _ = stored.put(_links(lists, nodes, width, threshold))
+        # The made-up partners, which have no copies, are asked about but connect nothing.
+        links = every.where("cu > 0 and cv > 0")
         groups, _ = stored.put(components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        full = lists.where(F.col("s") >= near).groupBy("u").count().where(F.col("count") >= k).select(F.col("u").alias("node"))
+        full = lists.where((F.col("n") == 1) & (F.col("near") >= k)).select(F.col("u").alias("node"))
         # The groups of saturated nodes, whole.
-        wide, _ = stored.put(groups.join(groups.join(full, "node").select("component").distinct(), "component"))
-        recall = 1.0
-        if total:
-            recall = min(_found(pairs, links, wide), _recall(spark, stored, real, audited, width, threshold, links, wide))
+        wide, _ = stored.put(groups.join(groups.join(full, "node").select("component").distinct(), "component").select("node", "component"))
+        recall = _recall(stored, asked, every, wide)
         if recall >= RECALL:
             break
         k *= 2
         orders *= 2
-    nodes = real
-    # The made-up partners leave; if links are still missing, every label is a group to be compared in full.
-    gone = F.broadcast(made.select("node"))
-    links = links.join(gone, F.col("u") == F.col("node"), "left_anti").join(gone, F.col("v") == F.col("node"), "left_anti")
-    wide = wide.join(gone, "node", "left_anti") if recall >= RECALL else nodes.select("node", F.col("label").cast("long").alias("component"))
-    member = wide.join(nodes.select("node", "copies", "vector"), "node")
-    size = wide.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    cut = member.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
-    # A block meets every block of its group once: as the first or as the second of the pair.
-    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", F.col("vector").cast("array<double>").alias("vector"))
-    inside = dealt.groupBy("component", "i", "j").applyInPandas(_within(width, threshold), "node long, links long, other long")
-    inside, _ = stored.put(inside)
-    weight = nodes.select("node", "copies")
-    outer = links.join(wide.select(F.col("node").alias("u"), F.col("component").alias("c")), "u", "left_anti")
-    both = outer.select("u", "v").union(outer.select(F.col("v"), F.col("u")))
-    counts = both.join(weight.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("links"))
-    counts = counts.union(inside.groupBy("node").agg(F.sum("links").alias("links")))
-    edges = links.select(F.col("u").alias("a"), F.col("v").alias("b")).union(inside.select("node", "other"))
-    final = components(edges)
-    described = nodes.select("node", "low", "copies").join(counts, "node", "left").join(final, "node", "left")
+    if recall < RECALL:
+        # Links are still missing: every label is a group to be compared in full.
+        wide = real.select("node", F.col("label").alias("component"))
+    counts, inside = _whole_groups(stored, wide, real, width, threshold)
+    outer = links.join(wide.select(F.col("node").alias("u")), "u", "left_anti")
+    counts = counts.union(outer.select("u", "cv")).union(outer.select("v", "cu")).groupBy("node").agg(F.sum("links").alias("links"))
+    if recall < RECALL:
+        groups = components(links.select(F.col("u").alias("a"), F.col("v").alias("b")).union(inside))
+    described = real.select("node", "low", "copies").join(counts, "node", "left").join(groups, "node", "left")
     described = described.select("node", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("group"))
     lowest = described.groupBy("group").agg(F.min("low").alias("component_id"))
     described, _ = stored.put(described.join(lowest, "group").select("node", "n_links", "component_id"))
-    out = base.select("id", "node").join(described, "node", "left")
-    component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    return named.join(described, "node").select("id", "n_links", "component_id")
+
+
+def _whole_groups(stored: Stored, wide: DataFrame, nodes: DataFrame, width: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Of groups (node, component): the copies that each node is linked with (node, links; to be summed), and pairs of nodes
+    that hang together (a, b), which join whatever hangs together in a group.
+
+    The core, within half the threshold's angle of the group's mean, needs no comparison among itself.
+    """
+    unit = array_to_vector(F.transform("vector", lambda x: x.cast("double")))
+    member = wide.join(nodes.select("node", "copies", "vector"), "node").withColumn("unit", unit)
+    mean = member.groupBy("component").agg(Summarizer.mean(F.col("unit")).alias("mean"))
+    # A mean of vectors of unlike lengths is as good a point as any: the triangle inequality holds for all.
+    mean = mean.select("component", vector_to_array("mean").alias("mean"))
+    limit = float(np.cos(np.arccos(threshold) / 2 - 1e-6))
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, b: a + b)
+    cosine = dot(F.col("vector"), F.col("mean")) / F.sqrt(dot(F.col("vector"), F.col("vector")) * dot(F.col("mean"), F.col("mean")))
+    core = F.coalesce((cosine >= limit) & (F.lit(threshold) > 0), F.lit(False))
+    member, _ = stored.put(member.drop("unit").join(mean, "component").select("component", "node", "copies", "vector", core.alias("core")))
+    size = member.groupBy("component").agg(
+        F.ceil(F.count_if(~F.col("core")) / BLOCK).cast("int").alias("rest"),
+        F.ceil(F.count_if("core") / BLOCK).cast("int").alias("cores"),
+        F.sum(F.when(F.col("core"), F.col("copies"))).alias("weight"),
+        F.min(F.when(F.col("core"), F.col("node"))).alias("first"),
+    )
+    cut = member.join(size, "component")
+    sure = cut.where("core")
+    spread = F.xxhash64("node", F.lit("block"))
+    block = F.when(F.col("core"), F.col("rest") + F.pmod(spread, F.col("cores"))).otherwise(F.pmod(spread, F.col("rest"))).cast("int")
+    # A block meets every block of its group once, as the first or as the second of the pair, but core blocks only the others.
+    last = F.when(F.col("core"), F.col("rest")).otherwise(F.col("rest") + F.col("cores")) - 1
+    dealt = cut.where("rest > 0").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    dealt = dealt.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", F.col("vector").cast("array<double>").alias("vector"))
+    met, _ = stored.put(dealt.groupBy("component", "i", "j").applyInPandas(_within(width, threshold), "node long, links long, other long"))
+    counts = met.select("node", "links").union(sure.select("node", F.col("weight") - F.col("copies")))
+    return counts, met.select(F.col("node").alias("a"), F.col("other").alias("b")).union(sure.select("node", "first"))
 
 
-def _recall(spark: SparkSession, stored: Stored, nodes: DataFrame, audited: pa.Table, width: int, threshold: float, links: DataFrame, wide: DataFrame) -> float:
-    """The share of the audited nodes' true links that are found; members of one saturated group count as found."""
+def _true_links(spark: SparkSession, nodes: DataFrame, audited: pa.Table, width: int, threshold: float) -> DataFrame:
+    """(u, v): the audited nodes' links with all nodes of their label."""
     x = _units(audited.column("vector").combine_chunks(), width)
     shared = spark.sparkContext.broadcast((audited.column("node").to_numpy(), audited.column("label").to_numpy(), x))  # AUDIT vectors
-    # Besides the sample of nodes, which has few links, the true links of copies count: all that the sample touches.
-    true, _ = stored.put(nodes.mapInArrow(_audit(shared, width, threshold + 1e-9), "u long, v long").distinct())
-    return _found(true, links, wide)
-
-
-def _found(true: DataFrame, links: DataFrame, wide: DataFrame) -> float:
-    """The share of the pairs (u, v) that are links or in one saturated group; 1 if there are none."""
-    number = true.count()
-    if not number:
-        return 1.0
-    pairs = links.union(links.select(F.col("v"), F.col("u")))
-    a, b = wide.select(F.col("node").alias("u"), F.col("component").alias("cu")), wide.select(F.col("node").alias("v"), F.col("component").alias("cv"))
-    missed = true.join(pairs, ["u", "v"], "left_anti").join(a, "u", "left").join(b, "v", "left").where("cu is null or cv is null or cu != cv")
-    return 1 - missed.count() / number
+    return nodes.mapInArrow(_audit(shared, width, threshold + 1e-9), "u long, v long")
+
+
+def _recall(stored: Stored, asked: DataFrame, links: DataFrame, wide: DataFrame) -> float:
+    """The share found of the pairs asked for (u, v, made), real and made-up ones apart, the smaller of the two; 1 if there are none.
+
+    Found are links and members of one saturated group; a made-up partner belongs to the groups of what it is linked with.
+    """
+    both = links.select("u", "v", "cu").union(links.select("v", "u", "cv"))
+    number = dict(asked.groupBy("made").count().collect())
+    missed, _ = stored.put(asked.join(both, ["u", "v"], "left_anti"))
+    lost = dict(missed.groupBy("made").count().collect())
+    if lost:
+        place = wide.union(both.where("cu = 0").select(F.col("u"), F.col("v").alias("node")).join(wide, "node").select("u", "component"))
+        a, b = place.select(F.col("node").alias("u"), F.col("component").alias("c")), place.select(F.col("node").alias("v"), F.col("component").alias("c"))
+        for made, n in missed.join(a, "u").join(b, ["v", "c"]).select("u", "v", "made").distinct().groupBy("made").count().collect():
+            lost[made] -= n
+    return min([1 - lost.get(made, 0) / n for made, n in number.items()], default=1.0)
 
 
 def op9_nn_descent(spark: SparkSession, folder: str) -> DataFrame:

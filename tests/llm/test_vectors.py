@@ -64,7 +64,7 @@ def test_labels_in_full_if_links_stay_missing(shared, monkeypatch):
     monkeypatch.setattr(vector_dedup, "BLOCK", 40)
     monkeypatch.setattr(vector_dedup, "WIDENED", 0)
     monkeypatch.setattr(vector_dedup, "RECALL", 1.1)
-    monkeypatch.setattr(vector_dedup, "_links", lambda lists, *_: lists.select("u", "v").limit(0))
+    monkeypatch.setattr(vector_dedup, "_links", lambda lists, *_: lists.select("u", "v", F.lit(1).alias("cu"), F.lit(1).alias("cv")).limit(0))
     x, label, rows = cloud(300)
     got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(shared.createDataFrame(rows, SCHEMA)).collect()}
     norm = np.linalg.norm(x, axis=1)
@@ -139,3 +139,59 @@ def test_balanced_parts():
     x = np.random.default_rng(0).standard_normal((512, 8))
     part = neighbours.balanced_parts(neighbours._graph(x, 6), 8)
     assert np.bincount(part).tolist() == [64] * 8
+
+
+def brute(vectors, labels, threshold=0.98):
+    """(n_links, component) of each row by comparing all rows, as plainly as can be."""
+    n = len(vectors)
+    on = np.zeros((n, n), dtype=bool)
+    for i in range(n):
+        for j in range(n):
+            if i != j and labels[i] is not None and labels[i] == labels[j] and len(vectors[i]) == len(vectors[j]):
+                x, y = np.array(vectors[i], dtype=np.float64), np.array(vectors[j], dtype=np.float64)
+                on[i, j] = (x * y).sum() / (np.linalg.norm(x) * np.linalg.norm(y)) >= threshold
+    low = np.arange(n)
+    for _ in range(n):
+        low = np.minimum(low, np.where(on, low[None], n).min(axis=1))
+    return list(zip(on.sum(axis=1).tolist(), low.tolist(), strict=True))
+
+
+def test_text_labels_every_length_and_doubles_beside_the_threshold(shared):
+    rng = np.random.default_rng(4)
+    vectors, labels = [], []
+    for i in range(60):
+        x = rng.standard_normal(8)
+        x /= np.linalg.norm(x)
+        away = rng.standard_normal(8)
+        away -= (away @ x) * x
+        away /= np.linalg.norm(away)
+        cosine = 0.98 + (1e-9 if i % 2 else -1e-9)
+        vectors += [x.tolist(), (cosine * x + np.sqrt(1 - cosine**2) * away).tolist()]
+        labels += ["b" * (i % 3 + 1)] * 2
+    vectors += [[1.0, 2.0], [1.0, 2.0], [2.0, 4.0], [1.0, 2.0], [1.0, 2.0, 3.0]]
+    labels += ["short", "short", "short", None, "short"]
+    df = shared.createDataFrame([(i, v, t) for i, (v, t) in enumerate(zip(vectors, labels, strict=True))], "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(vectors))] == brute(vectors, labels)
+
+
+def test_labels_beyond_32_bits(shared):
+    rows = [(0, [1.0, 0.0], 2**40), (1, [1.0, 0.01], 2**40), (2, [1.0, 0.02], 2**41), (3, [0.0, 1.0], 2**40)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(shared.createDataFrame(rows, "vec_id long, embedding array<float>, label long")).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (0, 3)}
+
+
+def test_core_of_a_group_is_counted_and_the_rest_compared(shared, monkeypatch):
+    # A dense middle, a rim that is linked with part of it, and a chain that leads away.
+    monkeypatch.setattr(vector_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(16)
+    centre /= np.linalg.norm(centre)
+    vectors = [(centre + 0.015 * rng.standard_normal(16)).tolist() for _ in range(80)]
+    vectors += [(centre + 0.05 * rng.standard_normal(16)).tolist() for _ in range(60)]
+    step = rng.standard_normal(16) * 0.04
+    vectors += [(centre + i * step).tolist() for i in range(20)]
+    vectors += [vectors[0], vectors[100], vectors[159]]
+    df = shared.createDataFrame([(i, v, 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int").repartition(5)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(vectors))] == brute(vectors, [1] * len(vectors))
