@@ -201,8 +201,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
 def density_curve(df: DataFrame, column: str, points: int = 50) -> DataFrame:
     """Gaussian kernel density on a grid (Scott's bandwidth).
 
-    Values are grouped first, and each group adds to a fixed-length array of grid sums inside one
-    aggregation, so the data is neither multiplied by the grid nor shuffled by row.
+    Every row adds its kernel at each grid point to one sum per point, all within one aggregation. So the data is neither
+    multiplied by the grid nor shuffled, at the price of ``points`` exponentials a row.
     """
     x = F.col(column).cast("double")
     stat = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("s"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()

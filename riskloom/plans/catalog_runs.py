@@ -55,11 +55,18 @@ WINNERS = f"""WITH {GATED}, w AS (SELECT *, row_number() OVER (PARTITION BY pare
 @query(
     "group_winners",
     WINNERS + """ SELECT parent_name, run_id AS child_run_id, 'cv_cand_test_roc_auc' AS chosen_metric, round(mean_test_roc_auc, 8) AS metric_value,
-    'model__C=' || c || ', model__max_depth=' || depth AS best_params_str FROM w WHERE i = 1""",
+    'model__C=' || c || ', model__max_depth=' || depth AS best_params_str, c AS best_c, depth AS best_max_depth, 2 AS n_params, 6 AS n_metrics,
+    round(mean_test_roc_auc, 8) AS cv_cand_test_roc_auc, round(mean_train_roc_auc, 8) AS cv_cand_train_roc_auc, round(mean_test_f1, 8) AS cv_cand_test_f1,
+    round(mean_train_f1, 8) AS cv_cand_train_f1, round(mean_test_precision, 8) AS cv_cand_test_precision, round(mean_test_recall, 8) AS cv_cand_test_recall
+    FROM w WHERE i = 1""",
 )
 def group_winners(spark, d):
     out = jobs.select_job(data.run_records(spark, d), data.RUN_NAMES)["winners"]
-    return rounded(out.drop("best_params", "metrics"), ["metric_value"], 8)
+    params = [F.col("best_params")["model__C"].alias("best_c"), F.col("best_params")["model__max_depth"].alias("best_max_depth"), F.size("best_params").alias("n_params")]
+    names = ["cv_cand_test_roc_auc", "cv_cand_train_roc_auc", "cv_cand_test_f1", "cv_cand_train_f1", "cv_cand_test_precision", "cv_cand_test_recall"]
+    metrics = [F.col("metrics")[n].alias(n) for n in names]
+    shown = out.select(*[c for c in out.columns if c not in ("best_params", "metrics")], *params, F.size("metrics").alias("n_metrics"), *metrics)
+    return rounded(shown, ["metric_value", *names], 8)
 
 
 @query(
@@ -94,11 +101,11 @@ def best_run(spark, d):
 
 @query(
     "pick_best_row",
-    f"WITH c AS ({data.RUNS_SQL}) SELECT max(round(mean_test_roc_auc, 8)) AS roc_auc FROM c",
+    f"WITH c AS ({data.RUNS_SQL}) SELECT run_id, round(mean_test_roc_auc, 8) AS roc_auc, round(mean_test_f1, 8) AS f1 FROM c ORDER BY mean_test_roc_auc DESC, run_id LIMIT 1",
 )
 def pick_best_row(spark, d):
     df = data.candidates(spark, d).select("run_id", F.col("mean_test_roc_auc").alias("roc_auc"), F.col("mean_test_f1").alias("f1"))
-    return rounded(sel.pick_best_row(df).select("roc_auc"), ["roc_auc"], 8)
+    return rounded(sel.pick_best_row(df), ["roc_auc", "f1"], 8)
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.evaluators import ScoreEvaluator
 from riskloom.operators.metrics import METRICS, classification_metrics
 from riskloom.operators.models import apply_model
-from riskloom.sources import runs
+from riskloom.sources import runs, tables
 
 
 def test_two_writers_never_share_a_number(spark, tmp_path):
@@ -73,3 +73,16 @@ def test_evaluator_in_a_tuning_split(scored, tmp_path):
     assert found.validationMetrics[0] > found.validationMetrics[1] == 0.0
     ScoreEvaluator(metricName="f1").write().overwrite().save(f"{tmp_path}/e")
     assert ScoreEvaluator.load(f"{tmp_path}/e").getOrDefault("metricName") == "f1"
+
+
+def test_checksum_of_a_data_set_follows_rows_not_their_order(spark):
+    rows = [(1, "a", 0.5), (2, None, 1.5), (2, None, 1.5), (3, "c", None)]
+
+    def checksum(values, parts):
+        return tables.fingerprint(spark.createDataFrame(values, "i long, t string, x double").repartition(parts), "given", "t").first()
+
+    first = checksum(rows, 1)
+    assert (first["rows"], first["columns"], first["checksum"]) == (4, 3, checksum(rows[::-1], 3)["checksum"])
+    others = [rows[:3], [*rows, rows[0]], [(9, "a", 0.5), *rows[1:]], [(1, "b", 0.5), *rows[1:]], [(1, "a", 0.25), *rows[1:]], [(2, "a", 0.5), (1, None, 1.5), *rows[2:]]]
+    assert len({first["checksum"], *(checksum(o, 2)["checksum"] for o in others)}) == len(others) + 1
+    assert checksum([], 1)["rows"] == 0
