@@ -121,12 +121,13 @@ def encode_by_table(spark, d):
     "binary_encode_many",
     """WITH k AS (SELECT v, row_number() OVER (ORDER BY v) AS i FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS v FROM orders)),
     w AS (SELECT length(bin(count(*))) AS w FROM k)
-    SELECT o_orderkey, (i >> (w - 1)::INT) & 1 AS hi, i & 1 AS lo FROM orders JOIN k ON CAST(o_custkey AS VARCHAR) = v, w""",
+    SELECT o_orderkey, (i >> (w - 1)::INT) & 1 AS hi, i & 1 AS lo, lpad(bin(i), w::INT, '0') AS digits FROM orders JOIN k ON CAST(o_custkey AS VARCHAR) = v, w""",
 )
 def binary_encode_many(spark, d):
     df = fe.binary_encode_by_join(data.read(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", "b")
     last = max(int(c[2:]) for c in df.columns if c.startswith("b_"))
-    return df.select("o_orderkey", F.col("b_0").alias("hi"), F.col(f"b_{last}").alias("lo"))
+    digits = F.concat(*[F.col(f"b_{k}").cast("int").cast("string") for k in range(last + 1)])
+    return df.select("o_orderkey", F.col("b_0").alias("hi"), F.col(f"b_{last}").alias("lo"), digits.alias("digits"))
 
 
 @query(
