@@ -7,35 +7,20 @@ inequality leaves a chance. Files of other cells are never opened. Answers are e
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import draw_hash
-from riskloom.operators.neighbors import vote_share
+from riskloom.operators import neighbors
+from riskloom.operators.neighbors import Cells, vote_share
 from riskloom.runtime import materialize, scratch_path
 
 MOST_PIVOTS = 4096
 CELL_ROWS = 4096
 BLOCK_ROWS = 2048
-SLACK = 1e-9
-
-
-def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """Distances of all rows of ``a`` to all rows of ``b``, one dimension at a time: two matrices of the result's size are held."""
-    out = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        gap = np.abs(a[:, j, None] - b[None, :, j])
-        out += gap if p == 1 else gap * gap
-    return out if p == 1 else np.sqrt(out)
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=float) for v in vectors])
 
 
 class NeighborIndex:
@@ -48,6 +33,9 @@ class NeighborIndex:
         self.radius = np.array([r["radius"] for r in cells])
         self.size = np.array([r["n"] for r in cells])
         self.p = cells[0]["p"] if cells else 2
+        # An index written before boxes were kept has none.
+        boxed = bool(cells) and "low" in cells[0] and cells[0]["low"] is not None
+        self.box = tuple(np.array([r[n] for r in cells], dtype=float) for n in ("low", "high")) if boxed else None
 
     @classmethod
     def build(cls, rows: DataFrame, p: int = 2, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS, path: str | None = None) -> NeighborIndex:
@@ -62,16 +50,11 @@ class NeighborIndex:
         picked = rows.groupBy("vec").agg(F.min(draw_hash("pivot", F.col("id"))).alias("h")).orderBy("h").limit(many).collect()
         pivots = np.array([r["vec"] for r in picked], dtype=float)
 
-        def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    d = distances(_matrix(pdf["vec"]), pivots, p)
-                    yield pdf.assign(cell=d.argmin(1).astype("int32"), far=d.min(1))
-
-        filed = materialize(rows.select("id", "vec", "y").mapInPandas(file, "id string, vec array<double>, y int, cell int, far double"), "filed")
-        stats = {r["cell"]: (r["radius"], r["n"]) for r in filed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
-        table = [(c, [float(x) for x in pivots[c]], float(stats[c][0]) if c in stats else -1.0, stats[c][1] if c in stats else 0, p) for c in range(len(pivots))]
-        cells = spark.createDataFrame(table, "cell int, pivot array<double>, radius double, n long, p int")
+        filed = materialize(neighbors.file_rows(rows.select("id", "vec", "y"), pivots, "l1" if p == 1 else "l2"), "filed")
+        known = neighbors.describe_cells(filed, pivots)
+        low, high = (x.tolist() for x in known.box) if known.box else ([None] * len(pivots),) * 2
+        table = [(c, pivots[c].tolist(), float(known.radius[c]), int(known.size[c]), p, low[c], high[c]) for c in range(len(pivots))]
+        cells = spark.createDataFrame(table, "cell int, pivot array<double>, radius double, n long, p int, low array<double>, high array<double>")
         cells.coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
         blocks = cells.select("cell", F.greatest(F.ceil(F.col("n") / block_rows), F.lit(1)).cast("int").alias("blocks"))
         laid = filed.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -92,77 +75,22 @@ class NeighborIndex:
 
     def search(self, queries: DataFrame, k: int) -> DataFrame:
         """(query_id, neighbor_id, distance, y, rank): the k nearest rows of every query (id string, vec array<double>)."""
-        index = (self.pivots, self.radius, self.size, self.p)
-
-        def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            pivots, _, size, p = index
-            for pdf in batches:
-                if len(pdf):
-                    d = distances(_matrix(pdf["vec"]), pivots, p)
-                    d[:, size == 0] = np.inf
-                    yield pdf.assign(cell=d.argmin(1).astype("int32"))
-
         asked = queries.select(F.col("id").cast("string").alias("id"), F.col("vec").cast("array<double>").alias("vec")).where("vec IS NOT NULL")
-        home = materialize(asked.mapInPandas(own, "id string, vec array<double>, cell int"), "home")
-        first = materialize(self._visit(home, k), "first")
-        bound = first.groupBy("query_id").agg(F.max(F.when(F.col("rank") == k, F.col("distance"))).alias("bound"))
-        reach = home.join(bound, F.col("id") == F.col("query_id"), "left").select("id", "vec", "cell", F.coalesce("bound", F.lit(math.inf)).alias("bound"))
-
-        def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            pivots, radius, size, p = index
-            for pdf in batches:
-                if len(pdf):
-                    d = distances(_matrix(pdf["vec"]), pivots, p)
-                    bound = pdf["bound"].to_numpy()
-                    near = (d - radius[None, :] <= (bound + SLACK * (1 + np.abs(bound)))[:, None]) & (size > 0)[None, :]
-                    near[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False
-                    row, cell = np.nonzero(near)
-                    yield pd.DataFrame({"id": pdf["id"].to_numpy(object)[row], "vec": pdf["vec"].to_numpy()[row], "cell": cell.astype("int32")})
-
-        visits = materialize(reach.mapInPandas(others, "id string, vec array<double>, cell int"), "visits")
-        found = first.drop("rank").unionByName(self._visit(visits, k).drop("rank"))
-        return _ranked(found, k)
-
-    def _visit(self, visits: DataFrame, k: int) -> DataFrame:
-        """The k best rows per query in the cells it visits; queries and cells meet in blocks of bounded size."""
-        counts = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per cell
-        spark, p = self.spark, self.p
-        plan = [(c, math.ceil(n / BLOCK_ROWS)) for c, n in counts.items()]
-        plan = F.broadcast(spark.createDataFrame(plan, "cell int, qblocks int"))
-        right = self.rows_of(list(counts)).join(plan, "cell")
-        blocks = F.broadcast(self.rows_of(list(counts)).groupBy("cell").agg((F.max("block") + 1).alias("cblocks")))
-        left = visits.join(plan, "cell").join(blocks, "cell").withColumn("qblock", F.pmod(F.xxhash64("id"), F.col("qblocks")).cast("int"))
-        left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("cblocks") - 1))).select("cell", "block", "qblock", "id", "vec")
-        right = right.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1))).select("cell", "block", "qblock", "id", "vec", "y")
-
-        def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-            if not len(qs) or not len(cs):
-                return pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": [], "y": []})
-            cs = cs.sort_values("id", key=lambda s: s.map(str.encode) if len(s) else s)
-            d = distances(_matrix(qs["vec"]), _matrix(cs["vec"]), p)
-            # Rows are in order of id, so a stable sort gives equal distances to the smaller one.
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            many = best.shape[1]
-            return pd.DataFrame(
-                {
-                    "query_id": np.repeat(qs["id"].to_numpy(object), many),
-                    "neighbor_id": cs["id"].to_numpy(object)[best.ravel()],
-                    "distance": np.take_along_axis(d, best, 1).ravel(),
-                    "y": cs["y"].to_numpy()[best.ravel()],
-                }
-            )
-
-        keys = ["cell", "block", "qblock"]
-        pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id string, neighbor_id string, distance double, y int")
-        return _ranked(pairs, k)
+        return neighbors.search_cells(asked, self.cells(), self.rows_of, k, "l1" if self.p == 1 else "l2")
+
+    def cells(self) -> Cells:
+        """The cells for a search; those much smaller than suits it are visited together with their neighbours."""
+        cells = Cells(self.pivots, self.radius, self.size, np.arange(len(self.pivots)), self.box)
+        rows = int(self.size.sum())
+        groups = max(1, rows // neighbors.cell_rows_for(rows, self.pivots.shape[1]))
+        if len(self.pivots) < 2 * groups:
+            return cells
+        seeds = self.pivots[:: len(self.pivots) // groups]
+        blank = Cells(seeds, np.zeros(len(seeds)), np.ones(len(seeds)), np.arange(len(seeds)))
+        return replace(cells, group=blank.home(self.pivots))
 
     def vote(self, queries: DataFrame, k: int, weights: str = "uniform") -> DataFrame:
         """(id, y_prob, y_pred) by the votes of the k nearest rows."""
         votes = self.search(queries, k).withColumn("y", F.col("y").cast("double"))
         out = votes.groupBy(F.col("query_id").alias("id")).agg(vote_share(weights).alias("y_prob"))
         return out.withColumn("y_pred", (F.col("y_prob") > 0.5).cast("int"))
-
-
-def _ranked(pairs: DataFrame, k: int) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return pairs.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)

@@ -1,51 +1,160 @@
 """Exact k-nearest-neighbour search as a Spark job.
 
-Pivot-based partitioning: every query row belongs to the cell of its nearest pivot; a corpus row is sent to
-a cell only if the triangle inequality leaves it a chance to be among the k nearest of some query there.
-Cells are then cut into blocks of bounded size on both sides, so that one task never holds more than one
-block pair, and each block pair emits k rows per query row, never all pairs.
+Corpus rows are filed under pivots, in cells whose ball (and, in few dimensions, box) is known. A query first meets the
+cell of its own nearest pivot, which bounds the distance of its k-th neighbour, and then only the cells that the bound
+leaves a chance. Queries and cells meet in blocks of bounded size on both sides, so that one task never holds more than
+one block pair; a block pair hands on at most k rows per query, and only such as lie within the query's bound.
+
+Inside a block pair a cheap matrix (single precision products, or 16-bit sums for l1) with a proven error bound picks the
+candidates; only their distances are computed in double precision. The cheap matrix decides nothing else.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import draw_hash
 from riskloom.runtime import materialize
 
-MAX_PIVOTS = 128
+MAX_PIVOTS = 4096
+BLOCK_ROWS = 32768
+FEW_DIMENSIONS = 24  # up to here boxes are kept and cells are small
+CELL_ROWS = 4096  # rows of a cell in few dimensions; in many nothing can be left out, and larger cells are handed on less often
+ELEMENTS = 2_000_000  # of the matrices held at a time
+SLACK = 1e-9
 
 
-def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """Distances of all rows of ``a`` to all rows of ``b``, summed per pair and so independent of blocking."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
+def _pair_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """Distance of every row of ``a`` to the row of ``b`` at the same place."""
+    out = np.empty(len(a))
+    step = max(1, ELEMENTS // max(1, a.shape[1]))
     for i in range(0, len(a), step):
-        gap = a[i : i + step, None, :] - b[None, :, :]
+        gap = a[i : i + step] - b[i : i + step]
         out[i : i + step] = np.abs(gap).sum(-1) if metric == "l1" else np.sqrt((gap * gap).sum(-1))
     return out
 
 
-def _block_top(a: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int, metric: str, farthest: bool):
-    """Column positions and distances of the k best rows of ``b`` per row of ``a``; ties by id."""
-    for i in range(0, len(a), max(1, 4_000_000 // max(1, b.size))):
-        part = a[i : i + max(1, 4_000_000 // max(1, b.size))]
-        d = _distances(part, b, metric)
-        key = -d if farthest else d
-        if key.shape[1] > k:
-            edge = np.partition(key, k - 1, axis=1)[:, k - 1]
+def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of all rows of ``a`` to all rows of ``b``, one dimension at a time."""
+    out = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        gap = np.abs(a[:, j, None] - b[None, :, j])
+        out += gap if metric == "l1" else gap * gap
+    return out if metric == "l1" else np.sqrt(out)
+
+
+def _product_filter(a: np.ndarray, b: np.ndarray, sign: int) -> Callable | None:
+    """For rows i.. of ``a`` and their bounds: signed squared distances without the query's own part, limits, and twice the error."""
+    middle = b.mean(0)
+    a, b = a - middle, b - middle
+    scale = max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) or 1.0
+    if not np.isfinite(scale) or scale < 1e-150 or scale > 1e150:
+        return None
+    a, b = a / scale, b / scale
+    own, theirs = (a * a).sum(1), (b * b).sum(1)
+    error = (a.shape[1] + 8) * 2.4e-7 * (own + theirs.max())
+    right = np.zeros((len(b) + -len(b) % 8, b.shape[1] + 1), dtype="float32")
+    right[: len(b), :-1], right[:, -1] = b, sign * 3e38
+    right[: len(b), -1] = theirs
+    left = sign * np.hstack([-2 * a, np.ones((len(a), 1))]).astype("float32")
+
+    def some(i: int, j: int, bound: np.ndarray):
+        with np.errstate(over="ignore"):
+            limit = np.where(np.isfinite(bound), sign * (bound / scale) ** 2 - sign * own[i:j] + error[i:j], 1e38)
+        return left[i:j] @ right.T, np.minimum(limit, 1e38), 2 * error[i:j]
+
+    return some
+
+
+def _short_filter(a: np.ndarray, b: np.ndarray, sign: int) -> Callable | None:
+    """The same for l1: signed sums of absolute differences of coordinates rounded to a common grid of 16 bits."""
+    low = np.minimum(a.min(0), b.min(0))
+    total = (np.maximum(a.max(0), b.max(0)) - low).sum()
+    width = a.shape[1]
+    if not np.isfinite(total) or width > 4000:
+        return None
+    scale = (32000 - width) / total if total > 1e-150 else 1.0
+    left = np.ascontiguousarray(np.rint((a - low) * scale).astype("int16").T)
+    right = np.zeros((width, len(b) + -len(b) % 8), dtype="int16")
+    right[:, : len(b)] = np.rint((b - low) * scale).T
+
+    def some(i: int, j: int, bound: np.ndarray):
+        key = np.zeros((j - i, right.shape[1]), dtype="int16")
+        for c in range(0, right.shape[1], 4096):
+            for r in range(0, j - i, 128):
+                out = key[r : r + 128, c : c + 4096]
+                gap = np.empty(out.shape, dtype="int16")
+                for x, y in zip(left[:, i + r : min(j, i + r + 128), None], right[:, None, c : c + 4096]):
+                    np.subtract(x, y, out=gap)
+                    np.abs(gap, out=gap)
+                    np.add(out, gap, out=out)
+        if sign < 0:
+            np.negative(key, out=key)
+        key[:, len(b) :] = 32767
+        limit = np.where(np.isfinite(bound), np.ceil(np.minimum(bound * scale, 32766)) + width + 2, 32766)
+        return key, np.clip(limit, -32767, 32766), np.full(j - i, 2 * (width + 2))
+
+    return some
+
+
+def _hits(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the few true values; rows are a multiple of eight long, and eight are looked at in one."""
+    eights = np.flatnonzero(mask.reshape(-1).view("uint64"))
+    at, bit = np.nonzero(mask.reshape(-1, 8)[eights])
+    return np.divmod(eights[at] * 8 + bit, mask.shape[1])
+
+
+def block_top(
+    a: np.ndarray, b: np.ndarray, k: int, metric: str, farthest: bool = False, bound: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers in ``a`` and ``b`` and distances of the k best rows of ``b`` per row of ``a``; equal ones go to the smaller
+    place in ``b``. ``bound`` limits the distances (negated for the farthest) where it is finite."""
+    sign = -1 if farthest else 1
+    bound = np.full(len(a), np.inf) if bound is None else bound
+    cheap = (_short_filter if metric == "l1" else _product_filter)(a, b, sign)
+    found = [(np.empty(0, dtype=int), np.empty(0, dtype=int), np.empty(0))]
+    step = max(1, ELEMENTS // max(1, len(b)))
+    for i in range(0, len(a), step):
+        j = min(len(a), i + step)
+        if cheap is None:
+            row, col = (x.ravel() for x in np.indices((j - i, len(b))))
         else:
-            edge = np.full(len(part), np.inf)
-        for r in range(len(part)):
-            cand = np.flatnonzero(key[r] <= edge[r])
-            best = cand[np.lexsort((b_ids[cand], key[r][cand]))][:k]
-            yield i + r, best, d[r][best]
+            key, limit, error = cheap(i, j, bound[i:j])
+            open_ended = ~np.isfinite(bound[i:j])
+            if len(b) > k and open_ended.any():
+                # The k-th best of a part, and where that leaves many, of more of them.
+                seen = min(len(b), max(1024, 8 * k))
+                edge = np.partition(key[open_ended][:, :seen], k - 1, axis=1)[:, k - 1] + error[open_ended]
+                limit[open_ended] = np.minimum(limit[open_ended], edge)
+            limit = np.nextafter(limit.astype("float32"), np.float32(np.inf)) if key.dtype == np.float32 else limit.astype("int16")
+            row, col = _hits(key <= limit[:, None])
+        dist = np.empty(len(row))
+        for x in range(0, len(row), ELEMENTS // 8):
+            part = slice(x, x + ELEMENTS // 8)
+            dist[part] = _gathered(a, b, row[part] + i, col[part], metric)
+        keep = ~(sign * dist > bound[i:j][row])
+        row, col, dist = row[keep], col[keep], dist[keep]
+        order = np.lexsort((col, sign * dist, row))
+        row, col, dist = row[order], col[order], dist[order]
+        first = np.searchsorted(row, np.arange(j - i))
+        keep = np.arange(len(row)) - first[row] < k
+        found.append((row[keep] + i, col[keep], dist[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _gathered(a: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, metric: str) -> np.ndarray:
+    out = np.empty(len(row))
+    step = max(1, ELEMENTS // max(1, a.shape[1]))
+    for i in range(0, len(row), step):
+        out[i : i + step] = _pair_distances(a[row[i : i + step]], b[col[i : i + step]], metric)
+    return out
 
 
 def _stack(vectors: pd.Series) -> np.ndarray:
@@ -61,7 +170,7 @@ def nearest_neighbors(
     metric: str = "l2",
     farthest: bool = False,
     skip_self: bool = False,
-    block_rows: int = 2048,
+    block_rows: int = BLOCK_ROWS,
     pivots: int | None = None,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) with the exact k nearest (or farthest) corpus rows.
@@ -105,107 +214,189 @@ def _keyed(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), vec.alias("vec"), F.xxhash64(vec).alias("h"))
 
 
+@dataclass
+class Cells:
+    """Pivots with what is known of their rows; several neighbouring cells may be visited as one (``group``)."""
+
+    pivots: np.ndarray
+    radius: np.ndarray
+    size: np.ndarray
+    group: np.ndarray
+    box: tuple[np.ndarray, np.ndarray] | None = None
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """A near pivot of every row that has rows itself; which one does not matter to the answers."""
+        out = np.empty(len(x), dtype="int32")
+        own = np.where(self.size > 0, (self.pivots * self.pivots).sum(1), np.inf)
+        step = max(1, ELEMENTS // len(own))
+        for i in range(0, len(x), step):
+            out[i : i + step] = np.argmin(own - 2 * (x[i : i + step] @ self.pivots.T), axis=1)
+        return out
+
+    def within(self, x: np.ndarray, bound: np.ndarray, metric: str, farthest: bool) -> Iterator[np.ndarray]:
+        """Per row the groups that hold a cell with a chance to reach the bound."""
+        order = np.argsort(self.group, kind="stable")
+        names, starts = np.unique(self.group[order], return_index=True)
+        step = max(1, ELEMENTS // len(order))
+        for i in range(0, len(x), step):
+            part, limit = x[i : i + step], bound[i : i + step]
+            key = self._reach(part, metric, farthest)
+            near = (key <= (limit + SLACK * (1 + np.abs(limit)))[:, None]) & (self.size > 0)[None, :]
+            for row in np.logical_or.reduceat(near[:, order], starts, axis=1):
+                yield names[row].astype("int32")
+
+    def _reach(self, x: np.ndarray, metric: str, farthest: bool) -> np.ndarray:
+        """Bound of the distance to any row of a cell: the least one, or the greatest one negated."""
+        if self.box is None:
+            d = _distances(x, self.pivots, metric)
+            slack = SLACK * (1 + self.radius + d)
+            return -(d + self.radius + slack) if farthest else d - self.radius - slack
+        low, high = self.box
+        out = np.zeros((len(x), len(low)))
+        for j in range(x.shape[1]):
+            under, over = low[None, :, j] - x[:, j, None], x[:, j, None] - high[None, :, j]
+            gap = np.maximum(np.abs(under), np.abs(over)) if farthest else np.maximum(np.maximum(under, over), 0)
+            out += gap if metric == "l1" else gap * gap
+        out = out if metric == "l1" else np.sqrt(out)
+        return -out * (1 + SLACK) if farthest else out * (1 - SLACK)
+
+
+def cell_rows_for(rows: int, width: int, block_rows: int = BLOCK_ROWS) -> int:
+    """Rows of a cell that suit a search: small in few dimensions; in many some sixteen cells, as large as a block at most."""
+    return CELL_ROWS if width <= FEW_DIMENSIONS else min(block_rows, max(2048, rows // 16))
+
+
+def describe_cells(filed: DataFrame, pivots: np.ndarray) -> Cells:
+    """What is known of the cells of a table (vec, cell, far)."""
+    width = pivots.shape[1]
+    ends = [f(F.col("vec")[j]).alias(f"{n}{j}") for n, f in (("low", F.min), ("high", F.max)) for j in range(width)] if width <= FEW_DIMENSIONS else []
+    rows = filed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n"), *ends).collect()  # one row per pivot
+    radius, size = np.full(len(pivots), -1.0), np.zeros(len(pivots), dtype="int64")
+    low, high = np.zeros(pivots.shape), np.zeros(pivots.shape)
+    for r in rows:
+        radius[r["cell"]], size[r["cell"]] = r["radius"], r["n"]
+        if ends:
+            low[r["cell"]], high[r["cell"]] = [r[f"low{j}"] for j in range(width)], [r[f"high{j}"] for j in range(width)]
+    return Cells(pivots, radius, size, np.arange(len(pivots)), (low, high) if ends else None)
+
+
+def file_rows(rows: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
+    """``rows`` (vec and others) with ``cell``, a near pivot, and ``far``, the distance to it."""
+    blank = Cells(pivots, np.zeros(len(pivots)), np.ones(len(pivots)), np.arange(len(pivots)))
+
+    def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                x = _stack(pdf["vec"])
+                cell = blank.home(x)
+                yield pdf.assign(cell=cell, far=_pair_distances(x, pivots[cell], metric))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInPandas(file, f"{kinds}, cell int, far double")
+
+
 def _search(
     q: DataFrame, c: DataFrame, need: int, metric: str, farthest: bool, block_rows: int, pivots: int | None
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) with the ``need`` best corpus rows per query row (id, vec)."""
     spark = q.sparkSession
     kind = q.schema["id"].dataType.simpleString()
-    result = f"query_id {kind}, neighbor_id {kind}, distance double, rank int"
     n_corpus = c.count()
     if n_corpus == 0:
-        return spark.createDataFrame([], result)
-    m = pivots or min(MAX_PIVOTS, max(1, n_corpus // block_rows))
+        return spark.createDataFrame([], f"query_id {kind}, neighbor_id {kind}, distance double, rank int")
+    width = c.select(F.size("vec")).first()[0]
+    m = pivots or min(MAX_PIVOTS, max(1, n_corpus // cell_rows_for(n_corpus, width, block_rows)))
     picked = c.orderBy(draw_hash("pivot", F.col("id"))).limit(m).collect()
     centers = np.array([r["vec"] for r in picked], dtype=float)
+    filed = materialize(file_rows(c.withColumn("y", F.lit(0)), centers, metric), "corpus")
+    cells = describe_cells(filed, centers)
+    return search_cells(q, cells, lambda _: filed, need, metric, farthest, block_rows).drop("y")
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(_stack(pdf["vec"]), centers, metric)
-                yield pdf.assign(cell=d.argmin(1).astype("int32"), far=d.min(1))
 
-    def edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def search_cells(
+    queries: DataFrame, cells: Cells, rows_of: Callable[[list[int]], DataFrame], k: int, metric: str, farthest: bool = False, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(query_id, neighbor_id, distance, y, rank): the k best rows of all cells per query (id, vec).
+
+    ``rows_of`` gives the rows (id, vec, y, cell) of some cells at least.
+    """
+    kind = queries.schema["id"].dataType.simpleString()
+    sign = -1 if farthest else 1
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                d = _distances(_stack(pdf["vec"]), centers, metric)
-                d = -d if farthest else d
-                top = np.sort(d, axis=0)[:need]
-                yield pd.DataFrame(
-                    {"cell": np.tile(np.arange(len(centers), dtype="int32"), len(top)), "d": top.ravel()}
-                )
-
-    q_cells = materialize(q.mapInPandas(assign, f"id {kind}, vec array<double>, cell int, far double"), "queries")
-    # per pivot, the distance of its k-th best corpus row; Spark keeps only `need` rows per task and pivot
-    by_pivot = Window.partitionBy("cell").orderBy("d")
-    kth = (
-        c.mapInPandas(edges, "cell int, d double")
-        .withColumn("r", F.row_number().over(by_pivot))
-        .where(F.col("r") <= need)
-        .groupBy("cell")
-        .agg(F.max("d").alias("kth"), F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    sizes = q_cells.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    if not sizes:
-        return spark.createDataFrame([], result)
-    bound = np.full(len(centers), np.nan)
-    edge = {r["cell"]: (r["kth"] if r["n"] >= need else math.inf) for r in kth}
-    for r in sizes:
-        slack = 2 * r["radius"] + 1e-9 * (1 + abs(r["radius"]))
-        bound[r["cell"]] = edge.get(r["cell"], math.inf) + slack
+                yield pdf.assign(cell=cells.group[cells.home(_stack(pdf["vec"]))].astype("int32"))
+
+    home = materialize(queries.select("id", "vec").mapInPandas(own, f"id {kind}, vec array<double>, cell int"), "home")
+    first = _visit(home.withColumn("bound", F.lit(math.inf)), cells, rows_of, k, metric, farthest, block_rows)
+    first = materialize(first, "first")
+    last = F.max(F.when(F.col("rank") == k, sign * F.col("distance"))).alias("bound")
+    bounds = first.groupBy("query_id").agg(last)
+    reach = home.join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "vec", "cell", F.coalesce("bound", F.lit(math.inf)).alias("bound"))
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                d = _distances(_stack(pdf["vec"]), centers, metric)
-                keep = (-d if farthest else d) <= bound[None, :]
-                yield pdf.assign(cells=[np.flatnonzero(row).astype("int32") for row in keep])
-
-    routed = c.mapInPandas(route, f"id {kind}, vec array<double>, cells array<int>")
-    routed = materialize(routed, "corpus")
-    spread = routed.select("id", F.explode("cells").alias("cell"))
-    c_sizes = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
-    q_blocks = {r["cell"]: math.ceil(r["n"] / block_rows) for r in sizes}
-    c_blocks = {r["cell"]: math.ceil(r["n"] / block_rows) for r in c_sizes}
-    plan = spark.createDataFrame(
-        [(cell, qb, c_blocks.get(cell, 0)) for cell, qb in q_blocks.items() if c_blocks.get(cell, 0)],
-        "cell int, qb int, cb int",
-    )  # at most MAX_PIVOTS rows
+                lists = cells.within(_stack(pdf["vec"]), pdf["bound"].to_numpy(), metric, farthest)
+                yield pdf.drop(columns="cell").assign(cells=[x[x != mine] for x, mine in zip(lists, pdf["cell"])])
+
+    visits = materialize(reach.mapInPandas(others, f"id {kind}, vec array<double>, bound double, cells array<int>"), "visits")
+    visits = visits.select("id", "vec", "bound", F.explode("cells").alias("cell"))
+    more = _visit(visits, cells, rows_of, k, metric, farthest, block_rows)
+    return _ranked(first.drop("rank").unionByName(more.drop("rank")), k, farthest)
+
+
+def _visit(
+    visits: DataFrame, cells: Cells, rows_of: Callable[[list[int]], DataFrame], k: int, metric: str, farthest: bool, block_rows: int
+) -> DataFrame:
+    """The k best rows per query in the groups of cells it visits (id, vec, bound, cell); both sides meet in blocks."""
+    spark = visits.sparkSession
+    kind = visits.schema["id"].dataType.simpleString()
+    asked = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per group
+    held = np.bincount(cells.group, weights=cells.size, minlength=len(cells.group))
+    plan = [(g, math.ceil(n / block_rows), max(1, math.ceil(held[g] / block_rows))) for g, n in asked.items()]
+    wanted = [int(c) for c in np.flatnonzero(np.isin(cells.group, list(asked)) & (cells.size > 0))]
+    sides = F.broadcast(spark.createDataFrame(plan, "cell int, qblocks int, cblocks int"))  # at most one row per pivot
+    groups = F.broadcast(spark.createDataFrame([(c, int(cells.group[c])) for c in wanted], "cell int, grp int"))
+    rows = rows_of(wanted).join(groups, "cell").select(F.col("grp").alias("cell"), "id", "vec", "y")
+    keys = ["cell", "cblock", "qblock"]
     left = (
-        q_cells.join(F.broadcast(plan), "cell")
-        .withColumn("qblock", F.pmod(F.xxhash64("id"), F.col("qb")).cast("int"))
-        .withColumn("cblock", F.explode(F.sequence(F.lit(0), F.col("cb") - 1)))
-        .select("cell", "qblock", "cblock", "id", "vec")
+        visits.join(sides, "cell")
+        .withColumn("qblock", F.pmod(F.xxhash64("id"), F.col("qblocks")).cast("int"))
+        .withColumn("cblock", F.explode(F.sequence(F.lit(0), F.col("cblocks") - 1)))
+        .select(*keys, "id", "vec", "bound")
     )
     right = (
-        routed.select("id", "vec", F.explode("cells").alias("cell"))
-        .join(F.broadcast(plan), "cell")
-        .withColumn("cblock", F.pmod(F.xxhash64("id"), F.col("cb")).cast("int"))
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)))
-        .select("cell", "qblock", "cblock", "id", "vec")
+        rows.join(sides, "cell")
+        .withColumn("cblock", F.pmod(F.xxhash64("id"), F.col("cblocks")).cast("int"))
+        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
+        .select(*keys, "id", "vec", "y")
     )
 
-    def block(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        ids, near, dist = [], [], []
-        if len(qs) and len(cs):
-            c_ids = cs["id"].to_numpy()
-            q_ids = qs["id"].to_numpy()
-            for row, best, d in _block_top(_stack(qs["vec"]), _stack(cs["vec"]), c_ids, need, metric, farthest):
-                ids.extend([q_ids[row]] * len(best))
-                near.extend(c_ids[best])
-                dist.extend(float(value) for value in d)
-        return pd.DataFrame({"query_id": ids, "neighbor_id": near, "distance": dist})
-
-    keys = ["cell", "qblock", "cblock"]
-    pairs = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(block, f"query_id {kind}, neighbor_id {kind}, distance double")
+    def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(cs):
+            return pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": [], "y": []})
+        ids = cs["id"].to_numpy()
+        order = np.argsort(ids, kind="stable")  # texts compare by code point, as in Spark
+        row, col, dist = block_top(_stack(qs["vec"]), _stack(cs["vec"])[order], k, metric, farthest, qs["bound"].to_numpy())
+        col = order[col]
+        return pd.DataFrame({"query_id": qs["id"].to_numpy()[row], "neighbor_id": ids[col], "distance": dist, "y": cs["y"].to_numpy()[col]})
+
+    # A number of partitions of its own: few bytes are much work here, and by bytes they would be put together.
+    pairs = sum(q * c for _, q, c in plan)
+    parts = max(1, min(pairs, max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    met = (
+        left.repartition(parts, *keys).groupBy(*keys)
+        .cogroup(right.repartition(parts, *keys).groupBy(*keys))
+        .applyInPandas(meet, f"query_id {kind}, neighbor_id {kind}, distance double, y int")
     )
-    order = F.col("distance").desc() if farthest else F.col("distance").asc()
-    best = Window.partitionBy("query_id").orderBy(order, "neighbor_id")
-    return pairs.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= need)
+    return _ranked(met, k, farthest)
+
+
+def _ranked(pairs: DataFrame, k: int, farthest: bool) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy(F.col("distance").desc() if farthest else F.col("distance").asc(), "neighbor_id")
+    return pairs.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
 
 
 def mean_distance(neighbors: DataFrame) -> DataFrame:
@@ -233,7 +424,7 @@ def knn_vote(
     id_col: str = "id",
     vec_col: str = "vec",
     skip_self: bool = False,
-    block_rows: int = 2048,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Probability of class 1 per test row from its k nearest training rows.
 

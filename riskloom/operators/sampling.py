@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import draw_hash, hash_cutoffs, strata_counts, uniform
 from riskloom.functions.ordering import take_smallest
-from riskloom.operators.neighbors import mean_distance, nearest_neighbors
+from riskloom.operators.neighbors import BLOCK_ROWS, mean_distance, nearest_neighbors
 from riskloom.runtime import materialize
 
 
@@ -52,7 +52,7 @@ def smote(
     k: int = 5,
     ratio: float = 1.0,
     seed: int = 1,
-    block_rows: int = 2048,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add synthetic minority rows until minority/majority reaches ``ratio`` (Chawla et al., 2002).
 
@@ -94,7 +94,7 @@ def near_miss(
     k: int = 3,
     k_first: int = 3,
     seed: int = 1,
-    block_rows: int = 2048,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Keep as many majority rows as there are minority rows (Mani and Zhang, 2003).
 
@@ -120,7 +120,7 @@ def near_miss(
 
 
 def edited_neighbors(
-    df: DataFrame, label: str, key: str, vec: str = "vec", k: int = 3, block_rows: int = 2048
+    df: DataFrame, label: str, key: str, vec: str = "vec", k: int = 3, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Drop every row that has a neighbour of another class among its k nearest (Wilson, 1972)."""
     df = _narrow(df, label, key, vec)
@@ -137,7 +137,7 @@ def edited_neighbors(
     return df.join(odd, key, "left_anti")
 
 
-def tomek_links(df: DataFrame, label: str, key: str, vec: str = "vec", block_rows: int = 2048) -> DataFrame:
+def tomek_links(df: DataFrame, label: str, key: str, vec: str = "vec", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs (a, b) of different classes that are each other's nearest row, a < b (Tomek, 1976)."""
     df = _narrow(df, label, key, vec)
     near = nearest_neighbors(df, df, 1, key, vec, skip_self=True, block_rows=block_rows)
@@ -150,7 +150,7 @@ def tomek_links(df: DataFrame, label: str, key: str, vec: str = "vec", block_row
     return both.join(left, "a").join(right, "b").where(F.col("ya") != F.col("yb")).select("a", "b")
 
 
-def drop_tomek(df: DataFrame, label: str, key: str, vec: str = "vec", block_rows: int = 2048) -> DataFrame:
+def drop_tomek(df: DataFrame, label: str, key: str, vec: str = "vec", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Drop both rows of every Tomek link."""
     df = _narrow(df, label, key, vec)
     links = tomek_links(df, label, key, vec, block_rows)
@@ -160,14 +160,14 @@ def drop_tomek(df: DataFrame, label: str, key: str, vec: str = "vec", block_rows
 
 def smote_enn(df: DataFrame, label: str, key: str, vec: str = "vec", seed: int = 1, **kw) -> DataFrame:
     """SMOTE, then edited neighbours over all rows (Batista et al., 2004)."""
-    block_rows = kw.get("block_rows", 2048)
+    block_rows = kw.get("block_rows", BLOCK_ROWS)
     made = materialize(smote(df, label, key, vec, seed=seed, **kw), "smoteenn")
     return edited_neighbors(made, label, key, vec, block_rows=block_rows)
 
 
 def smote_tomek(df: DataFrame, label: str, key: str, vec: str = "vec", seed: int = 1, **kw) -> DataFrame:
     """SMOTE, then removal of Tomek links."""
-    block_rows = kw.get("block_rows", 2048)
+    block_rows = kw.get("block_rows", BLOCK_ROWS)
     made = materialize(smote(df, label, key, vec, seed=seed, **kw), "smotetomek")
     return drop_tomek(made, label, key, vec, block_rows=block_rows)
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from riskloom.operators.neighbor_index import NeighborIndex
-from riskloom.operators.neighbors import knn_vote, nearest_neighbors
+from riskloom.operators.neighbors import block_top, knn_vote, nearest_neighbors
 from riskloom.runtime import scratch_path
 
 
@@ -65,3 +65,37 @@ def test_few_rows_nulls_and_saving(spark, rows, tmp_path):
     assert index.search(asked.limit(0), 5).count() == 0
     with pytest.raises(ValueError):
         NeighborIndex.build(rows.limit(0))
+
+
+@pytest.mark.parametrize("metric,farthest", [("l2", False), ("l2", True), ("l1", False), ("l1", True)])
+@pytest.mark.parametrize("width,stretch", [(3, 1.0), (40, 1.0), (5, 1e6)])
+def test_a_block_pair_gives_what_brute_force_gives(metric, farthest, width, stretch):
+    """Cheap sums only choose whom to compare: copies, ties and far outliers change nothing."""
+    rng = np.random.RandomState(width)
+    a, b = np.round(rng.normal(size=(70, width)), 1), np.round(rng.normal(size=(1501, width)), 1)
+    b[200:260] = b[3]
+    a[5] = b[3]
+    b[9] *= stretch
+    gap = a[:, None] - b[None]
+    d = np.abs(gap).sum(-1) if metric == "l1" else np.sqrt((gap * gap).sum(-1))
+    order = np.argsort(-d if farthest else d, axis=1, kind="stable")[:, :6]
+    row, col, dist = block_top(a, b, 6, metric, farthest)
+    assert (row == np.repeat(np.arange(70), 6)).all() and (col.reshape(70, 6) == order).all()
+    assert np.allclose(dist.reshape(70, 6), np.take_along_axis(d, order, 1))
+    # With the fourth distance as bound only rows as good as it come back.
+    bound = np.take_along_axis(-d if farthest else d, order, 1)[:, 3]
+    bound = np.where(np.arange(70) % 2, bound, np.inf)
+    row, col, dist = block_top(a, b, 6, metric, farthest, bound)
+    want = [(i, j) for i in range(70) for j in order[i] if (-d if farthest else d)[i, j] <= bound[i]]
+    assert list(zip(row.tolist(), col.tolist())) == [(i, int(j)) for i, j in want]
+
+
+def test_small_cells_are_visited_together(spark):
+    """In many dimensions no cell can be left out: a query must not be handed to every one of many small cells."""
+    rng = np.random.RandomState(2)
+    table = spark.createDataFrame([(f"r{i:04d}", rng.normal(size=30).tolist(), 0) for i in range(900)], "id string, vec array<double>, y int")
+    index = NeighborIndex.build(table, cell_rows=10)
+    assert len(index.pivots) == 90
+    assert len(set(index.cells().group.tolist())) == 1
+    asked = table.where("id < 'r0020'")
+    assert plain(index.search(asked, 4)) == plain(nearest_neighbors(asked, table, 4))
