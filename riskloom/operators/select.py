@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.runtime import attach_small
+
 # Metric names in order of preference.
 METRIC_PREFERENCE = (
     "cv_cand_test_roc_auc",
@@ -89,9 +91,13 @@ def flag(text: Column) -> Column:
 def rekey(pairs: Column, name) -> Column:
     """Map with renamed keys; of several keys that end up equal the last one counts."""
     entries = F.transform(F.map_entries(pairs), lambda e: F.struct(name(e["key"]).alias("key"), e["value"].alias("value")))
-    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = F.transform(names, lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"])
-    return F.map_from_arrays(names, last)
+
+    def last(entries: Column) -> Column:
+        names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"]))
+
+    # As the element of a one-element array the entries are a variable; else they would be made anew for every key.
+    return F.transform(F.array(entries), last)[0]
 
 
 def _with_prefix(params: Column, prefix: str) -> Column:
@@ -212,10 +218,10 @@ def clean_params(params: Column) -> Column:
     """Parameters without search bookkeeping (``x::y``, ``grid_``, ``search_``) and without prefixes."""
     kept = F.map_filter(params, lambda k, _: ~F.contains(k, F.lit("::")) & ~k.rlike("^(grid_|search_)"))
 
+    prefixes = "^" + "".join(f"({p})?" for p in PARAM_PREFIXES)  # each once, in this order
+
     def bare(k: Column) -> Column:
-        for p in PARAM_PREFIXES:
-            k = F.regexp_replace(k, "^" + p, "")
-        return k
+        return F.regexp_replace(k, prefixes, "")
 
     return rekey(kept, bare)
 
@@ -292,7 +298,7 @@ def best_passing(
 def name_children(runs: DataFrame, whitelist: Sequence[str] | None = None) -> DataFrame:
     """Child runs with their parent's name and parsed gate flag; children of unlisted parents are left out.
 
-    Parents are the runs without a parent. The join side is named, not forced: Catalyst broadcasts it if small.
+    Parents are the runs without a parent. Where they were counted as few they are broadcast: a parent may have very many children.
     """
     parents = runs.where(F.col("parent_id").isNull()).select(
         F.col("run_id").alias("parent_id"), F.col("run_name").alias("parent_name")
@@ -301,7 +307,7 @@ def name_children(runs: DataFrame, whitelist: Sequence[str] | None = None) -> Da
         parents = parents.where(F.col("parent_name").isin(list(whitelist)))
     gate = F.coalesce(F.col("tags")["gate_passes"], F.col("tags")["get_gates"])
     children = runs.where(F.col("parent_id").isNotNull()).withColumn("gate_passes", flag(gate))
-    return children.join(parents, "parent_id")
+    return attach_small(children, parents, ["parent_id"], "inner")
 
 
 def winners(children: DataFrame, order: Sequence[str] = METRIC_PREFERENCE) -> DataFrame:
@@ -310,16 +316,20 @@ def winners(children: DataFrame, order: Sequence[str] = METRIC_PREFERENCE) -> Da
     for i, m in enumerate(order):
         value = F.col("metrics")[m]
         ok = ok.withColumn(f"_m{i}", F.when(~F.isnan(value), value))
-    present = ok.groupBy("parent_name").agg(*[F.count(f"_m{i}").alias(f"_c{i}") for i in range(len(order))])
-    first = F.coalesce(*[F.when(F.col(f"_c{i}") > 0, F.lit(i)) for i in range(len(order))])
-    ok = ok.join(present.select("parent_name", first.alias("_first")), "parent_name")
+    # Numbers first: a whole row as an aggregate would have all rows sorted, with their maps, in the tasks that read them.
+    tops = ok.groupBy("parent_name").agg(*[F.max(f"_m{i}").alias(f"_t{i}") for i in range(len(order))])
+    first = F.coalesce(*[F.when(F.col(f"_t{i}").isNotNull(), F.lit(i)) for i in range(len(order))])
+    tops = tops.select("parent_name", first.alias("_first"), F.coalesce(*[F.col(f"_t{i}") for i in range(len(order))], F.lit(float("-inf"))).alias("_top"))
+    ok = attach_small(ok, tops, ["parent_name"], "inner")
     value = F.get(F.array(*[F.col(f"_m{i}") for i in range(len(order))]), F.col("_first"))
     name = F.get(F.array(*[F.lit(m) for m in order]), F.col("_first"))
     ok = ok.withColumn("metric_value", value).withColumn("chosen_metric", name)
+    ok = ok.where(F.coalesce(F.col("metric_value"), F.lit(float("-inf"))) == F.col("_top"))
+    # among equal values the smallest run id wins
+    ids = ok.groupBy("parent_name").agg(F.min(F.struct("run_id")).alias("_id"))
+    ok = attach_small(ok, ids, ["parent_name"], "inner").where(F.col("run_id").eqNullSafe(F.col("_id.run_id")))
     row = F.struct("run_id", "chosen_metric", "metric_value", "params", "metrics")
-    ranked = F.struct(F.coalesce(F.col("metric_value"), F.lit(float("-inf"))).alias("v"))
-    # among equal values the smallest run id wins: min_by over the negated value
-    best = ok.groupBy("parent_name").agg(F.min_by(row, F.struct(-ranked["v"], F.col("run_id"))).alias("w"))
+    best = ok.groupBy("parent_name").agg(F.min_by(row, F.struct("run_id")).alias("w"))
     return best.select(
         "parent_name",
         F.col("w.run_id").alias("child_run_id"),
