@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -228,6 +229,16 @@ def with_weights(df: DataFrame, params: Mapping) -> DataFrame:
     return df
 
 
+def without_summary(model):
+    """The model without its training summary: a summary refers to the Spark session, and both would go to every task that scores.
+
+    Parts of a session that are made on demand cannot be serialised, so in a long session scoring failed.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def fit_model(name: str, params: Mapping | None, train: DataFrame, seed: int = 1):
     """Fit a catalogue model on (key, features, label); weights and sizes are taken from the data."""
     params = dict(params or {})
@@ -236,7 +247,7 @@ def fit_model(name: str, params: Mapping | None, train: DataFrame, seed: int = 1
     if family(name) == "mlp":
         width = train.select(F.size(vector_to_array("features"))).first()[0]
     data = with_weights(train.withColumn("label", F.col("label").cast("double")), params)
-    return build_estimator(name, params, rows, width, seed).fit(data)
+    return without_summary(build_estimator(name, params, rows, width, seed).fit(data))
 
 
 def apply_model(model, df: DataFrame, keep: list[str]) -> DataFrame:
@@ -391,9 +402,10 @@ class KernelSvc(Estimator):
             featuresCol=column, labelCol="label", regParam=self.penalty, maxIter=self.max_iter,
             rawPredictionCol="_svcraw", predictionCol="_svcpred", **extra,
         ).fit(data)
+        machine = without_summary(machine)
         to_margin = MarginVector(inputCols=["_svcraw"], outputCols=["_margin"])
         margins = to_margin.transform(machine.transform(data))
-        platt = LogisticRegression(featuresCol="_margin", labelCol="label").fit(margins)
+        platt = without_summary(LogisticRegression(featuresCol="_margin", labelCol="label").fit(margins))
         tidy = CalibratedOutput(inputCols=["_margin"], outputCols=["_margin"])
         return PipelineModel(stages=[*stages, machine, to_margin, platt, tidy])
 
