@@ -158,13 +158,15 @@ class Tree:
 
 def walk(tree: dict[str, np.ndarray], bins: np.ndarray) -> np.ndarray:
     """Node of every row of a matrix of bins."""
-    node = np.zeros(len(bins), np.int32)
-    rows = np.arange(len(bins))
-    while len(rows):
-        f = tree["feature"][node[rows]]
-        rows, f = rows[f >= 0], f[f >= 0]
-        at = node[rows]
-        node[rows] = np.where(bins[rows, f] <= tree["bin"][at], tree["left"][at], tree["right"][at])
+    # A leaf leads to itself, so all rows take the same steps; those that are there already stay.
+    leaf = tree["feature"] < 0
+    itself = np.arange(len(leaf))
+    ways = np.where(leaf, itself, (tree["left"], tree["right"])).T.ravel()
+    feature, limit = np.where(leaf, 0, tree["feature"]).astype(np.int64), tree["bin"]
+    flat, start = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
+    node = np.zeros(len(bins), np.int64)
+    while not leaf.take(node).all():
+        node = ways.take(2 * node + (flat.take(start + feature.take(node)) > limit.take(node)))
     return node
 
 
@@ -220,7 +222,10 @@ def _matrix(column: pa.Array, width: int, kind) -> np.ndarray:
 
 
 def _bytes(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+    """Rows of one width in an Arrow binary column, as a matrix over the column's own memory."""
+    _, offsets, data = column.buffers()
+    first = int(np.frombuffer(offsets, np.int32, 1, 4 * column.offset)[0]) if len(column) else 0
+    return np.frombuffer(data or b"", np.uint8, len(column) * width, first).reshape(len(column), width)
 
 
 def _bin_batches(batches: Iterator[pa.RecordBatch], edges: list[list[float]]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +279,12 @@ class Draw:
 
 @dataclass
 class _Pass:
-    """What the tasks of one pass need: trees, the slot of each wanted node, allowed features per slot, trees whose margin is still to add."""
+    """What the tasks of one pass need: trees, the slot of each wanted node, the features of every slot (as many for each), trees whose margin is still to add."""
 
     trees: dict[int, dict[str, np.ndarray]]
     slots: dict[int, np.ndarray]
     many: int
-    allowed: np.ndarray | None
+    features: np.ndarray
     siblings: np.ndarray  # per slot the slot of a sibling that is not counted, or -1
     width: int
     bins: int
@@ -296,43 +301,60 @@ def _margins(margin: np.ndarray, x: np.ndarray, pending) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch], job: _Pass) -> Iterator[pa.RecordBatch]:
     """The cells of this task: rows and both sums per (slot, feature, bin)."""
-    size = job.many * job.bins
-    cells = np.zeros((job.width, 3, size))
+    chosen = job.features.shape[1]
+    cells = np.zeros((chosen, 3, job.many * job.bins))
+    columns_of = np.ascontiguousarray(job.features.T.astype(np.int64))
+    alike = bool((job.features == job.features[:1]).all())
+    # A tree's slots lie together, and a batch is counted over these alone.
+    spans = {t: (int(s[s >= 0].min()), int(s.max()) + 1) for t, s in job.slots.items()}
+    only = next(iter(job.trees)) if len(job.trees) == 1 else None
     for batch in batches:
         if not batch.num_rows:
             continue
         x = _bytes(batch.column("bins"), job.width)
         uid, y, w = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "y", "w")]
+        margin = batch.column("margin").to_numpy(zero_copy_only=False) if job.second_order else y
+        drawn = None if only is None else job.draw.counts(uid, only)
+        if drawn is not None:
+            # Rows that enter no tree of the pass are left out before their margins are summed.
+            held = np.flatnonzero(drawn)
+            x, uid, y, w, margin, drawn = (v[held] for v in (x, uid, y, w, margin, drawn))
         if job.second_order:
-            p = 1 / (1 + np.exp(-_margins(batch.column("margin").to_numpy(zero_copy_only=False), x, job.pending)))
+            p = 1 / (1 + np.exp(-_margins(margin, x, job.pending)))
             first, second = w * (p - y), w * p * (1 - p)
         else:
             first, second = w * (1 - y), w * y
         for t, tree in job.trees.items():
-            drawn = job.draw.counts(uid, t)
-            slot = job.slots[t][walk(tree, x)]
-            rows = np.flatnonzero(slot >= 0 if drawn is None else (slot >= 0) & (drawn > 0))
-            if not len(rows):
+            if only is None:
+                drawn = job.draw.counts(uid, t)
+            rows = np.arange(len(x)) if drawn is None else np.flatnonzero(drawn)
+            mine = x if len(rows) == len(x) else x[rows]
+            slot = job.slots[t][walk(tree, mine)]
+            wanted = np.flatnonzero(slot >= 0)
+            if not len(wanted):
                 continue
+            rows, mine, slot = rows[wanted], mine[wanted], slot[wanted]
             times = 1.0 if drawn is None else drawn[rows]
-            a, b, base = first[rows] * times, second[rows] * times, slot[rows].astype(np.int64) * job.bins
-            for j in range(job.width):
-                at, aj, bj = base + x[rows, j], a, b
-                if job.allowed is not None:
-                    ok = job.allowed[slot[rows], j]
-                    at, aj, bj = at[ok], a[ok], b[ok]
-                cells[j, 0] += np.bincount(at, minlength=size)
-                cells[j, 1] += np.bincount(at, aj, size)
-                cells[j, 2] += np.bincount(at, bj, size)
-    feature, flat = np.nonzero(cells[:, 0])
-    slot, bin_ = flat // job.bins, flat % job.bins
-    n, a, b = cells[feature, 0, flat], cells[feature, 1, flat], cells[feature, 2, flat]
-    other = job.siblings[slot]
-    # What a node holds is taken from its sibling, which starts as all of the parent.
-    for to, sign, at in ((slot, 1, np.arange(len(flat))), (other, -1, np.flatnonzero(other >= 0))):
-        columns = [to[at].astype(np.int32), feature[at].astype(np.int32), bin_[at].astype(np.int32)]
-        columns += [(sign * n[at]).astype(np.int64), sign * a[at], sign * b[at]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "feature", "bin", "n", "a", "b"])
+            a, b = first[rows] * times, second[rows] * times
+            low, high = spans[t]
+            base, size = (slot - low).astype(np.int64) * job.bins, (high - low) * job.bins
+            flat, start = mine.ravel(), np.arange(len(mine)) * job.width
+            for c in range(chosen):
+                at = base + flat.take(start + (columns_of[c, 0] if alike else columns_of[c].take(slot)))
+                part = cells[c, :, low * job.bins : high * job.bins]
+                part[0] += np.bincount(at, minlength=size)
+                part[1] += np.bincount(at, a, size)
+                part[2] += np.bincount(at, b, size)
+    for c in range(chosen):
+        flat = np.flatnonzero(cells[c, 0])
+        slot, bin_ = flat // job.bins, flat % job.bins
+        feature, other = job.features[slot, c], job.siblings[slot]
+        n, a, b = cells[c][:, flat]
+        # What a node holds is taken from its sibling, which starts as all of the parent.
+        for to, sign, at in ((slot, 1, np.arange(len(flat))), (other, -1, np.flatnonzero(other >= 0))):
+            columns = [to[at].astype(np.int32), feature[at].astype(np.int32), bin_[at].astype(np.int32)]
+            columns += [(sign * n[at]).astype(np.int64), sign * a[at], sign * b[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], ["slot", "feature", "bin", "n", "a", "b"])
 
 
 _CELLS = "slot int, feature int, bin int, n long, a double, b double"
@@ -381,26 +403,23 @@ class Grower:
         chosen = self.rules.features_of(self.width)
         by_sibling = chosen is None and features is None and len(trees) == 1
         found: dict[tuple[int, int], dict] = {}
-        group = max(2, self.cells // (self.width * self.bins))
+        counted = min(x for x in (chosen, None if features is None else len(features), self.width) if x is not None)
+        group = max(2, self.cells // (counted * self.bins))
         for start in range(0, len(nodes), group):
             part = list(nodes[start : start + group])
-            allowed = self._allowed(part, chosen, features)
-            cells = self._cells(trees, part, allowed, list(pending), by_sibling)
+            cells = self._cells(trees, part, self._features(part, chosen, features), list(pending), by_sibling)
             for r in best_splits(cells, self.rules).collect():
                 found[part[r["slot"]]] = r.asDict()
         return found
 
-    def _allowed(self, part, chosen, features) -> np.ndarray | None:
-        if chosen is None and features is None:
-            return None
-        allowed = np.zeros((len(part), self.width), bool)
+    def _features(self, part, chosen, features) -> np.ndarray:
+        """The features that every node may be split by, rising, one row per node."""
         pool = np.arange(self.width) if features is None else np.array(sorted(features))
-        for s, (t, node) in enumerate(part):
-            pick = pool if chosen is None else np.random.default_rng([self.draw.seed, t, node]).permutation(pool)[: min(chosen, len(pool))]
-            allowed[s, pick] = True
-        return allowed
+        if chosen is None:
+            return np.tile(pool, (len(part), 1))
+        return np.array([np.sort(np.random.default_rng([self.draw.seed, t, node]).permutation(pool)[: min(chosen, len(pool))]) for t, node in part])
 
-    def _cells(self, trees, part, allowed, pending, by_sibling) -> DataFrame:
+    def _cells(self, trees, part, features, pending, by_sibling) -> DataFrame:
         """Cells of the wanted nodes. With ``by_sibling`` the larger of two siblings is the parent less the smaller."""
         slot_of = {node: s for s, node in enumerate(part)}
         derived: dict[int, tuple[DataFrame, int, int]] = {}  # slot -> (parent's cells, parent's slot, sibling's slot)
@@ -422,7 +441,7 @@ class Grower:
         siblings = np.full(len(part), -1, np.int64)
         for s, (_, _, counted) in derived.items():
             siblings[counted] = s
-        job = _Pass({t: _arrays(trees[t]) for t in wanted}, wanted, len(part), allowed, siblings, self.width, self.bins, self.draw, self.rules.criterion == "second_order", pending)
+        job = _Pass({t: _arrays(trees[t]) for t in wanted}, wanted, len(part), features, siblings, self.width, self.bins, self.draw, self.rules.criterion == "second_order", pending)
         spark = self.rows.sparkSession
         shared = spark.sparkContext.broadcast(job)
 

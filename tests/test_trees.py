@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
@@ -252,3 +253,40 @@ def test_catalogue_takes_the_parameters(table):
     assert [len(t.leaves()) for t in light] == [5, 5]
     with pytest.raises(ValueError):
         models.fit_model("LightGBM", {"num_leaves": 1}, df)
+
+
+def test_rows_outside_the_draw_get_no_margin(monkeypatch):
+    """Boosting on a share of the rows: margins, the dear part of a pass, are summed for the drawn rows only."""
+    rng = np.random.default_rng(4)
+    n, seen = 4000, []
+    x = rng.integers(0, 6, (n, 3)).astype(np.uint8)
+    uid = rng.integers(-(2**62), 2**62, n)
+    packed = pa.array([r.tobytes() for r in x], pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(uid), pa.array(x[:, 0] % 2.0), pa.array(np.ones(n)), packed, pa.array(np.zeros(n))], ["uid", "y", "w", "bins", "margin"])
+    margins = tr._margins
+    monkeypatch.setattr(tr, "_margins", lambda margin, *rest: seen.append(len(margin)) or margins(margin, *rest))
+    tree = tr.Tree()
+    tree.add(0)
+    draw = tr.Draw(share=0.25)
+    job = tr._Pass({0: tr._arrays(tree)}, {0: np.zeros(1, np.int32)}, 1, np.array([[0, 2]]), np.full(1, -1), 3, 6, draw, True, [])
+    got = pa.Table.from_batches(list(tr._count(iter([batch.slice(0, 1500), batch.slice(1500)]), job))).to_pandas()
+    held = draw.counts(uid, 0) > 0
+    assert sum(seen) == held.sum() < n / 3
+    for j in (0, 2):
+        mine = got[got["feature"] == j].sort_values("bin")
+        assert mine["n"].tolist() == np.bincount(x[held, j], minlength=6).tolist()
+    assert set(got["feature"]) == {0, 2}
+
+
+def test_a_pass_holds_cells_of_the_drawn_features_only(spark):
+    """Nodes that may be split by two features of eight take a quarter of the cells, and the passes are fewer."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 8))
+    rows = [(str(i), Vectors.dense(x[i].tolist()), int(x[i, 0] * x[i, 1] + x[i, 2] > 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, ["key", "features", "label"])
+    binned = tr.bin_rows(df, tr.bin_edges(df, 8, 8))
+    rules = tr.Rules(max_depth=3, max_features="sqrt")
+    few = tr.Grower(binned, 8, 8, rules, tr.Draw(bootstrap=True), cells=2 * 8 * 8)
+    many = tr.Grower(binned, 8, 8, rules, tr.Draw(bootstrap=True))
+    assert few.forest(4) == many.forest(4)
+    assert many.passes == 3 and few.passes <= 4
