@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -210,12 +210,11 @@ def _refined(lists: DataFrame, nodes: DataFrame, width: int, k: int, near: float
     rows = around.join(known, "a").select("w", "a", "bar", "vector")
     found = rows.repartition("w").sortWithinPartitions("w").mapInArrow(_join_lists(width, k), "u long, v long, s float")
     open_list = F.col("near") < k
-    seen = Observation()
-    better = _top(_entries(lists, 0, near).union(_entries(found, 1, near)), k).observe(
-        seen, F.sum("new").alias("new"), F.sum(F.when(open_list, F.col("new") * F.col("close"))).alias("new_close"), F.sum(F.when(open_list, F.col("close"))).alias("close")
-    )
-    better, _ = stored.put(better)
-    count = seen.get
+    better, _ = stored.put(_top(_entries(lists, 0, near).union(_entries(found, 1, near)), k))
+    # Three narrow columns of the stored lists; ``DataFrame.observe`` would leave the session unserialisable for later jobs.
+    count = better.agg(
+        F.sum("new").alias("new"), F.sum(F.when(open_list, F.col("new") * F.col("close"))).alias("new_close"), F.sum(F.when(open_list, F.col("close"))).alias("close")
+    ).first()
     return better, count["new"] or 0, (count["new_close"] or 0) <= SETTLED * (count["close"] or 0)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,15 +150,14 @@ def dropped_by_target(df: DataFrame, target: str) -> DataFrame:
 def write_valid(df: DataFrame, target: str, path: str, expected: int | None = None) -> DataFrame:
     """Write the rows with a valid target and return (rows_before, rows_kept, rows_dropped, expected, unchanged) as one row.
 
-    The counts are taken by the pass that writes (``DataFrame.observe``), not by a scan of their own. ``expected`` is compared with the
-    rows before; without it ``unchanged`` is null.
+    Rows before are counted without reading a column that the plan does not need, rows kept from the files written. ``expected`` is
+    compared with the rows before; without it ``unchanged`` is null. ``DataFrame.observe`` would count while writing, but leaves a part in
+    the session that cannot be serialised, and Spark's models with a training summary then fail in every later job.
     """
-    counts = Observation()
-    kept = F.coalesce(as_number(df, target).isin(0.0, 1.0), F.lit(False))
-    seen = df.observe(counts, F.count(F.lit(1)).alias("before"), F.count(F.when(kept, 1)).alias("kept"))
-    valid_target(seen, target).write.mode("overwrite").parquet(path)
-    got = counts.get
-    row = (got["before"], got["kept"], got["before"] - got["kept"], expected, None if expected is None else got["before"] == expected)
+    before = df.count()
+    valid_target(df, target).write.mode("overwrite").parquet(path)
+    kept = df.sparkSession.read.parquet(path).count()
+    row = (before, kept, before - kept, expected, None if expected is None else before == expected)
     return df.sparkSession.createDataFrame([row], "rows_before long, rows_kept long, rows_dropped long, expected long, unchanged boolean")
 
 
