@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
-from riskloom.llm.shared import Stored, fresh, read
+from riskloom.llm.shared import Stored, fresh, give_back, read
 
 #: Words of a shingle and the largest number of differing bits, as the contract gives them.
 SHINGLE = 4
@@ -69,6 +69,7 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
         for batch in batches:
             found = [fingerprint_of(x.as_py(), shingle) for x in batch]
             yield pa.array(np.array(found, dtype=np.uint64).view(np.int64), type=pa.int64())
+        give_back()
 
     return digest(text.cast("binary"))
 
@@ -209,6 +210,7 @@ def _search(limit: int):
             key, seg, fp = (np.concatenate(x) for x in zip(*held, strict=True))
             if len(key):
                 yield answer(key, seg, fp)
+        give_back()
 
     return search
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.shared import Stored, held_out, per_process, read
+from riskloom.llm.shared import Stored, give_back, held_out, per_process, read
 
 #: Labelled texts taken per class for fitting, those with the smallest digests of their ids.
 TRAIN_TEXTS = 3_000
@@ -303,6 +303,7 @@ def logits_of(spark: SparkSession, machine: Machine, text: Column) -> Column:
             for at in range(0, len(batch), 256):
                 found += scorer.texts(batch.slice(at, 256).to_pylist())
             yield pa.array(found, type=pa.float64())
+        give_back()
 
     return margin(text)
 

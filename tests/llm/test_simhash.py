@@ -106,3 +106,28 @@ def test_components_of_a_long_path_and_a_hub(shared):
     df = shared.createDataFrame(edges, "a long, b long").where("a is not null")
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {**dict.fromkeys(range(201), 0), **dict.fromkeys(range(1000, 1300), 1000)}
+
+
+def test_workers_give_back_what_they_freed():
+    """A kept Python worker returns freed memory to the system, so that one stage's does not count beside the next."""
+    import gc
+    import sys
+
+    import pytest
+
+    from riskloom.llm.shared import give_back
+
+    if sys.platform != "linux":
+        pytest.skip("sizes are read from /proc")
+
+    def held() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    texts = [bytes(1000) for _ in range(200_000)]
+    last = bytes(1000)  # keeps the end of the heap in use, so that only a trim returns what lies before
+    del texts
+    gc.collect()
+    before = held()
+    give_back()
+    assert last and before - held() > 50_000_000
