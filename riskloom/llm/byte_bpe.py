@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.merges import LONG, PairTable, merge_long, merge_padded
-from riskloom.llm.shared import fresh, per_process, read
+from riskloom.llm.shared import fresh, give_back, per_process, read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Encoded chunks kept per Python worker; the store is emptied when it is full.
-KEPT_CHUNKS = 300_000
+#: Encoded chunks kept per Python worker, some 70 MB; the store outlives the task and is emptied when it is full.
+KEPT_CHUNKS = 100_000
 #: Rows of one matrix.
 GROUP = 20_000
 #: A space that is followed by white space or the end: there a match may reach over more than one space.
@@ -145,7 +145,11 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", o
             for at in range(0, len(batch), 256):
                 found += [np.frombuffer(b, dtype="<i4") for b in coder.encode(batch.slice(at, 256).to_pylist())]
             ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *found])))
+            flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *found]))
+            del found
+            yield pa.ListArray.from_arrays(pa.array(ends), flat)
+            del flat
+        give_back()
 
     return docs.withColumn(out, ids(F.col(text)))
 
@@ -189,6 +193,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text",
                 [pa.array(counts, type=pa.int64()), pa.array(of_ids, type=pa.string()), pa.array(of_text, type=pa.string())],
                 names=["n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        give_back()
 
     return docs.withColumn(out, digests(F.col(text)))
 

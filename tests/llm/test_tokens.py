@@ -57,3 +57,14 @@ def test_columns(shared, library):
     with pytest.raises(ValueError):
         token_counts.count_tokens(df, PIECES, out="KNOWN")
     assert token_counts.count_tokens(df.limit(0), PIECES).count() == 0
+
+
+def test_an_encoder_that_travels_to_two_tasks_is_built_once():
+    from pyspark import cloudpickle
+
+    sent = cloudpickle.dumps(byte_bpe.encoder)
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+    one, two = (cloudpickle.loads(sent)(path, public_tokenizers.PATTERN) for _ in range(2))
+    assert one is two
+    other = cloudpickle.loads(cloudpickle.dumps(byte_bpe.encoder))(path, r"\s+|\S+")
+    assert other is not one and other.pattern.pattern == r"\s+|\S+"
