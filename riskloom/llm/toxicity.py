@@ -140,6 +140,10 @@ class Part:
     slope: float = 1.0
     shift: float = 0.0
 
+    def logit(self, similarity: np.ndarray | float) -> np.ndarray | float:
+        """The logit that belongs to a normalised sum of weights."""
+        return self.slope * (self.bias + similarity) + self.shift
+
 
 @dataclass
 class Machine:
@@ -152,7 +156,7 @@ class Machine:
     @property
     def bias(self) -> float:
         """The logit of a text without any token."""
-        return max(p.slope * p.bias + p.shift for p in (self.tokens, self.windows))
+        return max(p.logit(0.0) for p in (self.tokens, self.windows))
 
 
 def _norms() -> np.ndarray:
@@ -164,40 +168,46 @@ def _norms() -> np.ndarray:
 
 
 class _Table:
-    """The weights of one machine in the shapes that the stream looks them up in."""
+    """The weights of both machines in the shapes that the stream looks them up in: the tokens' as real parts, the windows' as imaginary ones."""
 
-    def __init__(self, part: Part):
-        cube = part.weights.reshape(CLASSES, CLASSES, CLASSES)
-        self.part, self.flat = part, part.weights
+    def __init__(self, machine: Machine):
+        self.flat = np.empty(CLASSES**3, dtype=np.complex64)
+        self.flat.real, self.flat.imag = machine.tokens.weights, machine.windows.weights
+        cube = self.flat.reshape(CLASSES, CLASSES, CLASSES)
         # Triples that begin with the start mark or end with the end mark, as tables of two characters; and those that do both.
-        self.start, self.end, self.both = np.ascontiguousarray(cube[1]), np.ascontiguousarray(cube[:, :, 2]), cube[1, :, 2].astype(np.float64)
+        self.start, self.end, self.both = cube[1].ravel(), cube[:, :, 2].ravel(), cube[1, :, 2].astype(np.complex128)
+
+    def ends(self, c: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the first and the last letter of a window add to its sum, per number of letters (more than SPREAD - 1 count as that) and
+        token, and what the triples with both marks add, per number of letters and first token.
 
-    def sums(self, c: np.ndarray) -> dict[int, np.ndarray]:
-        """Per spread b, running sums of what the triples that begin at each letter weigh."""
-        out, m = {}, len(c)
+        The triples inside a window are those that begin at or behind its first letter less those that begin too late to end in it.
+        """
+        m = len(c)
+        first, last, whole = np.zeros((3, SPREAD, len(begin)), dtype=np.complex128)
+        left, middle = c * CLASSES**2, c * CLASSES
+        # The first and last letters of every token on; where the stream ends before, no window asks.
+        heads = [c[np.minimum(begin + k, m - 1)] for k in range(SPREAD - 1)]
+        tails = [c[np.maximum(finish - 1 - k, 0)] for k in range(SPREAD - 1)]
         for b in range(2, SPREAD):
-            v = np.zeros(m + 1)
+            run = np.zeros(m + 1, dtype=np.complex128)
             if m > b:
-                total = np.zeros(m - b)
+                outer, total = left[: m - b] + c[b:], run[1 : m - b + 1]
                 for a in range(1, b):
-                    total += self.flat[(c[: m - b] * CLASSES + c[a : m - b + a]) * CLASSES + c[b:]]
-                v[1 : m - b + 1] = total * DECAY ** (b - 2)
-            out[b] = np.cumsum(v)
-        return out
-
-    def logits(self, c: np.ndarray, sums: dict[int, np.ndarray], p: np.ndarray, q: np.ndarray, norms: np.ndarray) -> np.ndarray:
-        """The logits of the windows of letters p to q - 1."""
-        n = q - p
-        total = np.zeros(len(p))
-        fits = whole = None
-        for b in range(2, SPREAD):
-            total += sums[b][np.maximum(q - b, p)] - sums[b][p]
-            fits, whole = np.flatnonzero(n >= b), np.flatnonzero(n + 1 == b)
-            x, y, z = p[fits], q[fits], p[whole]
+                    total += self.flat.take(outer + middle[a : m - b + a])
+            run = np.cumsum(run, out=run)
+            inside = run[np.maximum(finish - b, 0)]
+            marked, closed = -run[begin], self.both[heads[0]]
             for a in range(1, b):
-                total[fits] += DECAY ** (b - 2) * (self.start[c[x + a - 1], c[x + b - 1]] + self.end[c[y - b], c[y - b + a]])
-                total[whole] += DECAY ** (b - 2) * self.both[c[z + a - 1]]
-        return self.part.slope * (self.part.bias + total / norms[n]) + self.part.shift
+                marked += self.start.take(heads[a - 1] * CLASSES + heads[b - 1])
+                inside += self.end.take(tails[b - 1] * CLASSES + tails[b - 1 - a])
+                if a > 1:
+                    closed += self.both[heads[a - 1]]
+            # A window of n letters holds the spreads of up to n.
+            weight = DECAY ** (b - 2)
+            first[b], last[b] = first[b - 1] + weight * marked, last[b - 1] + weight * inside
+            whole[b - 1] = weight * closed
+        return first, last, whole
 
 
 class Scorer:
@@ -206,7 +216,7 @@ class Scorer:
     def __init__(self, machine: Machine):
         self.machine = machine
         self.alphabet = Alphabet(machine.tokens.characters)
-        self.tokens, self.windows = _Table(machine.tokens), _Table(machine.windows)
+        self.table = _Table(machine)
         self.norms = _norms()
 
     def texts(self, texts: list[str | None]) -> list[float]:
@@ -261,18 +271,23 @@ class Scorer:
         begin = np.flatnonzero(new)
         finish = np.append(begin[1:], m)
         best = np.full(len(held), -np.inf)
-        np.maximum.at(best, text[begin], self.tokens.logits(c, self.tokens.sums(c), begin, finish, self.norms))
-        last = np.searchsorted(text, text[begin], "right")  # end of the letters of the token's text
-        sums = self.windows.sums(c)
+        first, last, whole = self.table.ends(c, begin, finish)
+        ends = np.searchsorted(text, text[begin], "right")  # end of the letters of the token's text
         tokens = np.arange(len(begin))
-        upto = tokens.copy()
+        upto, single = tokens.copy(), True
         # Round k looks at the windows of k + 1 tokens that are still short enough.
         while len(tokens):
-            p, q = begin[tokens], finish[upto]
-            ok = (q - p <= WINDOW) & (q <= last[tokens])
-            tokens, upto, p, q = tokens[ok], upto[ok], p[ok], q[ok]
+            n = finish[upto] - begin[tokens]
+            ok = (n <= WINDOW) & (finish[upto] <= ends[tokens])
+            tokens, upto, n = tokens[ok], upto[ok], n[ok]
             if len(tokens):
-                np.maximum.at(best, text[p], self.windows.logits(c, sums, p, q, self.norms))
+                most = np.minimum(n, SPREAD - 1)
+                total = (first[most, tokens] + last[most, upto] + whole[most, tokens]) / self.norms[n]
+                of = text[begin[tokens]]
+                if single:
+                    np.maximum.at(best, of, self.machine.tokens.logit(total.real))
+                np.maximum.at(best, of, self.machine.windows.logit(total.imag))
+            single = False
             upto = upto + 1
             more = upto < len(begin)
             tokens, upto = tokens[more], upto[more]
