@@ -245,10 +245,21 @@ class Cells:
             for row in np.logical_or.reduceat(near[:, order], starts, axis=1):
                 yield names[row].astype("int32")
 
+    def _to_pivots(self, x: np.ndarray, metric: str, farthest: bool) -> np.ndarray:
+        """Distances of rows to pivots that are never too great (for the farthest: too small), from one product where that is safe."""
+        if metric != "l1":
+            with np.errstate(over="ignore", invalid="ignore"):
+                lengths = (x * x).sum(1)[:, None] + (self.pivots * self.pivots).sum(1)
+                error = (x.shape[1] + 8) * 4.5e-16 * lengths
+                square = lengths - 2 * (x @ self.pivots.T) + (error if farthest else -error)
+            if np.isfinite(square).all():
+                return np.sqrt(np.maximum(square, 0))
+        return _distances(x, self.pivots, metric)
+
     def _reach(self, x: np.ndarray, metric: str, farthest: bool) -> np.ndarray:
         """Bound of the distance to any row of a cell: the least one, or the greatest one negated."""
         if self.box is None:
-            d = _distances(x, self.pivots, metric)
+            d = self._to_pivots(x, metric, farthest)
             slack = SLACK * (1 + self.radius + d)
             return -(d + self.radius + slack) if farthest else d - self.radius - slack
         low, high = self.box

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom import runtime
 from riskloom.functions import ordering, tails
 from riskloom.functions.hashing import draw_hash, hash_cutoffs, normal, uniform
-from riskloom.operators import metrics, split
+from riskloom.operators import metrics, neighbors, split
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +167,27 @@ def test_ks_method_is_asked_for():
     assert tails.ks_two_sided(0.3, 40, 40, "exact") == tails.ks_exact(0.3, 40, 40)
     with pytest.raises(ValueError):
         tails.ks_two_sided(0.3, 40, 40, "auto")
+
+
+def test_distances_to_pivots_leave_no_cell_out():
+    rng = np.random.default_rng(8)
+    for shift, scale in ((0.0, 1.0), (1e6, 1.0), (0.0, 1e-12), (-3.0, 1e160)):
+        pivots = (rng.normal(size=(40, 30)) + shift) * scale
+        x = np.vstack([pivots[:5], (rng.normal(size=(20, 30)) + shift) * scale])
+        cells = neighbors.Cells(pivots, np.ones(40), np.ones(40, dtype=int), np.arange(40))
+        with np.errstate(over="ignore"):
+            true = neighbors._distances(x, pivots, "l2")
+            near, far = cells._to_pivots(x, "l2", False), cells._to_pivots(x, "l2", True)
+        assert (near <= true * (1 + 1e-12)).all() and (far >= true * (1 - 1e-12)).all()
+        if shift < 10:
+            assert np.allclose(near, true, rtol=1e-6, atol=1e-5 * scale) and np.allclose(far, true, rtol=1e-6, atol=1e-5 * scale)
+    x[0, 0] = np.inf
+    assert np.isinf(cells._to_pivots(x, "l2", False)[0]).all()
+
+
+def test_distances_to_pivots_come_from_a_product(monkeypatch):
+    rng = np.random.default_rng(9)
+    cells = neighbors.Cells(rng.normal(size=(40, 30)), np.ones(40), np.ones(40, dtype=int), np.arange(40))
+    monkeypatch.setattr(neighbors, "_distances", None)  # one pass per dimension
+    found = list(cells.within(rng.normal(size=(7, 30)), np.full(7, np.inf), "l2", False))
+    assert [x.tolist() for x in found] == [list(range(40))] * 7
