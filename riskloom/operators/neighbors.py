@@ -28,6 +28,7 @@ BLOCK_ROWS = 32768
 FEW_DIMENSIONS = 24  # up to here boxes are kept and cells are small
 CELL_ROWS = 4096  # rows of a cell in few dimensions; in many nothing can be left out, and larger cells are handed on less often
 ELEMENTS = 2_000_000  # of the matrices held at a time
+TILE = (256, 2048)  # rows and columns of the cheap matrix looked at together, so that it stays in the processor's cache
 SLACK = 1e-9
 
 
@@ -50,8 +51,9 @@ def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return out if metric == "l1" else np.sqrt(out)
 
 
-def _product_filter(a: np.ndarray, b: np.ndarray, sign: int) -> Callable | None:
-    """For rows i.. of ``a`` and their bounds: signed squared distances without the query's own part, limits, and twice the error."""
+def _product_filter(a: np.ndarray, b: np.ndarray, sign: int) -> tuple[Callable, Callable] | None:
+    """Signed squared distances without the query's own part of rows i..j of ``a`` and rows c..d of ``b``, padded to a
+    multiple of eight; and for the rows' bounds the limits and twice the error."""
     middle = b.mean(0)
     a, b = a - middle, b - middle
     scale = max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) or 1.0
@@ -65,15 +67,18 @@ def _product_filter(a: np.ndarray, b: np.ndarray, sign: int) -> Callable | None:
     right[: len(b), -1] = theirs
     left = sign * np.hstack([-2 * a, np.ones((len(a), 1))]).astype("float32")
 
-    def some(i: int, j: int, bound: np.ndarray):
+    def keys(i: int, j: int, c: int, d: int):
+        return left[i:j] @ right[c:d].T
+
+    def edges(i: int, j: int, bound: np.ndarray):
         with np.errstate(over="ignore"):
             limit = np.where(np.isfinite(bound), sign * (bound / scale) ** 2 - sign * own[i:j] + error[i:j], 1e38)
-        return left[i:j] @ right.T, np.minimum(limit, 1e38), 2 * error[i:j]
+        return np.minimum(limit, 1e38), 2 * error[i:j]
 
-    return some
+    return keys, edges
 
 
-def _short_filter(a: np.ndarray, b: np.ndarray, sign: int) -> Callable | None:
+def _short_filter(a: np.ndarray, b: np.ndarray, sign: int) -> tuple[Callable, Callable] | None:
     """The same for l1: signed sums of absolute differences of coordinates rounded to a common grid of 16 bits."""
     low = np.minimum(a.min(0), b.min(0))
     total = (np.maximum(a.max(0), b.max(0)) - low).sum()
@@ -85,23 +90,25 @@ def _short_filter(a: np.ndarray, b: np.ndarray, sign: int) -> Callable | None:
     right = np.zeros((width, len(b) + -len(b) % 8), dtype="int16")
     right[:, : len(b)] = np.rint((b - low) * scale).T
 
-    def some(i: int, j: int, bound: np.ndarray):
-        key = np.zeros((j - i, right.shape[1]), dtype="int16")
-        for c in range(0, right.shape[1], 4096):
-            for r in range(0, j - i, 128):
-                out = key[r : r + 128, c : c + 4096]
-                gap = np.empty(out.shape, dtype="int16")
-                for x, y in zip(left[:, i + r : min(j, i + r + 128), None], right[:, None, c : c + 4096]):
-                    np.subtract(x, y, out=gap)
-                    np.abs(gap, out=gap)
-                    np.add(out, gap, out=out)
+    def keys(i: int, j: int, c: int, d: int):
+        key = np.zeros((j - i, min(d, right.shape[1]) - c), dtype="int16")
+        for r in range(0, j - i, 128):
+            out = key[r : r + 128]
+            gap = np.empty(out.shape, dtype="int16")
+            for x, y in zip(left[:, i + r : min(j, i + r + 128), None], right[:, None, c:d]):
+                np.subtract(x, y, out=gap)
+                np.abs(gap, out=gap)
+                np.add(out, gap, out=out)
         if sign < 0:
             np.negative(key, out=key)
-        key[:, len(b) :] = 32767
+        key[:, max(0, len(b) - c) :] = 32767
+        return key
+
+    def edges(i: int, j: int, bound: np.ndarray):
         limit = np.where(np.isfinite(bound), np.ceil(np.minimum(bound * scale, 32766)) + width + 2, 32766)
-        return key, np.clip(limit, -32767, 32766), np.full(j - i, 2 * (width + 2))
+        return np.clip(limit, -32767, 32766), np.full(j - i, 2 * (width + 2))
 
-    return some
+    return keys, edges
 
 
 def _hits(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,21 +127,14 @@ def block_top(
     bound = np.full(len(a), np.inf) if bound is None else bound
     cheap = (_short_filter if metric == "l1" else _product_filter)(a, b, sign)
     found = [(np.empty(0, dtype=int), np.empty(0, dtype=int), np.empty(0))]
-    step = max(1, ELEMENTS // max(1, len(b)))
+    most = ELEMENTS if cheap is None else TILE[0] * TILE[1]
+    step = max(1 if cheap is None else TILE[0], most // max(1, len(b)))
     for i in range(0, len(a), step):
         j = min(len(a), i + step)
         if cheap is None:
             row, col = (x.ravel() for x in np.indices((j - i, len(b))))
         else:
-            key, limit, error = cheap(i, j, bound[i:j])
-            open_ended = ~np.isfinite(bound[i:j])
-            if len(b) > k and open_ended.any():
-                # The k-th best of a part, and where that leaves many, of more of them.
-                seen = min(len(b), max(1024, 8 * k))
-                edge = np.partition(key[open_ended][:, :seen], k - 1, axis=1)[:, k - 1] + error[open_ended]
-                limit[open_ended] = np.minimum(limit[open_ended], edge)
-            limit = np.nextafter(limit.astype("float32"), np.float32(np.inf)) if key.dtype == np.float32 else limit.astype("int16")
-            row, col = _hits(key <= limit[:, None])
+            row, col = _candidates(*cheap, i, j, len(b), k, bound[i:j])
         dist = np.empty(len(row))
         for x in range(0, len(row), ELEMENTS // 8):
             part = slice(x, x + ELEMENTS // 8)
@@ -149,6 +149,37 @@ def block_top(
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _candidates(keys: Callable, edges: Callable, i: int, j: int, n: int, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of rows i..j with the ``n`` others that can be among a row's ``k`` best within its bound, and of few more."""
+    limit, error = edges(i, j, bound)
+    open_ended = np.flatnonzero(~np.isfinite(bound)) if n > k else np.empty(0, dtype=int)
+    seen = min(n, max(1024, 8 * k))
+    wide = max(TILE[1], seen + -seen % 8)
+    found = []
+    for c in range(0, n, wide):
+        key = keys(i, j, c, c + wide)
+        if not c and len(open_ended):
+            # The k-th best of a part bounds the k-th best of all.
+            edge = np.partition(key[open_ended, :seen], k - 1, axis=1)[:, k - 1] + error[open_ended]
+            limit[open_ended] = np.minimum(limit[open_ended], edge)
+        if not c:
+            limit = np.nextafter(limit.astype("float32"), np.float32(np.inf)) if key.dtype == np.float32 else limit.astype("int16")
+        row, col = _hits(key <= limit[:, None])
+        found.append((row, col + c, key[row, col]))
+    row, col, key = (np.concatenate(x) for x in zip(*found))
+    if len(row) > 4 * k * (j - i):
+        # Where a part left many, the k-th best of those bounds the k-th best of all more closely.
+        order = np.lexsort((key, row))
+        row, col, key = row[order], col[order], key[order].astype(float)
+        first, last = np.searchsorted(row, np.arange(j - i)), np.searchsorted(row, np.arange(j - i), "right")
+        full = np.flatnonzero(last - first >= k)
+        edge = np.full(j - i, np.inf)
+        edge[full] = np.nextafter((key[first[full] + k - 1] + error[full]).astype("float32"), np.float32(np.inf))
+        keep = key <= edge[row]
+        row, col = row[keep], col[keep]
+    return row, col
+
+
 def _gathered(a: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, metric: str) -> np.ndarray:
     out = np.empty(len(row))
     step = max(1, ELEMENTS // max(1, a.shape[1]))
