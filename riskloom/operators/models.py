@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import (
@@ -341,15 +341,17 @@ class FourierFeatures(_Columns, Transformer):
         s = self.fitted()
         source, target = self.getInputCols()[0], self.getOutputCols()[0]
 
-        @F.pandas_udf("array<double>")
-        def project(v: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<double>")
+        def project(v: pa.Array) -> pa.Array:
             rng = np.random.RandomState(s["seed"])
             w = rng.normal(scale=math.sqrt(2 * s["gamma"]), size=(s["width"], s["components"]))
             b = rng.uniform(0, 2 * math.pi, size=s["components"])
-            if not len(v):
-                return pd.Series([], dtype=object)
-            x = np.stack(v.to_numpy())
-            return pd.Series(list(np.cos(x @ w + b) * math.sqrt(2.0 / s["components"])))
+            # As two flat lists of numbers, without an object per row.
+            out = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), s["width"]) @ w
+            out += b
+            np.cos(out, out=out)
+            out *= math.sqrt(2.0 / s["components"])
+            return pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype="int32") * s["components"], out.ravel())
 
         return df.withColumn(target, array_to_vector(project(vector_to_array(source))))
 
@@ -404,7 +406,8 @@ class KernelSvc(Estimator):
         ).fit(data)
         machine = without_summary(machine)
         to_margin = MarginVector(inputCols=["_svcraw"], outputCols=["_margin"])
-        margins = to_margin.transform(machine.transform(data))
+        # Stored, because scaling reads the margins several times, and each would project every row again.
+        margins = materialize(to_margin.transform(machine.transform(data)).select("_margin", "label"), "margins")
         platt = without_summary(LogisticRegression(featuresCol="_margin", labelCol="label").fit(margins))
         tidy = CalibratedOutput(inputCols=["_margin"], outputCols=["_margin"])
         return PipelineModel(stages=[*stages, machine, to_margin, platt, tidy])
