@@ -9,6 +9,10 @@ sibling, in the same grouped sum.
 The driver holds nodes, one best split each, never cells or rows. A pass counts at most ``CELLS`` cells, more nodes take more
 passes. A tree stops at ``MAX_NODES`` nodes with an error, because the tasks walk it in memory.
 
+Boosting asks for many trees, one after another. Rows of equal bins, label and weight always have equal margins and gradients, so
+where a table has at most ``PATTERNS`` such patterns, the tasks only count how often each tree's draw takes each pattern, many trees
+in a pass, and the sequence is grown over the patterns. Other tables take a pass per level of every tree.
+
 Random choices (bootstrap counts, row and feature shares) are digests of row keys, tree and node numbers, so a task that is run again
 after a lost executor gives the same cells.
 """
@@ -19,7 +23,7 @@ import heapq
 import json
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
@@ -32,11 +36,15 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.ordering import exact_quantiles
 from riskloom.operators.features import _Columns
-from riskloom.runtime import materialize
+from riskloom.runtime import collect_bounded, materialize
 
 CELLS = 1 << 21  # cells one task counts at once
 MAX_NODES = 1 << 22
 STORE_EVERY = 8  # boosted trees between two stored margins
+PATTERNS = 1 << 16  # different rows up to which boosting grows over patterns
+TALLIES = 1 << 20  # counts of (tree, pattern) brought to the driver at once
+TALLY_ROWS = 1 << 18  # rows counted together
+SCORES = 1 << 20  # combinations of bins up to which a scoring task keeps what it has summed
 
 
 @dataclass(frozen=True)
@@ -407,11 +415,13 @@ class Grower:
         group = max(2, self.cells // (counted * self.bins))
         for start in range(0, len(nodes), group):
             part = list(nodes[start : start + group])
-            cells = self._cells(trees, part, self._features(part, chosen, features), list(pending), by_sibling)
-            for r in best_splits(cells, self.rules).collect():
-                found[part[r["slot"]]] = r.asDict()
+            for r in self._best(trees, part, self._features(part, chosen, features), list(pending), by_sibling):
+                found[part[r["slot"]]] = r
         return found
 
+    def _best(self, trees, part, features, pending, by_sibling) -> list[dict]:
+        return [r.asDict() for r in best_splits(self._cells(trees, part, features, pending, by_sibling), self.rules).collect()]
+
     def _features(self, part, chosen, features) -> np.ndarray:
         """The features that every node may be split by, rising, one row per node."""
         pool = np.arange(self.width) if features is None else np.array(sorted(features))
@@ -546,6 +556,139 @@ class Grower:
         return order, leaves, []
 
 
+@dataclass
+class Patterns:
+    """The different rows (bins, y, w) of a table of binned rows, and the table as (uid, pattern)."""
+
+    rows: DataFrame
+    x: np.ndarray
+    y: np.ndarray
+    w: np.ndarray
+
+    @classmethod
+    def of(cls, rows: DataFrame, width: int, most: int) -> "Patterns | None":
+        """None if there are more than ``most``."""
+        spark, what = rows.sparkSession, ["bins", "y", "w"]
+        if rows.agg(F.approx_count_distinct(F.xxhash64(*what))).first()[0] > 2 * most:
+            return None
+        found = collect_bounded(rows.select(*what).distinct(), most)
+        if found is None:
+            return None
+        # In an order of their own, so that sums do not depend on partitioning.
+        found.sort(key=lambda r: (bytes(r["bins"]), str(r["y"]), str(r["w"])))
+        table = spark.createDataFrame([(i, *r) for i, r in enumerate(found)], "pattern int, b binary, py double, pw double")
+        same = F.col("bins").eqNullSafe(F.col("b")) & F.col("y").eqNullSafe(F.col("py")) & F.col("w").eqNullSafe(F.col("pw"))
+        # A task gets few patterns and all of their rows, a pattern of many rows goes to several tasks.
+        dealt = rows.join(F.broadcast(table), same).select("uid", "pattern").repartitionByRange(2 * spark.sparkContext.defaultParallelism, "pattern", "uid")
+        x = np.frombuffer(b"".join(bytes(r["bins"]) for r in found), np.uint8).reshape(len(found), width)
+        y, w = (np.array([r[c] for r in found], np.float64) for c in ("y", "w"))
+        return cls(materialize(dealt, "patterns"), x, y, w)
+
+    def tallies(self, draw: Draw, trees: Sequence[int]) -> Iterator[np.ndarray]:
+        """Per tree the number of drawn rows of every pattern; as many trees share a pass as ``TALLIES`` allows."""
+        many = len(self.y)
+        group = max(1, TALLIES // max(1, many)) if draw.share < 1 else len(trees)
+        for start in range(0, len(trees), group):
+            part = list(trees[start : start + group])
+            asked = part if draw.share < 1 else part[:1]  # without a draw all trees count the same
+            out = np.zeros((len(asked), many), np.int64)
+            for r in self.rows.mapInArrow(partial(_tally, draw=draw, trees=asked), "at int, low int, counts binary").toLocalIterator():
+                counts = np.frombuffer(r["counts"], np.int64)
+                out[r["at"], r["low"] : r["low"] + len(counts)] += counts
+            for i in range(len(part)):
+                yield out[i if draw.share < 1 else 0]
+
+
+def _tally(batches: Iterator[pa.RecordBatch], draw: Draw, trees: list[int]) -> Iterator[pa.RecordBatch]:
+    """Drawn rows per tree (``at`` in ``trees``) and pattern, from the pattern ``low`` on, of this task."""
+    low, counts, held, rows = 0, np.zeros((len(trees), 0), np.int64), [], 0
+
+    def count(low, counts):
+        uid, pattern = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        first, last = int(pattern.min()), int(pattern.max()) + 1
+        if counts.shape[1]:
+            first, last = min(first, low), max(last, low + counts.shape[1])
+        wider = np.zeros((len(trees), last - first), np.int64)
+        wider[:, low - first : low - first + counts.shape[1]] = counts
+        for i, t in enumerate(trees):
+            drawn = draw.counts(uid, t)
+            wider[i] += np.bincount((pattern if drawn is None else pattern[drawn > 0]) - first, minlength=last - first)
+        return first, wider
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "pattern")])
+            rows += batch.num_rows
+        if rows >= TALLY_ROWS:
+            low, counts = count(low, counts)
+            held, rows = [], 0
+    if held:
+        low, counts = count(low, counts)
+    for i in range(len(trees) if counts.shape[1] else 0):
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([low], pa.int32()), pa.array([counts[i].tobytes()], pa.binary())], ["at", "low", "counts"])
+
+
+class PatternGrower(Grower):
+    """Grows one tree over patterns: ``n`` rows each, with sums ``first`` and ``second``."""
+
+    def __init__(self, x: np.ndarray, n: np.ndarray, first: np.ndarray, second: np.ndarray, bins: int, rules: Rules, draw: Draw, cells: int = CELLS, max_nodes: int = MAX_NODES):
+        super().__init__(None, x.shape[1], bins, rules, draw, cells, max_nodes)
+        held = np.flatnonzero(n)
+        self.x, self.n, self.sums = np.ascontiguousarray(x[held]), n[held], (first[held], second[held])
+
+    def _best(self, trees, part, features, pending, by_sibling) -> list[dict]:
+        ((t, tree),) = trees.items()
+        slots = np.full(len(tree.feature), -1, np.int64)
+        for s, (_, node) in enumerate(part):
+            slots[node] = s
+        slot = slots[walk(_arrays(tree), self.x)]
+        rows = np.flatnonzero(slot >= 0)
+        slot, shape = slot[rows], (len(part), features.shape[1], self.bins)
+        cells = np.zeros((3, *shape))
+        for c in range(shape[1]):
+            at = slot * self.bins + self.x[rows, features[slot, c]]
+            for out, values in zip(cells, (self.n, *self.sums), strict=True):
+                out[:, c] = np.bincount(at, values[rows], len(part) * self.bins).reshape(len(part), self.bins)
+        self.passes += 1
+        return [r for s in range(len(part)) if (r := best_split(cells[:, s], features[s], self.rules)) is not None and not r.update(slot=s)]
+
+
+def best_split(cells: np.ndarray, features: np.ndarray, rules: Rules) -> dict | None:
+    """What ``best_splits`` finds for one slot, from its cells (n, a, b by feature and bin); None if it has no rows."""
+    at, bin_ = np.nonzero(cells[0] > 0)
+    if not len(at):
+        return None
+    n, a, b = ({"l": np.cumsum(c, 1)[at, bin_], "t": c.sum(1)[at]} for c in cells)
+    rest = {k: s["t"] - s["l"] for k, s in (("n", n), ("a", a), ("b", b))}
+    gain = _losses(a["t"], b["t"], rules) - _losses(a["l"], b["l"], rules) - _losses(rest["a"], rest["b"], rules)
+    fair = (n["l"] >= rules.min_samples_leaf) & (rest["n"] >= rules.min_samples_leaf) & (rest["n"] > 0)
+    if rules.criterion == "second_order":
+        fair &= (b["l"] >= rules.min_child_weight) & (rest["b"] >= rules.min_child_weight) & (gain > max(rules.gamma, 1e-6))
+        size = b["t"] + rules.reg_lambda
+    else:
+        fair &= (a["t"] > 0) & (b["t"] > 0)
+        size = a["t"] + b["t"]
+    fair &= ~np.isnan(gain)
+    gain = np.where(np.isnan(gain), 0.0, gain)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = np.where(size == 0, -np.inf, np.round(gain / size, 10))
+    best = np.lexsort((-bin_, -features[at], share, fair))[-1]
+    out = {"allowed": bool(fair[best]), "feature": int(features[at[best]]), "bin": int(bin_[best]), "gain": float(gain[best])}
+    out |= {k: float(s["t"][best]) for k, s in (("a", a), ("b", b))} | {f"{k}l": float(s["l"][best]) for k, s in (("a", a), ("b", b))}
+    return out | {"n": int(n["t"][best]), "nl": int(n["l"][best])}
+
+
+def _losses(a: np.ndarray, b: np.ndarray, rules: Rules) -> np.ndarray:
+    """``loss`` of many leaves; NaN where it is not defined."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if rules.criterion == "second_order":
+            shrunk = np.sign(a) * np.maximum(np.abs(a) - rules.reg_alpha, 0.0) if rules.reg_alpha else a
+            return np.where(b + rules.reg_lambda == 0, np.nan, -(shrunk**2) / (b + rules.reg_lambda))
+        if rules.criterion == "gini":
+            return np.where(a + b == 0, np.nan, 2 * a * b / (a + b))
+        return sum(np.where(x > 0, -x * np.log2(x / (a + b)), 0.0) for x in (a, b))
+
+
 def tree_parents(tree: Tree, node: int) -> list[int]:
     """The parent of ``node`` in a list, empty for the root."""
     if not hasattr(tree, "_parents"):
@@ -669,15 +812,35 @@ def _scorer(state: dict):
     trees = [(_arrays(Tree(**t)), np.array(v, np.float64)) for t, v in zip(state["trees"], state["values"])]
     edges = [np.array(e) for e in state["edges"]]
     boosted, rate = state["boosted"], state["rate"]
+    sizes = [len(e) + 1 for e in edges]
+    combinations = math.prod(sizes)
+    few = combinations <= SCORES
+    step = np.array([math.prod(sizes[:j]) for j in range(len(sizes))], np.int64) if few else None
+    kept: dict[str, np.ndarray] = {}
+
+    def summed(x: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x))
+        for tree, values in trees:
+            total += values[walk(tree, x)]
+        return total
+
+    def looked_up(x: np.ndarray) -> np.ndarray:
+        """The same sums; a combination of bins is summed when it is first met."""
+        if not kept:
+            kept["total"], kept["known"] = np.zeros(combinations), np.zeros(combinations, bool)
+        at = x @ step
+        new, first = np.unique(np.where(kept["known"][at], -1, at), return_index=True)
+        new, first = new[new >= 0], first[new >= 0]
+        if len(new):
+            kept["total"][new], kept["known"][new] = summed(x[first]), True
+        return kept["total"][at]
 
     @F.pandas_udf("double")
     def score(v: pd.Series) -> pd.Series:
         if not len(v):
             return pd.Series([], dtype="float64")
         x = _binned(np.stack(v.to_numpy()), edges)
-        total = np.zeros(len(x))
-        for tree, values in trees:
-            total += values[walk(tree, x)]
+        total = looked_up(x) if few else summed(x)
         return pd.Series(1 / (1 + np.exp(-rate * total)) if boosted else total / max(1, len(trees)))
 
     return score
@@ -719,22 +882,43 @@ class TreeLearner(Estimator):
 
     def _boost(self, rows: DataFrame, width: int) -> list[Tree]:
         """Trees on the gradients of the log loss; margins are stored every few trees and added up in the tasks between."""
+        # A bootstrap counts rows and how often they were drawn, which patterns do not tell apart.
+        patterns = Patterns.of(rows, width, PATTERNS) if self.trees > 1 and not self.draw.bootstrap else None
+        if patterns is not None:
+            return self._boost_patterns(patterns, width)
         made: list[Tree] = []
         pending: list = []
         for t in range(self.trees):
-            features = None
-            if self.columns < 1:
-                many = max(1, int(self.columns * width))
-                features = np.random.default_rng([self.draw.seed, t]).permutation(width)[:many].tolist()
-            grower = Grower(rows, width, self.bins, self.rules, replace(self.draw, seed=self.draw.seed))
-            tree = grower.forest(1, features, pending, first=t)[0]
+            grower = Grower(rows, width, self.bins, self.rules, self.draw)
+            tree = grower.forest(1, self._columns_of(t, width), pending, first=t)[0]
             made.append(tree)
-            values = np.array([self.rate * leaf_value(a, b, self.rules) for a, b in zip(tree.a, tree.b)])
-            pending.append((_arrays(tree), values))
+            pending.append((_arrays(tree), self._steps(tree)))
             if len(pending) == STORE_EVERY and t + 1 < self.trees:
                 rows, pending = _with_margins(rows, pending, width), []
         return made
 
+    def _boost_patterns(self, patterns: Patterns, width: int) -> list[Tree]:
+        made: list[Tree] = []
+        margin = np.zeros(len(patterns.y))
+        for t, n in enumerate(patterns.tallies(self.draw, range(self.trees))):
+            p = 1 / (1 + np.exp(-margin))
+            first, second = n * (patterns.w * (p - patterns.y)), n * (patterns.w * p * (1 - p))
+            tree = PatternGrower(patterns.x, n, first, second, self.bins, self.rules, self.draw).forest(1, self._columns_of(t, width), first=t)[0]
+            made.append(tree)
+            margin = margin + self._steps(tree)[walk(_arrays(tree), patterns.x)]
+        return made
+
+    def _columns_of(self, t: int, width: int) -> list[int] | None:
+        """The columns drawn for tree ``t``."""
+        if self.columns >= 1:
+            return None
+        many = max(1, int(self.columns * width))
+        return np.random.default_rng([self.draw.seed, t]).permutation(width)[:many].tolist()
+
+    def _steps(self, tree: Tree) -> np.ndarray:
+        """What a row's margin gains at every node."""
+        return np.array([self.rate * leaf_value(a, b, self.rules) for a, b in zip(tree.a, tree.b)])
+
 
 def _with_margins(rows: DataFrame, pending, width: int) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(pending)

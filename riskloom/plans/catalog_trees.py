@@ -175,7 +175,7 @@ def pruned_trees(spark, d):
 
 GROWN_FITS = {
     "fit_forest_grown": ("RandomForest", {"n_estimators": 100, "max_depth": 10, "min_samples_split": 4, "class_weight": "balanced"}),
-    "fit_second_order": ("XGBoost", {"n_estimators": 30, "max_depth": 2, "learning_rate": 0.1, "subsample": 0.4, "colsample_bytree": 0.5, "reg_alpha": 1.0, "reg_lambda": 4.0}),
+    "fit_second_order": ("XGBoost", {"n_estimators": 200, "max_depth": 2, "learning_rate": 0.1, "subsample": 0.4, "colsample_bytree": 0.5, "reg_alpha": 1.0, "reg_lambda": 4.0}),
     "fit_leafwise": ("LightGBM", {"n_estimators": 5, "num_leaves": 31}),
 }
 

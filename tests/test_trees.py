@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from riskloom.operators import trees as tr
 
@@ -290,3 +291,39 @@ def test_a_pass_holds_cells_of_the_drawn_features_only(spark):
     many = tr.Grower(binned, 8, 8, rules, tr.Draw(bootstrap=True))
     assert few.forest(4) == many.forest(4)
     assert many.passes == 3 and few.passes <= 4
+
+
+@pytest.mark.parametrize("rules,share,columns", [(tr.Rules("second_order", 2, reg_lambda=4.0, reg_alpha=1.0, min_child_weight=1.0), 0.4, 0.7), (tr.Rules("second_order", max_leaves=6, reg_lambda=1.0, gamma=0.05), 1.0, 1.0)])
+def test_boosting_over_patterns_is_boosting_over_rows(spark, monkeypatch, rules, share, columns):
+    """Every tree and score is that of passes over the rows: draws are the rows' own, keys may repeat, weights differ, and a pattern may hold most rows."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(900):
+        f = [0.0, 1.0, 0.0] if i % 2 else [float(rng.randrange(6)), float(rng.randrange(9)), float("nan") if i % 8 == 0 else float(rng.randrange(3))]
+        rows.append((None if i % 90 == 0 else f"k{i // 2 if i < 100 else i}", Vectors.dense(f), float(rng.random() < 0.2 + f[0] / 10), 1.0 + i % 3))
+    kinds = zip(("key", "features", "label", "weight"), (StringType(), VectorUDT(), DoubleType(), DoubleType()))
+    df = spark.createDataFrame(rows, StructType([StructField(n, k) for n, k in kinds]))
+    learner = tr.TreeLearner(rules, 11, 8, tr.Draw(share, seed=3), boosted=True, rate=0.4, columns=columns)
+    passes = []
+    tally = tr.Patterns.tallies
+    monkeypatch.setattr(tr.Patterns, "tallies", lambda self, *a: passes.append(len(self.y)) or tally(self, *a))
+    monkeypatch.setattr(tr, "TALLIES", 4 * 260)
+    over_patterns = learner.fit(df)
+    assert len(passes) == 1 and passes[0] < 900
+    monkeypatch.setattr(tr, "PATTERNS", 20)
+    over_rows = learner.fit(df)
+    assert len(passes) == 1
+    for a, b in zip(over_patterns.stages[0].trees(), over_rows.stages[0].trees(), strict=True):
+        assert (a.feature, a.bin, a.left, a.right, a.n) == (b.feature, b.bin, b.left, b.right, b.n)
+        for x, y in ((a.a, b.a), (a.b, b.b), (a.gain, b.gain)):
+            assert x == pytest.approx(y, abs=1e-8)
+    kept = [sorted(r["probability"][1] for r in over_patterns.transform(df).collect())]
+    monkeypatch.setattr(tr, "SCORES", 0)
+    kept.append(sorted(r["probability"][1] for r in over_patterns.transform(df).collect()))
+    assert kept[0] == kept[1]
+
+
+def test_the_second_order_fit_grows_all_its_trees():
+    from riskloom.plans import catalog_trees
+
+    assert catalog_trees.GROWN_FITS["fit_second_order"][1]["n_estimators"] == 200
